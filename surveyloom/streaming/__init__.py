@@ -1,0 +1 @@
+"""The survey analyses read complete tables; none of them is a streaming query."""
