@@ -46,7 +46,7 @@ def solve_standardized(gram: np.ndarray) -> dict | None:
     se = np.sqrt(np.maximum(np.diag(sse / df_resid * inverse), 0.0))
     with np.errstate(divide="ignore", invalid="ignore"):
         t = beta / se
-    return {"n": int(n), "r2": r2, "adj_r2": 1 - (1 - r2) * (n - 1) / df_resid, "beta": beta, "se": se, "t": t}
+    return {"n": int(n), "r2": float(r2), "adj_r2": float(1 - (1 - r2) * (n - 1) / df_resid), "beta": beta, "se": se, "t": t}
 
 
 def _number_or_none(v: float) -> float | None:

@@ -4,8 +4,6 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -21,6 +19,7 @@ from .profile import (ColumnProfile, is_id_like, level_frequencies, number, nume
 
 MIN_SHARE = 0.05
 MAX_K = 6
+POINTS_PER_TASK = 50_000
 
 
 # --- clustering ---------------------------------------------------------------------------
@@ -36,32 +35,100 @@ def counted_points(z: DataFrame, features: list[str]) -> DataFrame:
     return z.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
+def packed(points: DataFrame) -> DataFrame:
+    """The table held in tasks of some 50,000 points: it is read once per iteration."""
+    points = hold(points)
+    tasks = max(1, -(-points.count() // POINTS_PER_TASK))
+    return hold(points.repartition(tasks)) if tasks < points.rdd.getNumPartitions() else points
+
+
+def start_rows(points: DataFrame, features: list[str], n: int, seed: int) -> np.ndarray:
+    """``n`` rows drawn in proportion to their weight, the same ones in every run.
+
+    The smallest exponential arrival times, so this is one bounded top-k.
+    """
+    u = (F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{f}`") for f in features]), F.lit(1 << 52)) + 1) / F.lit(float(1 << 52) + 1)
+    arrival = -F.log(u) / F.col("weight")
+    rows = points.select(*[F.col(f"`{f}`").cast("double") for f in features], arrival.alias("_t")).orderBy("_t").limit(n)
+    return rows.drop("_t").toPandas().to_numpy(dtype=float)
+
+
+def _sweep(points: DataFrame, features: list[str], fits: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
+    """One pass over the points for all fits: per center the weight and coordinate sums, per fit the cost."""
+    width = len(features)
+    centers = np.vstack(fits)
+    ends = np.cumsum([len(c) for c in fits])
+    starts = ends - [len(c) for c in fits]
+    norms = (centers * centers).sum(axis=1)
+
+    def reduce_rows(batches):
+        sums = np.zeros((len(centers), width + 2))
+        for batch in batches:
+            rows = batch_matrix(batch, width + 1)
+            x, weight = rows[:, :width], rows[:, width]
+            distance = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + norms
+            member = np.zeros_like(distance)
+            line = np.arange(len(x))
+            for lo, hi in zip(starts, ends):
+                nearest = lo + distance[:, lo:hi].argmin(axis=1)
+                member[line, nearest] = weight
+            sums[:, :width] += member.T @ x
+            sums[:, width] += member.sum(axis=0)
+            sums[:, width + 1] += (member * np.maximum(distance, 0.0)).sum(axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(centers)), pa.int32())] + [pa.array(np.ascontiguousarray(c)) for c in sums.T],
+            names=["center", *[f"s{j}" for j in range(width + 2)]])
+
+    schema = "center int, " + ", ".join(f"s{j} double" for j in range(width + 2))
+    total = np.zeros((len(centers), width + 2))
+    for r in points.mapInArrow(reduce_rows, schema).groupBy("center").agg(
+            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width + 2)]).collect():
+        total[r["center"]] = r[1:]
+    parts = [total[lo:hi] for lo, hi in zip(starts, ends)]
+    return [p[:, :width] for p in parts], [p[:, width] for p in parts], [float(p[:, width + 1].sum()) for p in parts]
+
+
 def fit_kmeans(points: DataFrame, features: list[str], k: int, restarts: int = 10, seed: int = 42,
                max_iter: int = 100) -> tuple[np.ndarray, float]:
-    """Best of several random starts: ``(centers, inertia)``, larger clusters first."""
+    """Best of several random starts: ``(centers, inertia)``."""
     return fit_many(points, features, [k], restarts, seed, max_iter)[k]
 
 
 def fit_many(points: DataFrame, features: list[str], ks: list[int], restarts: int = 10, seed: int = 42,
-             max_iter: int = 100, parallel: int = 4) -> dict[int, tuple[np.ndarray, float]]:
-    """All k and restarts on one held table; independent fits are submitted side by side."""
-    vectors = hold(points.select(array_to_vector(F.array(*[F.col(f"`{f}`").cast("double") for f in features])).alias("features"), "weight"))
-    vectors.count()
-
-    def one(job):
-        k, start = job
-        model = KMeans(k=k, maxIter=max_iter, initMode="random", seed=seed + start, weightCol="weight").fit(vectors)
-        summary = model.summary
-        weights = np.array(summary.clusterSizes, dtype=float)
-        centers = np.array(model.clusterCenters())
-        return k, summary.trainingCost, weights, centers
-
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
-        fits = list(pool.map(one, [(k, s) for k in ks for s in range(restarts)]))
-    best: dict[int, tuple] = {}
-    for k, cost, _, centers in fits:
+             max_iter: int = 100) -> dict[int, tuple[np.ndarray, float]]:
+    """K-means for every k and restart at once.
+
+    The built-in estimator reads the table once per iteration of every single fit. Here an
+    iteration of all ``len(ks) * restarts`` fits shares one pass, and a fit that has settled
+    leaves the sweep: at most ``max_iter`` passes in total.
+    """
+    columns = [F.col(f"`{f}`").cast("double").alias(f"f{j}") for j, f in enumerate(features)]
+    table = packed(points.select(*columns, F.col("weight").cast("double").alias("weight")))
+    names = [f"f{j}" for j in range(len(features))]
+    pool = start_rows(table, names, restarts * sum(ks), seed)
+    rng = np.random.default_rng(seed)
+    # A fit starts from k different rows; empty clusters move to another row of the pool.
+    active = {(k, r): pool[rng.choice(len(pool), size=min(k, len(pool)), replace=False)] for k in ks for r in range(restarts)}
+    best: dict[int, tuple[np.ndarray, float]] = {}
+
+    def settle(k, centers, cost):
         if k not in best or cost < best[k][1]:
             best[k] = (centers, cost)
+
+    for _ in range(max_iter):
+        if not active:
+            return best
+        sums, weights, costs = _sweep(table, names, list(active.values()))
+        for (key, centers), s, w, cost in zip(list(active.items()), sums, weights, costs):
+            moved = np.where(w[:, None] > 0, s / np.where(w > 0, w, 1.0)[:, None], pool[rng.integers(0, len(pool), len(w))])
+            if np.abs(moved - centers).max() <= 1e-9:
+                settle(key[0], centers, cost)
+                del active[key]
+            else:
+                active[key] = moved
+    if active:
+        for (k, _), centers, cost in zip(active, active.values(), _sweep(table, names, list(active.values()))[2]):
+            settle(k, centers, cost)
     return best
 
 
