@@ -53,41 +53,45 @@ def any_contains(haystack: Column, needles) -> Column:
     return hit
 
 
-def _to_double(text: Column) -> Column:
-    return text.try_cast("double")
+def answer_text(raw: Column) -> Column:
+    """Stripped answer, NULL for missing tokens."""
+    text = strip(raw)
+    compact = F.lower(F.regexp_replace(raw, r"(?U)\s+", ""))
+    return F.when(~compact.isin(*fv.MISSING_TOKENS), text)
 
 
-def normalized_number(raw: Column) -> Column:
-    """Number an answer stands for: Likert label, percentage, leading or trailing number."""
-    text = F.translate(strip(raw), _FOREIGN_DIGITS, _ASCII_DIGITS)
-    compact = F.lower(F.regexp_replace(text, r"(?U)\s+", ""))
+def text_number(answer: Column) -> Column:
+    """Number that an :func:`answer_text` stands for: Likert label, percentage, leading or trailing number.
+
+    ``answer`` should be a plain column: it is used several times.
+    """
+    text = F.translate(answer, _FOREIGN_DIGITS, _ASCII_DIGITS)
     likert = F.create_map(*[F.lit(x) for k, v in fv.LIKERT_MAP.items() for x in (k, float(v))])
-    percent = F.regexp_extract(text, f"^({_NUMBER})%$", 1)
-    leading = F.regexp_extract(text, f"^({_NUMBER})", 1)
-    trailing = F.regexp_extract(text, f"({_NUMBER})$", 1)
-    scale_word = F.lit(False)
-    for token in fv.TRAILING_NUMBER_TOKENS:
-        scale_word = scale_word | F.contains(text, F.lit(token))
-    return (
-        F.when(raw.isNull() | compact.isin(*fv.MISSING_TOKENS), F.lit(None).cast("double"))
-        .when(compact.isin(*fv.LIKERT_MAP), F.try_element_at(likert, compact))
-        .when(percent != "", _to_double(percent) / 100)
-        .when((leading != "") & (F.length(text) <= 12), _to_double(leading))
-        .when((trailing != "") & scale_word, _to_double(trailing))
-        .when(text.rlike(_PLAIN_NUMBER), _to_double(text))
+    label = F.try_element_at(likert, F.lower(F.regexp_replace(answer, r"(?U)\s+", "")))
+    percent = text.rlike(f"^{_NUMBER}%$")
+    leading = F.regexp_extract(text, f"^({_NUMBER})", 1).try_cast("double")
+    trailing = F.regexp_extract(text, f"({_NUMBER})$", 1).try_cast("double")
+    short = percent | (F.length(answer) <= 12)
+    worded = answer.rlike("|".join(fv.TRAILING_NUMBER_TOKENS))
+    return F.coalesce(
+        label,
+        F.when(short, F.when(percent, leading / 100).otherwise(leading)),
+        F.when(worded, trailing),
+        F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double")),
     )
 
 
-def normalized_text(raw: Column) -> Column:
-    """The stripped answer, NULL for missing tokens."""
-    text = strip(raw)
-    compact = F.lower(F.regexp_replace(text, r"(?U)\s+", ""))
-    return F.when(~compact.isin(*fv.MISSING_TOKENS), text)
+def normalized_number(raw: Column) -> Column:
+    return text_number(answer_text(raw))
 
 
 def normalized_answer(raw: Column) -> Column:
     """Cleaned answer as text: numbers print as doubles, everything else stripped."""
-    return F.coalesce(normalized_number(raw).cast("string"), normalized_text(raw))
+    return answer_or_number(answer_text(raw))
+
+
+def answer_or_number(answer: Column) -> Column:
+    return F.coalesce(text_number(answer).cast("string"), answer)
 
 
 def matches_hints(name: Column, hints) -> Column:

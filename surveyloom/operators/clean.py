@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalars import is_numeric, normalized_answer, normalized_number
+from ..functions.scalars import answer_or_number, answer_text, is_numeric, text_number
 from .profile import label, number, numeric_frequencies, profile
 from .ordered import weighted_quantiles
 
@@ -16,13 +16,18 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
 
 
+def with_answer_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Stripped answers in place of the raw ones: the stage the number rules read from."""
+    return df.withColumns({c: answer_text(F.col(f"`{c}`")) for c in columns}) if columns else df
+
+
 def numeric_shares(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """``(variable, numeric_share, inferred_type)`` of the text columns: one scan, one row out."""
     columns = columns or text_columns(df)
-    shares = df.agg(F.array(*[
-        F.struct(F.lit(c).alias("variable"),
-                 F.avg(normalized_number(F.col(f"`{c}`")).isNotNull().cast("double")).alias("numeric_share"))
-        for c in columns]).alias("s")).select(F.inline("s"))
+    # One long column keeps the generated code small however many questions there are.
+    long = df.select(*[F.col(f"`{c}`") for c in columns]).unpivot([], columns, "variable", "answer")
+    parsed = long.withColumn("answer", answer_text(F.col("answer"))).withColumn("answer", text_number(F.col("answer")))
+    shares = parsed.groupBy("variable").agg(F.avg(F.col("answer").isNotNull().cast("double")).alias("numeric_share"))
     kind = F.when(F.col("numeric_share") >= NUMERIC_SHARE, "numeric").otherwise("text")
     return shares.withColumn("inferred_type", kind)
 
@@ -35,11 +40,11 @@ def clean_values(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     for name in df.columns:
         col = F.col(f"`{name}`")
         if name in kinds:
-            col = normalized_number(col) if kinds[name] == "numeric" else normalized_answer(col)
+            col = text_number(col) if kinds[name] == "numeric" else answer_or_number(col)
         elif name not in keep and isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType, T.BooleanType)):
             col = number(df, name)
         out.append(col.alias(name))
-    return df.select(*out)
+    return with_answer_texts(df, list(kinds)).select(*out)
 
 
 def reverse_code(df: DataFrame, items: list[str]) -> DataFrame:

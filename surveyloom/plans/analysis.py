@@ -10,7 +10,7 @@ from ..operators.clean import clean_values, reverse_code
 from ..operators.headers import rename_columns, resolve_names
 from ..operators.profile import profile, profiled_columns
 from ..sources.tables import write_tables
-from .holding import hold
+from .holding import hold, settle
 
 ROW_ID = "_row"
 
@@ -81,14 +81,14 @@ def analyze(raw: DataFrame, config: SurveyConfig | None = None, row_id: str | No
     def resolve(names):
         return resolve_names(names, mapping)
 
-    cleaned = hold(reverse_code(clean_values(keyed, (ROW_ID,)), resolve(cfg.reverse_items)))
+    cleaned = settle(reverse_code(clean_values(keyed, (ROW_ID,)), resolve(cfg.reverse_items)))
     answers = [c for c in cleaned.columns if c != ROW_ID]
     ids = set(resolve(cfg.id_columns))
     base_stats = profile(cleaned, [c for c in profiled_columns(cleaned) if c != ROW_ID])
 
     scored, summary, constructs = scales.detect_constructs(
         cleaned.select(*answers, ROW_ID), dict(cfg.constructs), cfg.id_columns, mapping, base_stats)
-    scored = hold(scored)
+    scored = settle(scored)
     columns = [c for c in scored.columns if c != ROW_ID]
     survey = scored.drop(ROW_ID)
     stats = base_stats | profile(scored, list(constructs))
@@ -157,6 +157,9 @@ def analyze(raw: DataFrame, config: SurveyConfig | None = None, row_id: str | No
     asked = purchase.purchase_questions(variable_map, stats, cfg.purchase_question_variables, outcome, mapping, ids)
     tables["purchase_question_distributions"] = purchase.question_distributions(survey, variable_map, asked, stats)
     tables["ranking_summary"] = describe.ranking_summary(survey)
+    # The results are small; the facts and the sinks read them again.
+    whole = {"cleaned_data", "construct_scores", "psm_monotonicity", "psm_segment_monotonicity", "segment_assignments"}
+    tables = {name: t if name in whole else hold(t) for name, t in tables.items()}
     rows = next(iter(stats.values())).rows if stats else 0
     meta = dict(cfg.metadata)
     tables["report_facts"] = facts.report_facts(

@@ -1,8 +1,5 @@
 """Sources, headers and answer cleaning."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from ...functions import fixed_values as fv
@@ -10,16 +7,11 @@ from ...functions.scalars import matches_hints, normalized_answer, normalized_nu
 from ...operators import clean, describe, headers, profile
 from ...sources import tables
 from ..fixtures import table, view, with_views
+from ..holding import shared_folder
 from . import query
 from .sql import contains_any, r6, union_all
 
 
-def shared_folder(spark) -> str:
-    """A fresh folder that all executors see: below spark.checkpoint.dir, or a local one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="surveyloom-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 @query("src_csv_roundtrip", "select doc_id, text, lang, source, n_chars from documents")
 def src_csv_roundtrip(spark, d):
     path = shared_folder(spark)

@@ -1,9 +1,13 @@
 """Tables that several jobs of one analysis read again."""
 
+import tempfile
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 _held: list[DataFrame] = []
+_local_folder: list[str] = []
 
 
 def hold(df: DataFrame) -> DataFrame:
@@ -16,3 +20,24 @@ def hold(df: DataFrame) -> DataFrame:
 def release_all() -> None:
     while _held:
         _held.pop().unpersist()
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh path that all executors see: below spark.checkpoint.dir, or a local one where it is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not _local_folder:
+            _local_folder.append(tempfile.mkdtemp(prefix="surveyloom-"))
+        base = _local_folder[0]
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    The later jobs start from a columnar table: they read only their columns, their plans stay
+    short, and losing executors costs nothing.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
