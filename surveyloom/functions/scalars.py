@@ -22,13 +22,46 @@ def is_numeric(data_type: T.DataType) -> bool:
     return isinstance(data_type, NUMERIC_TYPES)
 
 
-def as_number(col: Column, data_type: T.DataType) -> Column:
-    """Double with NaN turned into NULL; booleans count as 0/1."""
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_array(values) -> Column:
+    return F.expr("array(" + ", ".join(sql_text(v) for v in values) + ")")
+
+
+def text_structs(rows, names) -> Column:
+    """Array of structs of strings, e.g. the variables of numbered tests."""
+    return F.expr("array(" + ", ".join(
+        "named_struct(" + ", ".join(f"{sql_text(n)}, {sql_text(v)}" for n, v in zip(names, row)) + ")" for row in rows) + ")")
+
+
+def number_sql(name: str, data_type: T.DataType) -> str:
+    """Double with NaN turned into NULL; booleans count as 0/1. Wide tables build their plans from such text."""
+    col = sql_name(name)
     if isinstance(data_type, T.BooleanType):
-        return col.cast("int").cast("double")
+        return f"cast(cast({col} as int) as double)"
+    if isinstance(data_type, (T.DoubleType, T.FloatType)):
+        return f"if(isnan({col}), null, cast({col} as double))"
+    return f"cast({col} as double)"
+
+
+def label_sql(name: str, data_type: T.DataType) -> str:
+    """Text of a level; the same for every operator that treats a value as a category."""
+    col = sql_name(name)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col.cast("double"))
-    return col.cast("double")
+        return f"if(isnan({col}), null, cast({col} as string))"
+    return f"cast({col} as string)"
+
+
+def finite_sql(number: str) -> str:
+    """NULL for +-inf as well: the rule for model inputs."""
+    return f"if(abs({number}) = double('infinity'), null, {number})"
 
 
 def finite(col: Column) -> Column:
@@ -66,7 +99,7 @@ def text_number(answer: Column) -> Column:
     ``answer`` should be a plain column: it is used several times.
     """
     text = F.translate(answer, _FOREIGN_DIGITS, _ASCII_DIGITS)
-    likert = F.create_map(*[F.lit(x) for k, v in fv.LIKERT_MAP.items() for x in (k, float(v))])
+    likert = F.expr("map(" + ", ".join(f"{sql_text(k)}, {v}D" for k, v in fv.LIKERT_MAP.items()) + ")")
     label = F.try_element_at(likert, F.lower(F.regexp_replace(answer, r"(?U)\s+", "")))
     percent = text.rlike(f"^{_NUMBER}%$")
     leading = F.regexp_extract(text, f"^({_NUMBER})", 1).try_cast("double")
@@ -108,10 +141,3 @@ def matches_hints(name: Column, hints) -> Column:
             one = one | F.contains(low, F.lit(hint))
         hit = hit | one
     return hit
-
-
-def level_label(col: Column, data_type: T.DataType) -> Column:
-    """Text of a level; the same for every operator that treats a value as a category."""
-    if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(col), col.cast("string"))
-    return col.cast("string")

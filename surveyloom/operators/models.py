@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import finite
+from ..functions.scalars import finite, text_structs
 from .clean import encode_predictors, zscore_column
 from .moments import batch_matrix, gram_matrices
 from .profile import number, profile
@@ -247,8 +247,7 @@ def run_mediation(df: DataFrame, paths: list[tuple[str, str, str]], row_id: str,
         point("indirect_effect").alias("indirect_effect"), point("direct_effect").alias("direct_effect"),
         F.count(drawn).alias("_valid"), F.percentile(drawn, F.array(F.lit(0.025), F.lit(0.975))).alias("_ci"),
     ).where((F.col("n") >= 30) & (F.col("_valid") >= max(20, draws // 5)))
-    named = F.array(*[F.struct(F.lit(x).alias("predictor"), F.lit(m).alias("mediator"), F.lit(y).alias("outcome"))
-                      for x, m, y in paths])
+    named = text_structs(paths, ["predictor", "mediator", "outcome"])
     low, high = F.col("_ci")[0], F.col("_ci")[1]
     return per_path.withColumn("_p", F.get(named, F.col("path"))).select(
         "_p.predictor", "_p.mediator", "_p.outcome", "n", "a_path", "indirect_effect", "direct_effect",

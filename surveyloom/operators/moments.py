@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import finite
-from .profile import number
+from ..functions.scalars import finite_sql, sql_name, text_array
+from .profile import number_text
 
 _PAIR_SCHEMA = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
 _GRAM_SCHEMA = "spec int, cell int, value double"
@@ -26,14 +26,11 @@ def batch_matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
 
 def centred(df: DataFrame, columns: list[str]) -> DataFrame:
     """Columns shifted and scaled by their own mean and deviation: keeps the sums well conditioned."""
-    stats = df.agg(*[F.struct(F.avg(finite(number(df, c))), F.stddev_pop(finite(number(df, c)))).alias(c)
-                     for c in columns]).first()
-    out = []
-    for c in columns:
-        mean, sd = stats[c]
-        value = finite(number(df, c))
-        out.append(((value - F.lit(mean or 0.0)) / F.lit(sd or 1.0)).alias(c))
-    return df.select(*out)
+    values = {c: finite_sql(number_text(df, c)) for c in columns}
+    stats = df.agg(F.expr("array(" + ", ".join(
+        f"named_struct('m', avg({v}), 's', stddev_pop({v}))" for v in values.values()) + ") as s")).first()["s"]
+    return df.selectExpr(*[f"({v} - ({s['m'] or 0.0!r}D)) / {s['s'] or 1.0!r}D as {sql_name(c)}"
+                           for (c, v), s in zip(values.items(), stats)])
 
 
 def pairwise_moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -59,7 +56,7 @@ def pairwise_moments(df: DataFrame, columns: list[str]) -> DataFrame:
             names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
 
     partial = centred(df, columns).mapInArrow(reduce_rows, _PAIR_SCHEMA)
-    names = F.array(*[F.lit(c) for c in columns])
+    names = text_array(columns)
     sums = ["n", "sx", "sy", "sxx", "syy", "sxy"]
     total = partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])
     return total.select("i", "j", F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), *sums)

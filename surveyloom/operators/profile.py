@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import as_number, is_numeric, level_label, round6
+from ..functions.scalars import is_numeric, label_sql, number_sql, round6, sql_name
 
 SMALL_DISTINCT = 64
-_CHUNK = 40
 
 
 @dataclass
@@ -44,26 +43,34 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if is_numeric(f.dataType)]
 
 
+def number_text(df: DataFrame, name: str) -> str:
+    return number_sql(name, df.schema[name].dataType)
+
+
+def label_text(df: DataFrame, name: str) -> str:
+    return label_sql(name, df.schema[name].dataType)
+
+
 def number(df: DataFrame, name: str):
-    return as_number(F.col(f"`{name}`"), df.schema[name].dataType)
+    return F.expr(number_text(df, name))
 
 
 def label(df: DataFrame, name: str):
-    return level_label(F.col(f"`{name}`"), df.schema[name].dataType)
+    return F.expr(label_text(df, name))
 
 
 def numeric_frequencies(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
     """``(keys, variable, value, n)`` of the non-null numbers; repeated answers shrink before the shuffle."""
-    wide = df.select(*keys, *[number(df, c).alias(c) for c in columns])
-    long = wide.unpivot(list(keys), columns, "variable", "value").where(F.col("value").isNotNull())
-    return long.groupBy(*keys, "variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    wide = df.selectExpr(*keys, *[f"{number_text(df, c)} as {sql_name(c)}" for c in columns])
+    long = wide.unpivot(list(keys), columns, "variable", "value").where("value is not null")
+    return long.groupBy(*keys, "variable", "value").agg(F.expr("count(1) as n"))
 
 
 def level_frequencies(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
     """``(keys, variable, level, n)`` of the non-null answers as text."""
-    wide = df.select(*keys, *[label(df, c).alias(c) for c in columns])
-    long = wide.unpivot(list(keys), columns, "variable", "level").where(F.col("level").isNotNull())
-    return long.groupBy(*keys, "variable", "level").agg(F.count(F.lit(1)).alias("n"))
+    wide = df.selectExpr(*keys, *[f"{label_text(df, c)} as {sql_name(c)}" for c in columns])
+    long = wide.unpivot(list(keys), columns, "variable", "level").where("level is not null")
+    return long.groupBy(*keys, "variable", "level").agg(F.expr("count(1) as n"))
 
 
 def exact_distincts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -79,33 +86,28 @@ def exact_distincts(df: DataFrame, columns: list[str]) -> DataFrame:
     return values.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"))
 
 
-def scan_statistics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(variable, rows, count, approx_distinct, mean, std, std_pop, low, high)``, one scan, no shuffle of rows."""
-    tables = []
-    for start in range(0, len(columns), _CHUNK):
-        part = columns[start:start + _CHUNK]
-        structs = []
-        for name in part:
-            numeric = is_numeric(df.schema[name].dataType)
-            value = number(df, name) if numeric else F.lit(None).cast("double")
-            present = value if numeric else F.col(f"`{name}`")
-            structs.append(F.struct(
-                F.lit(name).alias("variable"),
-                F.lit(numeric).alias("numeric"),
-                F.count(F.lit(1)).alias("rows"),
-                F.count(present).alias("count"),
-                F.approx_count_distinct(present).alias("approx_distinct"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.stddev_pop(value).alias("std_pop"),
-                F.min(value).alias("low"),
-                F.max(value).alias("high"),
-            ))
-        tables.append(df.agg(F.array(*structs).alias("s")).select(F.inline("s")))
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+def scan_statistics(df: DataFrame, columns: list[str], sketch: bool = False) -> DataFrame:
+    """``(variable, numeric, rows, count, [approx_distinct,] mean, std, std_pop, low, high)``.
+
+    One row per column, aggregated in the scanning tasks. The long form has one small buffer per
+    column, so the stage stays in generated code for any number of columns; a wide aggregation
+    would not. The distinct-count sketch is an imperative aggregate outside generated code, so only
+    callers that need it ask for it.
+    """
+    numbers = [c for c in columns if is_numeric(df.schema[c].dataType)]
+    texts = [c for c in columns if c not in numbers]
+    parts = []
+    for names, numeric, text in ((numbers, True, number_text), (texts, False, lambda d, c: sql_name(c))):
+        if not names:
+            continue
+        wide = df.selectExpr(*[f"{text(df, c)} as {sql_name(c)}" for c in names])
+        value = "v" if numeric else "cast(null as double)"
+        parts.append(wide.unpivot([], names, "variable", "v").groupBy("variable").agg(
+            F.lit(numeric).alias("numeric"), F.expr("count(1) as rows"), F.expr("count(v) as count"),
+            *([F.expr("approx_count_distinct(v) as approx_distinct")] if sketch else []),
+            *[F.expr(f"{f}({value}) as {n}") if numeric else F.expr(f"{value} as {n}") for f, n in (
+                ("avg", "mean"), ("stddev_samp", "std"), ("stddev_pop", "std_pop"), ("min", "low"), ("max", "high"))]))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -135,7 +137,9 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
     columns = columns or profiled_columns(df)
     if not columns:
         return {}
-    stats = {r["variable"]: r for r in scan_statistics(df, columns).collect()}
+    stats = {r["variable"]: r for r in scan_statistics(df, columns, sketch=True).collect()}
+    if not stats:
+        return {c: ColumnProfile(c, is_numeric(df.schema[c].dataType), 0, 0, 0) for c in columns}
     near = [c for c in columns if stats[c]["approx_distinct"] > SMALL_DISTINCT
             and _undecided(stats[c]["rows"], stats[c]["approx_distinct"])]
     distinct = {c: int(stats[c]["approx_distinct"]) for c in columns}

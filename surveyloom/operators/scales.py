@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
+from ..functions.scalars import sql_text
 from .headers import resolve_names
 from .moments import correlations
-from .profile import ColumnProfile, is_likert_item, number, profile
+from .profile import ColumnProfile, is_likert_item, number, number_text, profile
 
 _SUBSETS_PER_JOB = 60
 _SUMMARY_SCHEMA = ("construct string, items string, n_items int, cronbach_alpha double, "
@@ -29,17 +30,14 @@ def cronbach_alphas(df: DataFrame, subsets: list[list[str]]) -> DataFrame:
     for start in range(0, len(subsets), _SUBSETS_PER_JOB):
         structs = []
         for s, items in enumerate(subsets[start:start + _SUBSETS_PER_JOB], start=start):
-            values = [number(df, i) for i in items]
-            complete = values[0].isNotNull()
-            for v in values[1:]:
-                complete = complete & v.isNotNull()
-            item_var = sum((F.var_samp(F.when(complete, v)) for v in values[1:]), F.var_samp(F.when(complete, values[0])))
-            total = sum(values[1:], values[0])
-            structs.append(F.struct(
-                F.lit(s).alias("subset"), F.array(*[F.lit(i) for i in items]).alias("items"),
-                F.lit(len(items)).alias("k"), F.count(F.when(complete, 1)).alias("n"),
-                item_var.alias("item_var"), F.var_samp(F.when(complete, total)).alias("total_var")))
-        tables.append(df.agg(F.array(*structs).alias("s")).select(F.inline("s")))
+            values = [number_text(df, i) for i in items]
+            complete = " and ".join(f"{v} is not null" for v in values)
+            item_var = " + ".join(f"var_samp({v}) filter (where {complete})" for v in values)
+            structs.append(
+                f"named_struct('subset', {s}, 'items', array({', '.join(sql_text(i) for i in items)}), 'k', {len(items)}, "
+                f"'n', count_if({complete}), 'item_var', {item_var}, "
+                f"'total_var', var_samp({' + '.join(values)}) filter (where {complete}))")
+        tables.append(df.agg(F.expr(f"array({', '.join(structs)}) as s")).select(F.inline("s")))
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)

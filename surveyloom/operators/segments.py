@@ -9,13 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import any_contains
+from ..functions.scalars import any_contains, sql_name, sql_text
 from ..plans.holding import hold
 from .clean import impute_and_standardize
-from .headers import resolve_names
 from .moments import batch_matrix
-from .profile import (ColumnProfile, is_id_like, level_frequencies, number, numeric_columns, profile,
-                      variable_matches)
+from .profile import ColumnProfile, is_id_like, level_frequencies, number_text, variable_matches
 
 MIN_SHARE = 0.05
 MAX_K = 6
@@ -132,19 +130,18 @@ def fit_many(points: DataFrame, features: list[str], ks: list[int], restarts: in
     return best
 
 
-def nearest_center(features: list[Column], centers: np.ndarray) -> Column:
+def nearest_center(features: list[str], centers: np.ndarray) -> Column:
     """1-based index of the closest center; ties go to the lower index. Stays in generated code."""
-    distances = [
-        F.struct(sum(((f - float(v)) * (f - float(v)) for f, v in zip(features[1:], c[1:])),
-                     (features[0] - float(c[0])) * (features[0] - float(c[0]))).alias("d"),
-                 F.lit(i).alias("segment"))
-        for i, c in enumerate(centers, start=1)]
-    return F.least(*distances)["segment"] if len(distances) > 1 else F.lit(1)
+    structs = []
+    for i, c in enumerate(centers, start=1):
+        terms = " + ".join(f"({sql_name(f)} - ({float(v)!r}D)) * ({sql_name(f)} - ({float(v)!r}D))" for f, v in zip(features, c))
+        structs.append(f"struct({terms} as d, {i} as segment)")
+    return F.expr(f"least({', '.join(structs)}).segment" if len(structs) > 1 else "1")
 
 
 def ordered_centers(points: DataFrame, features: list[str], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Centers by cluster size, then by coordinates, and the sizes: labels that a rerun repeats."""
-    nearest = nearest_center([F.col(f"`{f}`") for f in features], centers)
+    nearest = nearest_center(features, centers)
     sizes = {r["s"]: r["w"] for r in points.groupBy(nearest.alias("s")).agg(F.sum("weight").alias("w")).collect()}
     order = sorted((i for i in range(len(centers)) if sizes.get(i + 1)),
                    key=lambda i: (-sizes[i + 1], tuple(np.round(centers[i], 9))))
@@ -159,7 +156,7 @@ def silhouette(points: DataFrame, features: list[str], centers: np.ndarray, anch
     """
     width = len(features)
     columns = [F.col(f"`{f}`") for f in features]
-    sample = anchors.select(*columns, nearest_center(columns, centers).alias("segment")).toPandas().to_numpy(dtype=float)
+    sample = anchors.select(*columns, nearest_center(features, centers).alias("segment")).toPandas().to_numpy(dtype=float)
     anchor_x, anchor_c = sample[:, :width], sample[:, width].astype(int)
     k = len(centers)
 
@@ -179,7 +176,7 @@ def silhouette(points: DataFrame, features: list[str], centers: np.ndarray, anch
             [pa.array(a, pa.int32()), pa.array(c + 1, pa.int32()), pa.array(sums.ravel()), pa.array(sizes[c])],
             names=["anchor", "cluster", "distance", "size"])
 
-    labelled = points.select(*columns, "weight", nearest_center(columns, centers).alias("segment"))
+    labelled = points.select(*columns, "weight", nearest_center(features, centers).alias("segment"))
     sums = labelled.mapInArrow(reduce_rows, "anchor int, cluster int, distance double, size double").groupBy(
         "anchor", "cluster").agg(F.sum("distance").alias("distance"), F.sum("size").alias("size"))
     own = F.get(F.array(*[F.lit(int(c)) for c in anchor_c]), F.col("anchor"))
@@ -236,7 +233,7 @@ def select_k(z: DataFrame, features: list[str], row_id: str, wanted: int | None
 
 
 def assign_segments(z: DataFrame, features: list[str], centers: np.ndarray, row_id: str) -> DataFrame:
-    return z.select(row_id, nearest_center([F.col(f"`{f}`") for f in features], centers).alias("segment"))
+    return z.select(row_id, nearest_center(features, centers).alias("segment"))
 
 
 def join_segments(df: DataFrame, assignments: DataFrame, row_id: str) -> DataFrame:
@@ -253,10 +250,10 @@ def segment_means(df: DataFrame, segment: str, features: list[str]) -> DataFrame
 
     One pass over the rows; the overall figures are pooled from the per-segment ones.
     """
-    values = {f: number(df, f) for f in features}
-    structs = F.array(*[F.struct(F.lit(f).alias("feature"), F.count(v).alias("n"), F.avg(v).alias("mean"),
-                                 F.stddev_pop(v).alias("sd")) for f, v in values.items()])
-    rows = df.groupBy(segment).agg(F.count(F.lit(1)).alias("size"), structs.alias("s")).select(
+    structs = ", ".join(
+        f"named_struct('feature', {sql_text(f)}, 'n', count({v}), 'mean', avg({v}), 'sd', stddev_pop({v}))"
+        for f, v in ((f, number_text(df, f)) for f in features))
+    rows = df.groupBy(segment).agg(F.expr("count(1) as size"), F.expr(f"array({structs}) as s")).select(
         segment, "size", F.inline("s"))
     w = Window.partitionBy("feature")  # one row per segment
     n = F.sum("n").over(w)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.pvalues import chi_square_p, normal_p, verdict
+from ..functions.scalars import sql_text, text_structs
 from .describe import bin_edges, top_levels_per_key
 from .headers import resolve_names
 from .moments import correlations
 from .ordered import weighted_quantiles
-from .profile import (ColumnProfile, is_categorical, is_id_like, label, level_frequencies, number,
-                      numeric_frequencies, profile)
+from .profile import (ColumnProfile, is_categorical, is_id_like, label, label_text, level_frequencies, number,
+                      number_text, numeric_frequencies, profile)
 
 RANDOMNESS_COLUMNS = ["variable", "method", "n", "n_low_or_other", "n_high_or_top", "runs", "expected_runs",
                       "statistic", "df", "approx_p", "interpretation"]
@@ -158,20 +159,20 @@ def run_randomness_tests(df: DataFrame, order: list[str], configured: list[str]
 # --- chi-square -------------------------------------------------------------------------
 
 
-def level_code(df: DataFrame, name: str, levels: list[str]) -> Column:
-    """Small integer per level; missing answers are a level of their own."""
+def level_code(df: DataFrame, name: str, levels: list[str]) -> str:
+    """SQL of a small integer per level; missing answers are a level of their own."""
     known = [*levels, *([] if NULL_LEVEL in levels else [NULL_LEVEL])]
-    text = F.coalesce(label(df, name), F.lit(NULL_LEVEL))
-    return F.array_position(F.array(*[F.lit(v) for v in known]), text).cast("int")
+    text = f"coalesce({label_text(df, name)}, {sql_text(NULL_LEVEL)})"
+    return f"array_position(array({', '.join(sql_text(v) for v in known)}), {text})"
 
 
-def bin_code(df: DataFrame, name: str, edges: list[float]) -> Column:
-    value = number(df, name)
-    below = [F.when(value > F.lit(e), 1).otherwise(0) for e in edges]
-    return F.when(value.isNull(), F.lit(0)).otherwise(F.greatest(sum(below[1:], below[0]), F.lit(1)))
+def bin_code(df: DataFrame, name: str, edges: list[float]) -> str:
+    value = number_text(df, name)
+    below = " + ".join(f"if({value} > {e!r}D, 1L, 0L)" for e in edges)
+    return f"if({value} is null, 0L, greatest({below}, 1L))"
 
 
-def coded_cells(df: DataFrame, codes: dict[str, Column], pairs: list[tuple[str, str]]) -> DataFrame:
+def coded_cells(df: DataFrame, codes: dict[str, str], pairs: list[tuple[str, str]]) -> DataFrame:
     """``(pair, a, b, n)`` of all pairs in one pass.
 
     Each row becomes one packed number per pair, so the map-side count hashes plain longs and a
@@ -179,23 +180,21 @@ def coded_cells(df: DataFrame, codes: dict[str, Column], pairs: list[tuple[str,
     """
     used = list(dict.fromkeys(c for p in pairs for c in p))
     at = {c: f"_k{i}" for i, c in enumerate(used)}
-    coded = df.select(*[codes[c].cast("bigint").alias(at[c]) for c in used])
+    coded = df.selectExpr(*[f"cast({codes[c]} as bigint) as {at[c]}" for c in used])
     size = 1 << _CODE_BITS
-    packed = F.array(*[F.lit(i * size * size).cast("bigint") + F.col(at[a]) * size + F.col(at[b])
-                       for i, (a, b) in enumerate(pairs)])
-    counts = coded.select(F.explode(packed).alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(
-        F.shiftright("cell", 2 * _CODE_BITS).cast("int").alias("pair"),
-        F.shiftright("cell", _CODE_BITS).bitwiseAND(size - 1).cast("string").alias("a"),
-        F.col("cell").bitwiseAND(size - 1).cast("string").alias("b"), "n")
+    packed = ", ".join(f"{i * size * size}L + {at[a]} * {size}L + {at[b]}" for i, (a, b) in enumerate(pairs))
+    counts = coded.selectExpr(f"explode(array({packed})) as cell").groupBy("cell").agg(F.expr("count(1) as n"))
+    return counts.selectExpr(
+        f"cast(shiftright(cell, {2 * _CODE_BITS}) as int) as pair",
+        f"cast(shiftright(cell, {_CODE_BITS}) & {size - 1} as string) as a", f"cast(cell & {size - 1} as string) as b", "n")
 
 
 def text_cells(df: DataFrame, pairs: list[tuple[int, str, str]]) -> DataFrame:
     """Same as :func:`coded_cells` for columns with any number of levels."""
     def text(c):
-        return F.coalesce(label(df, c), F.lit(NULL_LEVEL))
-    structs = F.array(*[F.struct(F.lit(i).alias("pair"), text(a).alias("a"), text(b).alias("b")) for i, a, b in pairs])
-    return df.select(F.inline(structs)).groupBy("pair", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+        return f"coalesce({label_text(df, c)}, {sql_text(NULL_LEVEL)})"
+    structs = ", ".join(f"named_struct('pair', {i}, 'a', {text(a)}, 'b', {text(b)})" for i, a, b in pairs)
+    return df.selectExpr(f"inline(array({structs}))").groupBy("pair", "a", "b").agg(F.expr("count(1) as n"))
 
 
 def chi_square_cells(cells: DataFrame) -> DataFrame:
@@ -222,8 +221,7 @@ def chi_square_cells(cells: DataFrame) -> DataFrame:
 
 
 def _association(t: DataFrame, pairs: list[tuple[str, str]], method: str) -> DataFrame:
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    t = t.withColumn("_names", F.get(names, F.col("pair"))).withColumn(
+    t = t.withColumn("_names", F.get(text_structs(pairs, ["a", "b"]), F.col("pair"))).withColumn(
         "approx_p", chi_square_p(F.col("statistic"), F.col("df")))
     return t.select(
         F.col("_names.a").alias("variable_a"), F.col("_names.b").alias("variable_b"), F.lit(method).alias("method"),

@@ -35,7 +35,8 @@ select variable, cast(level_order as int) as level_order, level, n as count,
 
 @query("categorical_dist", _levels_sql("lineitem", ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax"]))
 def categorical_dist(spark, d):
-    t = describe.categorical_distributions(table(spark, d, "lineitem"))
+    # The keys of the small test scales have few values too.
+    t = describe.categorical_distributions(table(spark, d, "lineitem").drop("l_orderkey", "l_partkey", "l_suppkey"))
     return t.withColumn("percent", round6(F.col("percent")))
 
 

@@ -82,7 +82,7 @@ _CATEGORICAL = ["l_linenumber", "l_discount", "l_tax", "l_returnflag", "l_linest
 @query("chi_square_pairs", chi_sql([(a, b, f"cast({b} as varchar)") for a, b in itertools.combinations(_CATEGORICAL, 2)],
                                    "lineitem", "chi_square_independence"))
 def chi_square_pairs(spark, d):
-    lineitem = table(spark, d, "lineitem")
+    lineitem = table(spark, d, "lineitem").drop("l_orderkey", "l_partkey", "l_suppkey")
     stats = profile(lineitem)
     return _chi_columns(stat_tests.chi_square_tests(lineitem, stat_tests.categorical_pairs(stats), stats=stats))
 
@@ -113,8 +113,8 @@ _SCREEN = ["segment", "income", "product_quality", "product_quality_2", "product
 
 
 @query("pearson_screen", with_views("with p as (" + union_all(
-    f"select '{a}' as variable_a, '{b}' as variable_b, count({a} + {b}) as n, corr({a}, {b}) as r from survey"
-    for a, b in itertools.combinations(_SCREEN, 2)) + f"""),
+    f"select '{a}' as variable_a, '{b}' as variable_b, count({a} + {b}) as n, corr({a}, {b}) as r from survey "
+    f"having count(distinct {a}) > 2 and count(distinct {b}) > 2" for a, b in itertools.combinations(_SCREEN, 2)) + f"""),
 z as (select *, atanh(r) * sqrt(greatest(1, n - 3)) as z from p)
 select variable_a, variable_b, n, {r6('z')} as statistic, {r6(normal_p_sql('z'))} as approx_p, {r6('r')} as effect_size
 from z where n >= 12 and abs(r) < 1""", "survey"))
