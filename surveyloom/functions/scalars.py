@@ -127,17 +127,17 @@ def answer_or_number(answer: Column) -> Column:
     return F.coalesce(text_number(answer).cast("string"), answer)
 
 
-def matches_hints(name: Column, hints) -> Column:
-    """Whole-name, token or snake-part match, or substring for hints of five letters and more."""
-    low = F.lower(name)
-    tokens = F.split(low, "[^a-z0-9]+")
-    snake = F.split(low, "_")
-    hit = F.lit(False)
-    for hint in hints:
-        one = (low == hint) | F.array_contains(tokens, hint) | F.array_contains(snake, hint)
-        if "_" in hint:
-            one = one | low.startswith(f"{hint}_") | low.endswith(f"_{hint}") | F.contains(low, F.lit(f"_{hint}_"))
-        if len(hint) >= 5:
-            one = one | F.contains(low, F.lit(hint))
-        hit = hit | one
+def matches_hints(low: Column, hints) -> Column:
+    """Whole-name, token or snake-part match of a lower-cased name, or substring for hints of five letters and more.
+
+    For a long hint the substring covers the rest; a short one must stand between characters that
+    are neither letters nor digits, and a short compound between underscores or the ends.
+    """
+    hit = any_contains(low, [h for h in hints if len(h) >= 5])
+    words = [h for h in hints if len(h) < 5 and "_" not in h]
+    if words:
+        hit = hit | low.rlike(f"(?<![a-z0-9])(?:{'|'.join(words)})(?![a-z0-9])")
+    for h in hints:
+        if len(h) < 5 and "_" in h:
+            hit = hit | F.contains(F.concat(F.lit("_"), low, F.lit("_")), F.lit(f"_{h}_"))
     return hit

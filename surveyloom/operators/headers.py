@@ -9,15 +9,23 @@ from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
 from ..functions.scalars import _ASCII_DIGITS, _FOREIGN_DIGITS, any_contains
+from ..plans.holding import hold
 from .ordered import MAX_ROWS_PER_TASK, running_totals
 
 MAX_SLUG = 64
 
 
-def semantic_name(header: Column) -> Column:
-    """Name of the first pattern with a hit, NULL if none. A projection: no join with the patterns."""
-    text = F.lower(F.coalesce(header, F.lit("")))
-    return F.coalesce(*[F.when(any_contains(text, needles), F.lit(name)) for name, needles in fv.SEMANTIC_PATTERNS])
+def semantic_name(lowered: Column) -> Column:
+    """Name of the first pattern with a hit in the lower-cased header, NULL if none.
+
+    A projection: no join with the patterns. ``lowered`` should be a plain column, it is used for
+    every pattern.
+    """
+    return F.coalesce(*[F.when(any_contains(lowered, needles), F.lit(name)) for name, needles in fv.SEMANTIC_PATTERNS])
+
+
+def with_semantic_names(df: DataFrame, header: str, name: str) -> DataFrame:
+    return df.withColumn("_low", F.lower(header)).withColumn(name, semantic_name(F.col("_low"))).drop("_low")
 
 
 def question_number_name(header: Column) -> Column:
@@ -36,23 +44,29 @@ def _fold_to_ascii(text: pd.Series) -> pd.Series:
     return text.map(fold, na_action="ignore")
 
 
-def ascii_slug(header: Column, fallback: Column) -> Column:
-    """Lower-case ASCII name of at most 64 characters, or the fallback."""
-    slug = F.lower(F.regexp_replace(_fold_to_ascii(F.coalesce(header, F.lit(""))), "[^0-9a-zA-Z]+", "_"))
-    slug = F.regexp_replace(slug, "^_+|_+$", "")
+def with_slugs(df: DataFrame, header: str, fallback: Column, name: str) -> DataFrame:
+    """Add the lower-case ASCII name of at most 64 characters of every header, or the fallback.
+
+    The whole text is folded once; the later steps read the staged columns.
+    """
+    staged = df.withColumn("_slug", _fold_to_ascii(F.coalesce(F.col(header), F.lit("")))).withColumn(
+        "_slug", F.lower(F.regexp_replace("_slug", "[^0-9a-zA-Z]+", "_"))).withColumn("_slug", F.trim("_slug", F.lit("_")))
+    slug = F.col("_slug")
     prefixed = F.when(slug.rlike("^[0-9]"), F.concat(F.lit("v_"), slug)).otherwise(slug)
-    cut = F.regexp_replace(F.substring(prefixed, 1, MAX_SLUG), "^_+|_+$", "")
     usable = (F.length(slug) >= 2) & ~slug.startswith("unnamed")
-    return F.when(usable, cut).otherwise(fallback)
+    cut = F.trim(F.substring(prefixed, 1, MAX_SLUG), F.lit("_"))
+    return staged.withColumn(name, F.when(usable, cut).otherwise(fallback)).drop("_slug")
 
 
 def position_name(position: Column) -> Column:
     return F.format_string("q%02d", position.cast("int"))
 
 
-def base_name(header: Column, position: Column) -> Column:
-    return F.coalesce(semantic_name(header), question_number_name(header),
-                      ascii_slug(header, position_name(position)))
+def with_base_names(df: DataFrame, header: str, position: str, name: str = "base") -> DataFrame:
+    """Add the semantic name, else the question number, else the slug of every header."""
+    slugged = with_slugs(df, header, position_name(F.col(position)), "_fallback")
+    return with_semantic_names(slugged, header, name).withColumn(
+        name, F.coalesce(F.col(name), question_number_name(F.col(header)), F.col("_fallback"))).drop("_fallback")
 
 
 def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str,
@@ -61,6 +75,7 @@ def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str
 
     ``position`` is unique within a survey. A base that fills most of a survey is counted in ranges.
     """
+    headers = hold(headers)
     counted = running_totals(headers.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position,
                              ["_one"], max_rows)
     suffix = F.when(F.col("cum__one") > 1, F.concat(F.lit("_"), F.col("cum__one").cast("string"))).otherwise("")
@@ -70,8 +85,7 @@ def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str
 def map_headers(headers: DataFrame, survey: list[str], header: str = "original_question",
                 position: str = "position") -> DataFrame:
     """``(survey, position, original_question, base, variable_name)`` for a table of headers."""
-    named = headers.withColumn("base", base_name(F.col(header), F.col(position)))
-    return dedupe_names(named, survey, "base", position)
+    return dedupe_names(with_base_names(headers, header, position), survey, "base", position)
 
 
 def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
@@ -83,11 +97,9 @@ def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple
     spark = df.sparkSession
     rows = [(i, c, rename.get(c)) for i, c in enumerate(df.columns, start=1)]
     table = spark.createDataFrame(rows, "position int, original_question string, requested string")
-    based = table.select(
-        "position", "original_question",
-        F.when(F.col("requested").isNotNull(), ascii_slug(F.col("requested"), position_name(F.col("position"))))
-        .otherwise(base_name(F.col("original_question"), F.col("position"))).alias("base"),
-    )
+    asked = with_slugs(table, "requested", position_name(F.col("position")), "_asked")
+    based = with_base_names(asked, "original_question", "position").withColumn(
+        "base", F.when(F.col("requested").isNotNull(), F.col("_asked")).otherwise(F.col("base")))
     bases = [r["base"] for r in based.orderBy("position").collect()]
     taken: set[str] = set()
     seen: dict[str, int] = {}

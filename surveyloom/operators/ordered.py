@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MAX_ROWS_PER_TASK = 1_000_000
+MAX_ROWS_PER_TASK = 250_000
 
 
 def _cut_points(df: DataFrame, keys: list[str], order: str, max_rows: int) -> list:

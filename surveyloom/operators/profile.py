@@ -197,16 +197,8 @@ def is_binary_selection(p: ColumnProfile) -> bool:
 def variable_matches(name: str, hints) -> bool:
     """Driver-side twin of :func:`functions.scalars.matches_hints` for column names."""
     low = name.lower()
-    tokens = set("".join(ch if ch.isascii() and ch.isalnum() else " " for ch in low).split(" "))
-    snake = set(low.split("_"))
-    for hint in hints:
-        if hint in tokens or hint in snake or hint == low:
-            return True
-        if "_" in hint and f"_{hint}_" in f"_{low}_":
-            return True
-        if len(hint) >= 5 and hint in low:
-            return True
-    return False
+    tokens = "".join(ch if ch.isascii() and ch.isalnum() else " " for ch in low).split()
+    return any(h in low if len(h) >= 5 else h in tokens or ("_" in h and f"_{h}_" in f"_{low}_") for h in hints)
 
 
 def classification(df: DataFrame, columns: list[str] | None = None, id_columns=()) -> DataFrame:

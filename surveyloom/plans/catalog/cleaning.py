@@ -7,7 +7,7 @@ from ...functions.scalars import matches_hints, normalized_answer, normalized_nu
 from ...operators import clean, describe, headers, profile
 from ...sources import tables
 from ..fixtures import table, view, with_views
-from ..holding import shared_folder
+from ..holding import hold, shared_folder
 from . import query
 from .sql import contains_any, r6, union_all
 
@@ -46,7 +46,7 @@ _SEMANTIC_SQL = "case " + " ".join(
 
 @query("header_semantic", f"select doc_id, {_SEMANTIC_SQL} as variable_name from documents")
 def header_semantic(spark, d):
-    return table(spark, d, "documents").select("doc_id", headers.semantic_name(F.col("text")).alias("variable_name"))
+    return headers.with_semantic_names(table(spark, d, "documents"), "text", "variable_name").select("doc_id", "variable_name")
 
 
 # A third of the headers carry a question number.
@@ -65,9 +65,8 @@ select doc_id, case
 end as variable_name from t""")
 def header_slug(spark, d):
     h = table(spark, d, "documents").select("doc_id", F.expr(_NUMBERED).alias("header"), (F.col("doc_id") + 1).alias("position"))
-    name = F.coalesce(headers.question_number_name(F.col("header")),
-                      headers.ascii_slug(F.col("header"), headers.position_name(F.col("position"))))
-    return h.select("doc_id", name.alias("variable_name"))
+    slugs = headers.with_slugs(h, "header", headers.position_name(F.col("position")), "slug")
+    return slugs.select("doc_id", F.coalesce(headers.question_number_name(F.col("header")), "slug").alias("variable_name"))
 
 
 @query("header_dedupe", f"""
@@ -75,8 +74,8 @@ with h as (select doc_id, source, coalesce({_SEMANTIC_SQL}, lang) as base from d
 r as (select *, row_number() over (partition by source, base order by doc_id) as rn from h)
 select doc_id, source, case when rn = 1 then base else base || '_' || cast(rn as varchar) end as variable_name from r""")
 def header_dedupe(spark, d):
-    h = table(spark, d, "documents").select(
-        "doc_id", "source", F.coalesce(headers.semantic_name(F.col("text")), F.col("lang")).alias("base"))
+    h = headers.with_semantic_names(table(spark, d, "documents"), "text", "base").select(
+        "doc_id", "source", F.coalesce("base", "lang").alias("base"))
     return headers.dedupe_names(h, ["source"], "base", "doc_id").select("doc_id", "source", "variable_name")
 
 
@@ -212,7 +211,7 @@ def classify_columns(spark, d):
     f"select '{c}' as variable, count(distinct {c}) = 2 and min({c}) = 0 and max({c}) = 1 as is_binary from multi"
     for c in ("outcome_returned", "outcome_accepted", "outcome_none", "respondent")), "multi"))
 def binary_columns(spark, d):
-    return profile.binary_columns(view(spark, d, "multi"), ["outcome_returned", "outcome_accepted", "outcome_none", "respondent"])
+    return profile.binary_columns(hold(view(spark, d, "multi")), ["outcome_returned", "outcome_accepted", "outcome_none", "respondent"])
 
 
 _HINTS = {"basic": fv.BASIC_HINTS, "behavior": fv.BEHAVIOR_HINTS, "cognitive": fv.COGNITIVE_HINTS}
@@ -233,5 +232,5 @@ def _hint_sql(hints) -> str:
        "t as (select *, regexp_split_to_array(name, '[^a-z0-9]+') as tokens, string_split(name, '_') as snake from n) "
        "select doc_id, " + ", ".join(f"{_hint_sql(h)} as {g}" for g, h in _HINTS.items()) + " from t")
 def hint_match(spark, d):
-    return table(spark, d, "documents").select(
-        "doc_id", *[matches_hints(F.col("text"), h).alias(g) for g, h in _HINTS.items()])
+    t = table(spark, d, "documents").select("doc_id", F.lower("text").alias("name"))
+    return t.select("doc_id", *[matches_hints(F.col("name"), h).alias(g) for g, h in _HINTS.items()])

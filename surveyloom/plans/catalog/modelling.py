@@ -8,6 +8,7 @@ from ...functions.scalars import round6
 from ...operators import conjoint, models, moments, roles, scales
 from ...operators.profile import is_likert_item, profile
 from ..fixtures import view, with_views
+from ..holding import hold
 from . import query
 from .sql import normal_p, r6, union_all
 
@@ -192,13 +193,13 @@ def choice_profile_counts(spark, d):
 
 @query("conjoint_choice")
 def conjoint_choice(spark, d):
-    choice = view(spark, d, "choice").drop("rating")
+    choice = hold(view(spark, d, "choice").select("chosen", *_ATTRIBUTES))
     return conjoint.run_conjoint(choice, "chosen", None, _ATTRIBUTES)[0]
 
 
 @query("conjoint_rating")
 def conjoint_rating(spark, d):
-    choice = view(spark, d, "choice").drop("chosen")
+    choice = hold(view(spark, d, "choice").select("rating", *_ATTRIBUTES))
     return conjoint.run_conjoint(choice, None, "rating", _ATTRIBUTES)[0]
 
 

@@ -7,6 +7,7 @@ from ...functions.scalars import round6
 from ...operators import describe, facts, purchase, stat_tests
 from ...operators.profile import level_frequencies, profile
 from ..fixtures import table, view, with_views
+from ..holding import hold
 from . import ORACLES, query
 from .cleaning import _SURVEY, _class_sql
 from .describing import _levels_sql, bins_sql
@@ -57,7 +58,7 @@ select 'outcome' as variable, 'Which outcomes occurred' as original_question, le
        {r6('count / (select sum(count)::double from c)')} as percent, source_variable, respondent_n,
        {r6('count / respondent_n::double')} as respondent_percent from c where count > 0""", "multi"))
 def multi_select(spark, d):
-    multi = view(spark, d, "multi")
+    multi = hold(view(spark, d, "multi"))
     variable_map = spark.createDataFrame(
         [("respondent", "respondent")] + [(f"Which outcomes occurred - {o}", v) for v, o in _OPTIONS],
         "original_question string, variable_name string")
@@ -128,7 +129,7 @@ union all select 'ranking', 'top_brand', place, dimension || ':' || brand, mean_
 def report_facts(spark, d):
     lineitem = table(spark, d, "lineitem").drop("l_orderkey", "l_partkey", "l_suppkey")
     stats = profile(lineitem)
-    tests = stat_tests.chi_square_tests(lineitem, stat_tests.categorical_pairs(stats), stats=stats)
+    tests = hold(stat_tests.chi_square_tests(lineitem, stat_tests.categorical_pairs(stats), stats=stats))
     rows = stats["l_quantity"].rows
     t = facts.report_facts({"independence_tests": tests, "ranking_summary": describe.ranking_summary(view(spark, d, "ranks"))},
                            rows, rows, lineitem)

@@ -18,6 +18,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the source has fewer splits than that, e.g. one file with one row group."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_survey(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path) if path.lower().endswith(".csv") else read_parquet(spark, path)
 

@@ -29,8 +29,8 @@ def test_headers_of_a_questionnaire(spark):
     ("2nd try", 1, "v_2nd_try"), ("Crème brûlée", 1, "creme_brulee"), ("x", 9, "q09"), ("a" * 80, 1, "a" * 64), ("ＡＢＣ", 2, "abc"),
 ])
 def test_fallback_names(spark, header, position, name):
-    row = spark.createDataFrame([(header, position)], "h string, p int").select(headers.base_name(F.col("h"), F.col("p"))).first()
-    assert row[0] == name
+    row = headers.with_base_names(spark.createDataFrame([(header, position)], "h string, p int"), "h", "p").first()
+    assert row["base"] == name
 
 
 def test_suffixes_stay_unique(spark):
