@@ -17,7 +17,7 @@ def descriptives(df: DataFrame, columns: list[str] | None = None, max_rows: int
     """Count, missing, moments, exact quartiles and exact distinct count per numeric column."""
     columns = columns or numeric_columns(df)
     stats = scan_statistics(df, columns)
-    freq = hold(numeric_frequencies(df, columns))
+    freq = numeric_frequencies(df, columns)
     cum = running_totals(freq, ["variable"], "value", ["n"], max_rows)
     aggs, finals = quantile_columns("value", "cum_n", "tot_n", {"p25": 0.25, "median": 0.5, "p75": 0.75})
     spread = cum.groupBy("variable").agg(F.count(F.lit(1)).alias("unique"), *aggs).select("variable", "unique", *finals)
@@ -75,7 +75,7 @@ def quantile_bins(df: DataFrame, columns: list[str], q: int, keys: list[str] = (
 
 def bin_edges(df: DataFrame, columns: list[str], q: int, max_rows: int = MAX_ROWS_PER_TASK) -> dict[str, list[float]]:
     """Distinct quantile edges per column: at most ``q + 1`` numbers each."""
-    freq = hold(numeric_frequencies(df, columns))
+    freq = numeric_frequencies(df, columns)
     names = [f"e{i}" for i in range(q + 1)]
     rows = weighted_quantiles(freq, ["variable"], "value", "n", {n: i / q for i, n in enumerate(names)}, max_rows)
     return {r["variable"]: sorted({r[n] for n in names}) for r in rows.collect()}
@@ -92,7 +92,7 @@ def ranking_summary(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFra
               "mean_rank double, median_rank double, n bigint")
     if not blocks:
         return df.sparkSession.createDataFrame([], schema)
-    freq = hold(numeric_frequencies(df, [c for _, c in blocks]))
+    freq = numeric_frequencies(df, [c for _, c in blocks])
     cum = running_totals(freq, ["variable"], "value", ["n"], max_rows)
     aggs, finals = quantile_columns("value", "cum_n", "tot_n", {"median_rank": 0.5})
     stats = cum.groupBy("variable").agg(

@@ -9,7 +9,6 @@ from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
 from ..functions.scalars import _ASCII_DIGITS, _FOREIGN_DIGITS, any_contains
-from ..plans.holding import hold
 from .ordered import MAX_ROWS_PER_TASK, running_totals
 
 MAX_SLUG = 64
@@ -75,7 +74,6 @@ def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str
 
     ``position`` is unique within a survey. A base that fills most of a survey is counted in ranges.
     """
-    headers = hold(headers)
     counted = running_totals(headers.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position,
                              ["_one"], max_rows)
     suffix = F.when(F.col("cum__one") > 1, F.concat(F.lit("_"), F.col("cum__one").cast("string"))).otherwise("")

@@ -9,44 +9,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..plans.holding import hold
+
 MAX_ROWS_PER_TASK = 250_000
 
 
 def _cut_points(df: DataFrame, keys: list[str], order: str, max_rows: int) -> list:
     """Per large group the values that cut it into ranges of about ``max_rows / 4`` rows.
 
-    There are at most ``rows / max_rows`` such groups, and each sends at most 1000 values.
+    Small groups send nothing; in all at most ``4 * rows / max_rows`` values come to the driver.
     """
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows).collect()
     if not hot:
         return []
     fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
     hot_keys = df.sparkSession.createDataFrame([tuple(r) for r in hot], f"{fields}, _rows bigint")
-    large = (
-        df.join(F.broadcast(hot_keys), keys)
+    sketched = (
+        df.join(F.broadcast(hot_keys), keys)  # at most rows / max_rows keys
         .groupBy(*keys)
-        .agg(F.first("_rows").alias("_rows"), F.percentile_approx(order, _grid(1000), 10_000).alias("_cuts"))
-        .collect()
+        .agg(F.first("_rows").alias("_rows"), F.percentile_approx(order, [i / 1000 for i in range(1, 1000)], 10_000).alias("_q"))
     )
-    found = []
-    for row in large:
-        wanted = min(1000, -(-4 * row["_rows"] // max_rows))
-        step = len(row["_cuts"]) / wanted
-        cuts = sorted({row["_cuts"][int(i * step)] for i in range(wanted)})
-        found.append((*[row[k] for k in keys], cuts))
-    return found
-
-
-def _grid(n: int) -> list[float]:
-    return [i / n for i in range(1, n)]
+    wanted = F.least(F.lit(1000), F.ceil(4 * F.col("_rows") / F.lit(max_rows)))
+    picked = F.transform(F.sequence(F.lit(1), wanted.cast("int") - 1),
+                         lambda i: F.get("_q", F.floor(i * 1000 / wanted).cast("int") - 1))
+    return [tuple(r) for r in sketched.select(*keys, F.array_distinct(picked)).collect()]
 
 
 def running_totals(df: DataFrame, keys: list[str], order: str, columns: list[str],
                    max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """Add ``cum_<c>`` (sum up to and including the row) and ``tot_<c>`` per key group.
 
-    ``order`` is numeric and unique within a group. ``df`` is read twice; hold it if it is costly.
+    ``order`` is numeric and unique within a group. ``df`` is held: its group sizes are looked at first.
     """
+    df = hold(df)
     cuts = _cut_points(df, keys, order, max_rows)
     if not cuts:
         whole = Window.partitionBy(*keys)

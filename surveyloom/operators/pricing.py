@@ -67,8 +67,7 @@ def cumulative_prices(checked: DataFrame, segment: str, points: int = GRID_POINT
     """Grid with ``c_<kind>``: answers at or above (cheap kinds) or at or below (expensive kinds) the price."""
     counts = hold(price_counts(checked, segment))
     names = [f"n_{k}" for k in fv.PRICE_KEYS]
-    grid = hold(price_grid(counts, segment, points))
-    cum = running_totals(grid, [segment], "price", names, max_rows)
+    cum = running_totals(price_grid(counts, segment, points), [segment], "price", names, max_rows)
     out = [segment, "price", *names, F.col("tot_n_too_cheap").alias("rows")]
     for k in fv.PRICE_KEYS:
         upto = F.col(f"cum_n_{k}")

@@ -29,7 +29,14 @@ def cluster_features(stats: dict[str, ColumnProfile], candidates: list[str]) ->
 
 
 def counted_points(z: DataFrame, features: list[str]) -> DataFrame:
-    """``(features, weight)``: equal rows collapse. Scale answers leave few distinct points."""
+    """``(features, weight)``: equal rows collapse, as scale answers leave few distinct points.
+
+    Where a sketch finds mostly different rows, collapsing would shuffle them all for nothing.
+    """
+    rows, distinct = z.agg(F.count(F.lit(1)), F.approx_count_distinct(
+        F.xxhash64(*[F.col(f"`{f}`") for f in features]))).first()
+    if distinct > rows / 2:
+        return z.select(*features, F.lit(1.0).alias("weight"))
     return z.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
@@ -167,9 +174,10 @@ def silhouette(points: DataFrame, features: list[str], centers: np.ndarray, anch
             x, weight, cluster = rows[:, :width], rows[:, width], rows[:, width + 1].astype(int) - 1
             member = np.zeros((len(rows), k))
             member[np.arange(len(rows)), cluster] = weight
-            for start in range(0, len(anchor_x), 128):
-                diff = anchor_x[start:start + 128, None, :] - x[None, :, :]
-                sums[start:start + 128] += np.sqrt((diff * diff).sum(axis=2)) @ member
+            step = max(1, 4_000_000 // max(1, x.size))
+            for start in range(0, len(anchor_x), step):
+                diff = anchor_x[start:start + step, None, :] - x[None, :, :]
+                sums[start:start + step] += np.sqrt((diff * diff).sum(axis=2)) @ member
             sizes += member.sum(axis=0)
         a, c = np.divmod(np.arange(sums.size), k)
         yield pa.RecordBatch.from_arrays(
