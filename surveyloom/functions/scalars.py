@@ -79,11 +79,27 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
 
 
-def any_contains(haystack: Column, needles) -> Column:
+def any_contains(haystack: Column, needles, east_asian: Column | None = None) -> Column:
+    """Whether any needle occurs. Needles that contain another one are implied by it.
+
+    ``east_asian`` tells whether the text has such characters at all; Chinese needles are only
+    looked for there.
+    """
+    needles = list(dict.fromkeys(n.lower() for n in needles))
+    needles = [n for n in needles if not any(m != n and m in n for m in needles)]
+    plain = [n for n in needles if east_asian is None or n.isascii()]
     hit = F.lit(False)
+    for needle in plain:
+        hit = hit | F.contains(haystack, F.lit(needle))
+    other = F.lit(False)
     for needle in needles:
-        hit = hit | F.contains(haystack, F.lit(needle.lower()))
-    return hit
+        if needle not in plain:
+            other = other | F.contains(haystack, F.lit(needle))
+    return hit if len(plain) == len(needles) else hit | (east_asian & other)
+
+
+def has_east_asian(text: Column) -> Column:
+    return text.rlike(r"[\u2E80-\u9FFF\uFF00-\uFFEF]")
 
 
 def answer_text(raw: Column) -> Column:

@@ -8,23 +8,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import _ASCII_DIGITS, _FOREIGN_DIGITS, any_contains
+from ..functions.scalars import _ASCII_DIGITS, _FOREIGN_DIGITS, any_contains, has_east_asian
 from .ordered import MAX_ROWS_PER_TASK, running_totals
 
 MAX_SLUG = 64
 
 
-def semantic_name(lowered: Column) -> Column:
+def semantic_name(lowered: Column, east_asian: Column) -> Column:
     """Name of the first pattern with a hit in the lower-cased header, NULL if none.
 
-    A projection: no join with the patterns. ``lowered`` should be a plain column, it is used for
-    every pattern.
+    A projection: no join with the patterns. Both arguments should be plain columns, they are used
+    for every pattern.
     """
-    return F.coalesce(*[F.when(any_contains(lowered, needles), F.lit(name)) for name, needles in fv.SEMANTIC_PATTERNS])
+    return F.coalesce(*[F.when(any_contains(lowered, needles, east_asian), F.lit(name))
+                        for name, needles in fv.SEMANTIC_PATTERNS])
 
 
 def with_semantic_names(df: DataFrame, header: str, name: str) -> DataFrame:
-    return df.withColumn("_low", F.lower(header)).withColumn(name, semantic_name(F.col("_low"))).drop("_low")
+    staged = df.withColumn("_low", F.lower(header)).withColumn("_east", has_east_asian(F.col("_low")))
+    return staged.withColumn(name, semantic_name(F.col("_low"), F.col("_east"))).drop("_low", "_east")
 
 
 def question_number_name(header: Column) -> Column:

@@ -19,9 +19,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the source has fewer splits than that, e.g. one file with one row group."""
+    """Rows over all cores where the source is one wave of tasks or less and has fewer files than cores.
+
+    A file with one row group is a single task however many splits it has. Larger sources are
+    never shuffled here.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    small = df.rdd.getNumPartitions() <= cores and len(df.inputFiles()) < cores
+    return df.repartition(cores) if small else df
 
 
 def read_survey(spark: SparkSession, path: str) -> DataFrame:
