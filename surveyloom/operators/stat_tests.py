@@ -316,8 +316,8 @@ def run_independence_tests(df: DataFrame, pairs: list[tuple[str, str]] = (), pri
     stats = profile(df)
     explicit = [tuple(resolve_names(p, mapping or {})) for p in pairs]
     explicit = [(a, b) for a, b in explicit if a in stats and b in stats][:100]
-    explicit = explicit and [(a, b) for a, b in explicit if is_categorical(stats[a]) and is_categorical(stats[b])]
-    chosen = explicit if pairs and explicit else ([] if pairs else categorical_pairs(stats, id_columns))
+    chosen = [(a, b) for a, b in explicit or categorical_pairs(stats, id_columns)
+              if is_categorical(stats[a]) and is_categorical(stats[b])]
     tests = chi_square_tests(df, chosen, stats=stats)
     if segment in df.columns:
         tests = tests.unionByName(segment_tests(df, segment, stats, {frozenset(p) for p in chosen}, id_columns))

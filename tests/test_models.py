@@ -160,6 +160,12 @@ def test_explicit_pair_with_many_levels(spark):
     assert len(t) == 1 and t[0]["df"] == 89 and t[0]["statistic"] == pytest.approx(900.0)
 
 
+def test_unknown_pairs_fall_back_to_all(spark):
+    df = spark.createDataFrame([("ab"[i % 2], "xyz"[i % 3], float(i % 40)) for i in range(120)], "a string, b string, c double")
+    t = stat_tests.run_independence_tests(df, [("a", "gone")]).where("method = 'chi_square_independence'").collect()
+    assert [(r["variable_a"], r["variable_b"]) for r in t] == [("a", "b")]
+
+
 def test_kmeans_matches_plain_lloyd(spark, noisy):
     points = segments.counted_points(noisy.select("x", "m"), ["x", "m"])
     centers, inertia = segments.fit_kmeans(points, ["x", "m"], 3, restarts=10)
