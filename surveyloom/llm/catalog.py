@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid
+from . import bpe, decontaminate, langid, simhash
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def language_id(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
 
 
+@query("op4_simhash")
+def simhash_groups(spark, sf_dir):
+    return simhash.digest(simhash.near_duplicates(table(spark, sf_dir, "documents")))
+
+
 @query("op5_byte_bpe")
 def byte_bpe(spark, sf_dir):
     return bpe.digest(bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False))
@@ -40,10 +45,10 @@ DECONTAMINATION_SQL = r"""
 with docs as (
   select row_number() over () as r, doc_id,
          list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '') as w from documents),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') as w from documents),
 items as (
   select item_id, list_filter(string_split_regex(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), x -> x <> '') as w from benchmark),
+                     '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda x: x <> '') as w from benchmark),
 grams as (
   select distinct item_id, least(10, len(w)) as n, list_slice(w, i, i + least(10, len(w)) - 1) as g
   from (select item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i from items where len(w) > 0)),
