@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, simhash
+from . import bpe, decontaminate, langid, repeats, simhash
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ from docs left join words using (r) left join found using (r)
 @query("op7_decontamination", DECONTAMINATION_SQL)
 def decontamination(spark, sf_dir):
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query("op8_repeated_bytes")
+def repeated_bytes(spark, sf_dir):
+    return repeats.digest(repeats.repeated_bytes(table(spark, sf_dir, "documents")))

@@ -128,6 +128,25 @@ def training_sample(docs: DataFrame, lang_col: str, text_col: str, id_col: str,
     return {k: b"\n".join(sorted(v)) for k, v in found.items() if v}
 
 
+def trained(spark, train: DataFrame, lang_col: str, text_col: str, id_col: str, sample_bytes: int, order: int):
+    """The model as a broadcast; its size follows the bounded sample. None without labelled text."""
+    samples = training_sample(train, lang_col, text_col, id_col, sample_bytes)
+    return spark.sparkContext.broadcast(ContextTrees(samples, order) if samples else None)
+
+
+def judged(model: ContextTrees | None, texts: list[bytes], letters: list[bool]):
+    """(language, score, bits per byte) of each text; ``und``, 0 and None where there is no letter or no model."""
+    names, scores, rates = [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts)
+    for first in range(0, len(texts) if model is not None else 0, 2000):
+        bits = model.code_lengths(texts[first:first + 2000])
+        for i, b in enumerate(bits.argmin(1).tolist()):
+            if letters[first + i]:
+                names[first + i] = model.languages[b]
+                scores[first + i] = float(1 / np.exp2(np.maximum(bits[i, b] - bits[i], -1000)).sum())
+                rates[first + i] = float(bits[i, b] / len(texts[first + i]))
+    return names, scores, rates
+
+
 def identify(docs: DataFrame, train: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
              sample_bytes: int = SAMPLE_BYTES, order: int = ORDER) -> DataFrame:
     """One row per document: doc_id, tag, lang_pred, score, bits_per_byte.
@@ -137,25 +156,12 @@ def identify(docs: DataFrame, train: DataFrame, lang_col: str = "lang", text_col
     is every text if ``train`` has no labelled text. Only texts and languages of ``train`` are learned,
     only the text is looked at.
     """
-    spark = docs.sparkSession
-    samples = training_sample(train, lang_col, text_col, id_col, sample_bytes)
-    shared = spark.sparkContext.broadcast(ContextTrees(samples, order) if samples else None)
+    shared = trained(docs.sparkSession, train, lang_col, text_col, id_col, sample_bytes, order)
     rows = keyed(docs, id_col, text_col).withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches):
-        model = shared.value
         for batch in batches:
-            texts = texts_of(batch.column("text"))
-            letters = batch.column("letters").to_pylist()
-            names, scores, rates = [UNDETERMINED] * len(texts), [0.0] * len(texts), [None] * len(texts)
-            if model is not None:
-                bits = np.concatenate([model.code_lengths(texts[i:i + 2000]) for i in range(0, len(texts), 2000)] or [np.zeros((0, len(model.languages)))])
-                best = bits.argmin(1) if len(texts) else []
-                for i, b in enumerate(best):
-                    if letters[i]:
-                        names[i] = model.languages[b]
-                        scores[i] = float(1 / np.exp2(np.maximum(bits[i, b] - bits[i], -1000)).sum())
-                        rates[i] = float(bits[i, b] / len(texts[i]))
+            names, scores, rates = judged(shared.value, texts_of(batch.column("text")), batch.column("letters").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tag"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
                 ["doc_id", "tag", "lang_pred", "score", "bits_per_byte"])
@@ -163,5 +169,22 @@ def identify(docs: DataFrame, train: DataFrame, lang_col: str = "lang", text_col
     return rows.mapInArrow(run, "doc_id long, tag long, lang_pred string, score double, bits_per_byte double")
 
 
+def relabel(docs: DataFrame, train: DataFrame, most_bits: float, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id",
+            sample_bytes: int = SAMPLE_BYTES, order: int = ORDER) -> DataFrame:
+    """``docs`` with all columns and the predicted language in ``lang_col``; undetermined texts and those of ``most_bits`` per byte or more go."""
+    shared = trained(docs.sparkSession, train, lang_col, text_col, id_col, sample_bytes, order)
+    names, text, lang = docs.columns, docs.columns.index(text_col), docs.columns.index(lang_col)
+
+    def run(batches):
+        for batch in batches:
+            found, _, rates = judged(shared.value, texts_of(batch.column(text)), batch.column(len(names)).to_pylist())
+            columns = [pa.array(found, pa.string()) if k == lang else batch.column(k) for k in range(len(names))]
+            keep = [n != UNDETERMINED and r < most_bits for n, r in zip(found, rates)]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+
+    letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__letters")
+    return docs.select("*", letters).mapInArrow(run, docs.schema)
+
+
 def training_rows(docs: DataFrame, id_col: str = "doc_id", modulus: int = 4, remainder: int = 2) -> DataFrame:
     return docs.where(~held_out(F.col(id_col), modulus, remainder))
