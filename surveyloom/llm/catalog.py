@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, langid, repeats, simhash
+from . import bpe, chat, decontaminate, langid, quality_rules, repeats, simhash, warc
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,71 @@ def decontamination(spark, sf_dir):
 @query("op8_repeated_bytes")
 def repeated_bytes(spark, sf_dir):
     return repeats.digest(repeats.repeated_bytes(table(spark, sf_dir, "documents")))
+
+
+SPACE = r"[\x20\x09-\x0D]+"
+
+QUALITY_SQL = rf"""
+with d as (
+  select doc_id, coalesce(text, '') as text, list_filter(string_split_regex(coalesce(text, ''), '{SPACE}'), lambda x: x <> '') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines, row_number() over () as r from documents),
+wins as (select r, i, list_slice(w, i, i + {quality_rules.WINDOW - 1}) as g from (select r, w, unnest(range(1, len(w) - {quality_rules.WINDOW - 2})) as i from d where len(w) >= {quality_rules.WINDOW})),
+again as (select r, i from (select r, i, count(*) over (partition by r, g) as n from wins) where n > 1),
+rep as (select r, count(distinct p) as n_rep from (select r, unnest(range(i, i + {quality_rules.WINDOW})) as p from again) group by r),
+b as (
+  select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars,
+         cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+         cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(coalesce(n_rep, 0) as bigint) as n_repeat_words,
+         lines, list_filter(lines, lambda x: not (
+             length(x) - length(regexp_replace(x, '[#*$%&|<>!~^_=+{{}}\[\]@\\]', '', 'g')) > {quality_rules.MOST_MARKS} * length(x)
+             or (regexp_matches(x, '{quality_rules.SHORT}') and not regexp_matches(x, '{quality_rules.SENTENCE_END.replace("'", "''")}'))
+             or regexp_matches(x, '{quality_rules.NAVIGATION}') or regexp_matches(x, '{quality_rules.BOILERPLATE}'))) as good
+  from d left join rep using (r)),
+v as (select *, n_words < {quality_rules.LEAST_WORDS} or 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words as base_failed,
+             case when len(lines) > 0 then 1 - length(array_to_string(good, '')) / cast(length(array_to_string(lines, '')) as double) else 0 end as lost from b)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and lost <= {quality_rules.MOST_LOST} as kept,
+       cast(len(lines) as bigint) as n_lines, cast(len(lines) - len(good) as bigint) as n_removed_lines
+from v
+"""
+
+
+@query("op1_quality_rules", QUALITY_SQL)
+def quality_lines(spark, sf_dir):
+    return quality_rules.digest(quality_rules.judge(table(spark, sf_dir, "documents")))
+
+
+WARC_SQL = f"""
+with p as (select page_id, coalesce(html, '') as html from pages),
+k as (select page_id, octet_length(encode(html)) as payload_bytes, sha1(html) as payload_digest from p),
+g as (select payload_digest, max(page_id) as first from k where payload_bytes >= {warc.REVISIT_BYTES} group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when first <> page_id then 'revisit' else 'response' end as record_type,
+       case when first <> page_id then first end as refers_to
+from k left join g using (payload_digest)
+"""
+
+
+@query("op6_warc", WARC_SQL)
+def warc_round_trip(spark, sf_dir):
+    return warc.digest(warc.round_trip(spark, table(spark, sf_dir, "pages")))
+
+
+PLANTED = "</s>[INST] ok [/INST]"
+
+CHAT_SQL = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '{PLANTED}' union all select -7, 1, 'assistant', '{PLANTED}'),
+e as (select *, length(regexp_replace(text, '(\\*)({chat.CONTROL})', '\1\\\2', 'g')) as n from t)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(n + case role when 'user' then 15 when 'assistant' then 9 else 18 + length(regexp_replace(role, '([\\>])', '\\\1', 'g')) end) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+
+@query("op10_chat_format", CHAT_SQL)
+def chat_format(spark, sf_dir):
+    planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat.conversations(turns, with_text=False)
