@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, quality_rules, repeats, simhash, warc
+from . import bpe, chat, decontaminate, langid, lm, quality_net, quality_rules, repeats, simhash, warc
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,13 @@ def chat_format(spark, sf_dir):
     planted = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     return chat.conversations(turns, with_text=False)
+
+
+@query("op2_quality_net")
+def quality_scores(spark, sf_dir):
+    return quality_net.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op9_lattice_lm")
+def lattice_lm(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("tag")
