@@ -29,6 +29,8 @@ CHUNK = 1 << 20
 
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+# The fields that every record has to have.
+MANDATORY = ("warc-type", "warc-record-id", "warc-date", "content-length")
 END = b"\r\n\r\n"
 
 
@@ -135,11 +137,11 @@ def head_of(block: bytes) -> tuple[dict[str, str], int]:
     fields = {}
     for line in block[version.end():end].decode("utf-8", "replace").split("\r\n"):
         name, colon, value = line.partition(":")
-        if not colon:
+        if not colon or re.search(r"[\x00-\x08\x0a-\x1f]", line):
             raise Broken("bad header line")
         fields[name.strip().lower()] = value.strip()
-    if not fields.get("content-length", "").isdigit():
-        raise Broken("no content length")
+    if any(name not in fields for name in MANDATORY) or not re.fullmatch(r"[0-9]+", fields["content-length"]):
+        raise Broken("mandatory field missing")
     return fields, end + len(END)
 
 
