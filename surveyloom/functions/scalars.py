@@ -109,10 +109,11 @@ def answer_text(raw: Column) -> Column:
     return F.when(~compact.isin(*fv.MISSING_TOKENS), text)
 
 
-def text_number(answer: Column) -> Column:
+def text_number(answer: Column, plain: bool = True) -> Column:
     """Number that an :func:`answer_text` stands for: Likert label, percentage, leading or trailing number.
 
-    ``answer`` should be a plain column: it is used several times.
+    ``plain`` admits texts of over 12 characters that are a number as a whole. ``answer`` should be a
+    plain column: it is used several times.
     """
     text = F.translate(answer, _FOREIGN_DIGITS, _ASCII_DIGITS)
     likert = F.expr("map(" + ", ".join(f"{sql_text(k)}, {v}D" for k, v in fv.LIKERT_MAP.items()) + ")")
@@ -126,7 +127,7 @@ def text_number(answer: Column) -> Column:
         label,
         F.when(short, F.when(percent, leading / 100).otherwise(leading)),
         F.when(worded, trailing),
-        F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double")),
+        *([F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))] if plain else []),
     )
 
 
@@ -135,12 +136,12 @@ def normalized_number(raw: Column) -> Column:
 
 
 def normalized_answer(raw: Column) -> Column:
-    """Cleaned answer as text: numbers print as doubles, everything else stripped."""
+    """Cleaned answer as text: numbers print as doubles, everything else, digit strings of over 12 characters too, stripped."""
     return answer_or_number(answer_text(raw))
 
 
 def answer_or_number(answer: Column) -> Column:
-    return F.coalesce(text_number(answer).cast("string"), answer)
+    return F.coalesce(text_number(answer, plain=False).cast("string"), answer)
 
 
 def matches_hints(low: Column, hints) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import answer_or_number, answer_text, is_numeric, text_number
-from .profile import label, number, numeric_frequencies, profile
+from .profile import ColumnProfile, all_levels, label, number, numeric_frequencies, profile, profiles_of
 from .ordered import weighted_quantiles
 
 NUMERIC_SHARE = 0.70
@@ -86,13 +86,13 @@ def sorted_levels(df: DataFrame, name: str, levels: list[str]) -> list[str]:
     return sorted(levels)
 
 
-def encode_predictors(df: DataFrame, predictors: list[str]) -> dict[str, Column]:
+def encode_predictors(df: DataFrame, predictors: list[str], stats: dict[str, ColumnProfile] | None = None) -> dict[str, Column]:
     """Standardised design columns: z-scored numbers and z-scored dummies of 2-8 level texts.
 
     Standardising uses all rows of the table, whatever rows a model later drops.
     """
     predictors = [p for p in dict.fromkeys(predictors) if p in df.columns]
-    stats = profile(df, predictors)
+    stats = profiles_of(df, predictors, stats)
     design: dict[str, Column] = {}
     for name in predictors:
         p = stats[name]
@@ -109,18 +109,25 @@ def encode_predictors(df: DataFrame, predictors: list[str]) -> dict[str, Column]
 
 
 def dummy_encode(df: DataFrame, name: str, drop_first: bool, keep: list[str]) -> DataFrame:
-    levels = sorted_levels(df, name, [lv for lv, _ in profile(df, [name])[name].levels])
+    levels = sorted_levels(df, name, all_levels(df, profile(df, [name])[name]))
     dummies = dummy_columns(df, name, levels, drop_first)
     return df.select(*keep, *[c.alias(k) for k, c in dummies.items()])
 
 
-def impute_and_standardize(df: DataFrame, features: list[str], keep: list[str]) -> tuple[DataFrame, list[str]]:
-    """Median imputation, then population z-scores; features without spread are dropped."""
+def imputed_columns(df: DataFrame, features: list[str]) -> dict[str, Column]:
+    """Median imputation, then population z-scores, as columns over ``df``; features without spread are dropped."""
     freq = numeric_frequencies(df, features)
     medians = {r["variable"]: r["median"] for r in
                weighted_quantiles(freq, ["variable"], "value", "n", {"median": 0.5}).collect()}
     features = [f for f in features if f in medians]
-    filled = df.select(*keep, *[F.coalesce(number(df, f), F.lit(medians[f])).alias(f) for f in features])
-    stats = filled.agg(*[F.struct(F.avg(f), F.stddev_pop(f)).alias(f) for f in features]).first()
-    kept = [f for f in features if stats[f][1]]
-    return filled.select(*keep, *[zscore_column(F.col(f), *stats[f]).alias(f) for f in kept]), kept
+    if not features:
+        return {}
+    filled = {f: F.coalesce(number(df, f), F.lit(medians[f])) for f in features}
+    stats = df.agg(*[F.struct(F.avg(c), F.stddev_pop(c)).alias(f) for f, c in filled.items()]).first()
+    return {f: zscore_column(c, *stats[f]) for f, c in filled.items() if stats[f][1]}
+
+
+def impute_and_standardize(df: DataFrame, features: list[str], keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """The columns of :func:`imputed_columns` beside ``keep``, and their names."""
+    columns = imputed_columns(df, features)
+    return df.select(*keep, *[c.alias(f) for f, c in columns.items()]), list(columns)

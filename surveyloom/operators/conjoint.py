@@ -12,7 +12,7 @@ from ..plans.holding import hold
 from .clean import dummy_columns, sorted_levels, zscore_column
 from .models import fit_ols
 from .moments import batch_matrix
-from .profile import ColumnProfile, is_id_like, number, profile
+from .profile import ColumnProfile, all_levels, is_id_like, number, profile
 
 CHOICE_SCHEMA = "term string, utility double, attribute string"
 RATING_SCHEMA = "term string, utility double, std_error double, t_or_z double, approx_p double, attribute string"
@@ -20,15 +20,15 @@ MAX_DRIVER_CELLS = 20_000_000  # profiles x terms that are iterated in driver me
 
 
 def detect_structure(stats: dict[str, ColumnProfile], chosen: str | None = None, rating: str | None = None,
-                     attributes=(), exclude=(), id_columns=()) -> tuple[str | None, str | None, list[str]]:
-    """``(chosen, rating, attributes)`` as configured or by column name."""
+                     attributes=(), exclude=(), id_columns=(), max_attributes: int | None = 10) -> tuple[str | None, str | None, list[str]]:
+    """``(chosen, rating, attributes)`` as configured or by column name; of unnamed attributes the first ``max_attributes`` (None: all)."""
     chosen = chosen or next((c for c in fv.CHOSEN_COLUMNS if c in stats), None)
     rating = rating or next((c for c in fv.RATING_COLUMNS if c in stats), None)
     attributes = [a for a in attributes if a]
     if not attributes and (chosen or rating):
         left_out = {chosen, rating, *exclude}
         attributes = [p.name for p in stats.values() if p.name not in left_out
-                      and 2 <= p.distinct <= 20 and not is_id_like(p, id_columns)][:10]
+                      and 2 <= p.distinct <= 20 and not is_id_like(p, id_columns)][:max_attributes]
     return chosen, rating, attributes
 
 
@@ -49,7 +49,7 @@ def attribute_design(df: DataFrame, attributes: list[str], stats: dict[str, Colu
         if p.numeric and p.distinct > 8:
             terms = {a: zscore_column(finite(number(df, a)), p.mean, p.std_pop)}
         else:
-            names = (levels or {}).get(a) or [lv for lv, _ in p.levels]
+            names = (levels or {}).get(a) or all_levels(df, p)
             terms = dummy_columns(df, a, sorted_levels(df, a, names), drop_first=False)
         design.update(terms)
         groups[a] = list(terms)
@@ -110,17 +110,18 @@ def attribute_importance(utilities: DataFrame) -> DataFrame:
     """Utility range per attribute and its share of all ranges."""
     ranges = utilities.where(F.col("attribute") != "model").groupBy("attribute").agg(
         (F.max("utility") - F.min("utility")).alias("utility_range"))
-    # One row per attribute, ten at most.
+    # One row per attribute.
     total = F.sum("utility_range").over(Window.partitionBy(F.lit(1)))
     return ranges.withColumn("relative_importance", F.try_divide(F.col("utility_range"), total))
 
 
 def run_conjoint(df: DataFrame, chosen: str | None = None, rating: str | None = None, attributes=(), exclude=(),
-                 id_columns=(), stats: dict[str, ColumnProfile] | None = None, steps: int = 2500) -> tuple[DataFrame, DataFrame, str]:
+                 id_columns=(), stats: dict[str, ColumnProfile] | None = None, steps: int = 2500,
+                 max_attributes: int | None = 10) -> tuple[DataFrame, DataFrame, str]:
     """``(utilities, importance, kind)``; kind is choice, rating or none."""
     spark = df.sparkSession
     stats = stats or profile(df)
-    chosen, rating, attributes = detect_structure(stats, chosen, rating, attributes, exclude, id_columns)
+    chosen, rating, attributes = detect_structure(stats, chosen, rating, attributes, exclude, id_columns, max_attributes)
     attributes = [a for a in attributes if a in stats]
     nothing = spark.createDataFrame([], CHOICE_SCHEMA)
     target = chosen if chosen in stats else rating if rating in stats else None

@@ -7,8 +7,8 @@ from pyspark.sql.window import Window
 from ..functions import fixed_values as fv
 from ..plans.holding import hold
 from .ordered import MAX_ROWS_PER_TASK, quantile_columns, running_totals, weighted_quantiles
-from .profile import (is_categorical, is_id_like, level_frequencies, numeric_columns,
-                      numeric_frequencies, profile, profiled_columns, scan_statistics)
+from .profile import (ColumnProfile, is_categorical, is_id_like, level_frequencies, numeric_columns,
+                      numeric_frequencies, profiles_of, profiled_columns, scan_statistics)
 
 MAX_LEVELS = 20
 
@@ -40,9 +40,9 @@ def top_levels_per_key(freq: DataFrame, keys: list[str], max_levels: int = MAX_L
 
 
 def categorical_distributions(df: DataFrame, columns: list[str] | None = None,
-                              max_levels: int = MAX_LEVELS, id_columns=()) -> DataFrame:
+                              max_levels: int = MAX_LEVELS, id_columns=(), stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """Top levels of every categorical column that is not id-like and has at least five answers."""
-    stats = profile(df, columns or profiled_columns(df))
+    stats = profiles_of(df, columns or profiled_columns(df), stats)
     chosen = [p.name for p in stats.values() if not is_id_like(p, id_columns) and p.count >= 5
               and (is_categorical(p) or (p.numeric and p.distinct <= 12))]
     if not chosen:

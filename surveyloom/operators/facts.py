@@ -71,6 +71,9 @@ def report_facts(tables: dict[str, DataFrame], raw_rows: int, valid_rows: int, s
         parts.append(_facts(c, "mediation", "supported", F.col("c")))
     if has("regression_coefficients"):
         parts.append(strongest_terms(tables["regression_coefficients"]))
+    if has("regression_fit"):
+        for fact in ("n", "r2", "adj_r2"):
+            parts.append(_facts(tables["regression_fit"], "regression", fact, F.col(fact), name=F.col("outcome")))
     if has("moderation"):
         parts.append(strongest_terms(tables["moderation"], "moderation"))
     if has("segment_profiles"):

@@ -50,7 +50,9 @@ def with_slugs(df: DataFrame, header: str, fallback: Column, name: str) -> DataF
 
     The whole text is folded once; the later steps read the staged columns.
     """
-    staged = df.withColumn("_slug", _fold_to_ascii(F.coalesce(F.col(header), F.lit("")))).withColumn(
+    text = F.coalesce(F.col(header), F.lit(""))
+    foreign = _fold_to_ascii(F.when(text.rlike(r"[^\x00-\x7F]"), text))  # plain texts go as nulls
+    staged = df.withColumn("_slug", F.coalesce(foreign, text)).withColumn(
         "_slug", F.lower(F.regexp_replace("_slug", "[^0-9a-zA-Z]+", "_"))).withColumn("_slug", F.trim("_slug", F.lit("_")))
     slug = F.col("_slug")
     prefixed = F.when(slug.rlike("^[0-9]"), F.concat(F.lit("v_"), slug)).otherwise(slug)
@@ -82,12 +84,6 @@ def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str
     return counted.withColumn("variable_name", F.concat(F.col(base), suffix)).select(*headers.columns, "variable_name")
 
 
-def map_headers(headers: DataFrame, survey: list[str], header: str = "original_question",
-                position: str = "position") -> DataFrame:
-    """``(survey, position, original_question, base, variable_name)`` for a table of headers."""
-    return dedupe_names(with_base_names(headers, header, position), survey, "base", position)
-
-
 def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
     """Rename the columns of one survey; returns ``(renamed, variable_map, original -> new)``.
 
@@ -117,6 +113,14 @@ def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple
     return df.toDF(*names), variable_map, mapping
 
 
+def slug_names(spark, names: list[str]) -> dict[str, str]:
+    """Configured names as variable names, by the same rule as headers."""
+    if not names:
+        return {}
+    table = spark.createDataFrame(list(enumerate(names, start=1)), "position int, name string")
+    return {r["name"]: r["slug"] for r in with_slugs(table, "name", position_name(F.col("position")), "slug").collect()}
+
+
 def resolve_names(names, mapping: dict[str, str]) -> list[str]:
     """Names from a configuration may be question texts or variable names."""
     return [mapping.get(n, n) for n in names]

@@ -12,7 +12,7 @@ from ..functions import fixed_values as fv
 from ..functions.scalars import finite, text_structs
 from .clean import encode_predictors, zscore_column
 from .moments import batch_matrix, gram_matrices
-from .profile import number, profile
+from .profile import ColumnProfile, number, profiles_of
 
 COEFFICIENT_SCHEMA = ("outcome string, term string, standardized_beta double, std_error double, "
                       "t_or_z double, approx_p double")
@@ -62,9 +62,9 @@ def coefficient_rows(fit: dict, terms: list[str]) -> list[tuple]:
     return rows
 
 
-def fit_ols(df: DataFrame, outcome: str, design: dict) -> tuple[list[tuple], dict]:
+def fit_ols(df: DataFrame, outcome: str, design: dict, stats: dict[str, ColumnProfile] | None = None) -> tuple[list[tuple], dict]:
     """Coefficient rows and fit facts; ``design`` holds ready-made (standardised) columns."""
-    stats = profile(df, [outcome])[outcome]
+    stats = profiles_of(df, [outcome], stats)[outcome]
     y = zscore_column(finite(number(df, outcome)), stats.mean, stats.std_pop)
     if not design or not stats.std_pop:
         return [], {"n": 0, "r2": None, "adj_r2": None}
@@ -76,11 +76,12 @@ def fit_ols(df: DataFrame, outcome: str, design: dict) -> tuple[list[tuple], dic
     return coefficient_rows(fit, list(design)), {k: fit[k] for k in ("n", "r2", "adj_r2")}
 
 
-def run_regression(df: DataFrame, outcome: str | None, predictors: list[str]) -> tuple[DataFrame, dict]:
+def run_regression(df: DataFrame, outcome: str | None, predictors: list[str],
+                   stats: dict[str, ColumnProfile] | None = None) -> tuple[DataFrame, dict]:
     spark = df.sparkSession
     if not outcome or outcome not in df.columns:
         return spark.createDataFrame([], COEFFICIENT_SCHEMA), {"n": 0, "r2": None, "adj_r2": None}
-    rows, meta = fit_ols(df, outcome, encode_predictors(df, predictors))
+    rows, meta = fit_ols(df, outcome, encode_predictors(df, predictors, stats), stats)
     return spark.createDataFrame([(outcome, *r) for r in rows], COEFFICIENT_SCHEMA), meta
 
 
@@ -104,13 +105,14 @@ def choose_moderators(df: DataFrame, outcome: str, configured, constructs: list[
 
 
 def run_moderation(df: DataFrame, outcome: str | None, predictors: list[str], moderators: list[str],
-                   max_predictors: int = 6, max_moderators: int = 10) -> DataFrame:
+                   max_predictors: int | None = 6, max_moderators: int | None = 10,
+                   stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """``y ~ z(x) + z(w) + z(x) z(w)`` for every pair; all pairs share one pass over the rows."""
     spark = df.sparkSession
     pairs = list(dict.fromkeys(
         (x, w) for x in predictors[:max_predictors] for w in moderators[:max_moderators] if x != w))
     names = list(dict.fromkeys([outcome, *[c for p in pairs for c in p]])) if outcome and pairs else []
-    stats = profile(df, [c for c in names if c in df.columns])
+    stats = profiles_of(df, [c for c in names if c in df.columns], stats)
     pairs = [(x, w) for x, w in pairs if x in stats and w in stats and stats[x].numeric and stats[w].numeric]
     if not pairs:
         return spark.createDataFrame([], MODERATION_SCHEMA)
@@ -155,13 +157,14 @@ def poisson_weights(keys: np.ndarray, draws: int, seed: int) -> np.ndarray:
 _DRAW_SUMS = ["sw", "sx", "sm", "sy", "sxx", "smm", "syy", "sxm", "sxy", "smy"]
 
 
-def mediation_sums(df: DataFrame, paths: list[tuple[str, str, str]], row_id: str, draws: int, seed: int) -> DataFrame:
+def mediation_sums(df: DataFrame, paths: list[tuple[str, str, str]], row_id: str, draws: int, seed: int,
+                   stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """``(path, draw, sw, sx, ..., smy)``: draw 0 is the sample itself.
 
     One pass for all paths and draws. A task sends ``paths * (draws + 1)`` rows, whatever its size.
     """
     names = list(dict.fromkeys(c for p in paths for c in p))
-    stats = profile(df, names)
+    stats = profiles_of(df, names, stats)
     at = {c: k for k, c in enumerate(names)}
     index = [[at[c] for c in p] for p in paths]
     width = len(names)
@@ -222,19 +225,20 @@ def mediation_effects(sums: DataFrame) -> DataFrame:
 
 
 def mediation_paths(df: DataFrame, outcome: str, predictors: list[str], mediators: list[str],
-                    max_predictors: int = 6, max_mediators: int = 8) -> list[tuple[str, str, str]]:
-    stats = profile(df, [c for c in dict.fromkeys([*predictors, *mediators]) if c in df.columns])
+                    max_predictors: int | None = 6, max_mediators: int | None = 8,
+                    stats: dict[str, ColumnProfile] | None = None) -> list[tuple[str, str, str]]:
+    stats = profiles_of(df, [c for c in dict.fromkeys([*predictors, *mediators]) if c in df.columns], stats)
     mediators = [m for m in mediators if m not in predictors and m in stats and stats[m].numeric]
     return [(x, m, outcome) for x in predictors[:max_predictors] for m in mediators[:max_mediators]
             if x in stats and stats[x].numeric]
 
 
 def run_mediation(df: DataFrame, paths: list[tuple[str, str, str]], row_id: str,
-                  draws: int = 300, seed: int = 42) -> DataFrame:
+                  draws: int = 300, seed: int = 42, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """Indirect effects with percentile intervals from a Poisson bootstrap."""
     if not paths:
         return df.sparkSession.createDataFrame([], MEDIATION_SCHEMA)
-    effects = mediation_effects(mediation_sums(df, paths, row_id, draws, seed))
+    effects = mediation_effects(mediation_sums(df, paths, row_id, draws, seed, stats))
     is_draw = F.col("draw") > 0
     drawn = F.when(is_draw, F.col("indirect_effect"))
 

@@ -80,11 +80,13 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def correlation_square(long: DataFrame, columns: list[str]) -> DataFrame:
     """Square matrix as a table: ``variable`` and one column per variable."""
-    upper = long.select("a", "b", "r")
-    both = upper.unionByName(long.select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
-    wide = both.groupBy("a").pivot("b", columns).agg(F.first("r"))
-    cells = [F.when(F.col("a") == c, F.lit(1.0)).otherwise(F.col(f"`{c}`")).alias(c) for c in columns]
-    return wide.select(F.col("a").alias("variable"), *cells)
+    upper = long.select(F.col("a").alias("__row"), F.col("b").alias("__column"), F.col("r").alias("__r"))
+    both = upper.unionByName(upper.select(F.col("__column").alias("__row"), F.col("__row").alias("__column"), "__r"))
+    # A column without spread correlates with nothing, itself included.
+    own = both.groupBy("__row").agg(F.when(F.count("__r") > 0, F.lit(1.0)).alias("__own"))
+    wide = both.groupBy("__row").pivot("__column", columns).agg(F.first("__r")).join(own, "__row")
+    cells = [F.when(F.col("__row") == c, F.col("__own")).otherwise(F.col(f"`{c}`")).alias(c) for c in columns]
+    return wide.select(F.col("__row").alias("variable"), *cells)
 
 
 def gram_matrices(df: DataFrame, columns: dict[str, Column], specs: list[list[tuple[str, ...]]]) -> list[np.ndarray]:

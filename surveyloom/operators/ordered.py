@@ -1,10 +1,12 @@
 """Running totals and exact quantiles without a single-task window.
 
 A window that is partitioned by a handful of variables or segments would sort each of them in
-one task. Groups above ``max_rows`` are cut into value ranges first: every range is summed on
-its own and then shifted by the total of the ranges before it.
+one task. Where a group has more than ``max_rows``, the table is cut into sorted ranges of all keys
+and values first: every range is summed on its own and then shifted by the ranges before it.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -14,36 +16,16 @@ from ..plans.holding import hold
 MAX_ROWS_PER_TASK = 1_000_000
 
 
-def _cut_points(df: DataFrame, keys: list[str], order: str, max_rows: int) -> list:
-    """Per large group the values that cut it into ranges of about ``max_rows / 4`` rows.
-
-    Small groups send nothing; in all at most ``4 * rows / max_rows`` values come to the driver.
-    """
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_rows).collect()
-    if not hot:
-        return []
-    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    hot_keys = df.sparkSession.createDataFrame([tuple(r) for r in hot], f"{fields}, _rows bigint")
-    sketched = (
-        df.join(F.broadcast(hot_keys), keys)  # at most rows / max_rows keys
-        .groupBy(*keys)
-        .agg(F.first("_rows").alias("_rows"), F.percentile_approx(order, [i / 1000 for i in range(1, 1000)], 10_000).alias("_q"))
-    )
-    wanted = F.least(F.lit(1000), F.ceil(4 * F.col("_rows") / F.lit(max_rows)))
-    picked = F.transform(F.sequence(F.lit(1), wanted.cast("int") - 1),
-                         lambda i: F.get("_q", F.floor(i * 1000 / wanted).cast("int") - 1))
-    return [tuple(r) for r in sketched.select(*keys, F.array_distinct(picked)).collect()]
-
-
 def running_totals(df: DataFrame, keys: list[str], order: str, columns: list[str],
                    max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Add ``cum_<c>`` (sum up to and including the row) and ``tot_<c>`` per key group.
+    """Add ``cum_<c>`` (sum up to and including the row) and ``tot_<c>`` per key group; NULL keys are a group.
 
     ``order`` is numeric and unique within a group. ``df`` is held: its group sizes are looked at first.
+    Both ways give the same rows; a group may have any number of ranges, each the size of a task.
     """
     df = hold(df)
-    cuts = _cut_points(df, keys, order, max_rows)
-    if not cuts:
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows"), F.sum("_rows")).first()
+    if (largest[0] or 0) <= max_rows:
         whole = Window.partitionBy(*keys)
         upto = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select(
@@ -52,26 +34,21 @@ def running_totals(df: DataFrame, keys: list[str], order: str, columns: list[str
             *[F.sum(c).over(whole).alias(f"tot_{c}") for c in columns],
         )
 
-    spark = df.sparkSession
-    fields = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    order_type = df.schema[order].dataType.simpleString()
-    cut_table = spark.createDataFrame(cuts, f"{fields}, _cuts array<{order_type}>")
-    ranged = df.join(F.broadcast(cut_table), keys, "left").withColumn(
-        "_range",
-        F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(order))), F.lit(0)),
-    ).withColumn("_range", F.when(F.col("_cuts").isNull(), 0).otherwise(F.col("_range"))).drop("_cuts")
-
+    # The ranges are held: both uses below have to see the same ones.
+    ranges = max(2, -(-4 * largest[1] // max_rows))
+    ranged = hold(df.repartitionByRange(ranges, *keys, order).withColumn("_range", F.spark_partition_id()))
     sums = ranged.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_s_{c}") for c in columns])
-    over_ranges = Window.partitionBy(*keys)
+    over_ranges = Window.partitionBy(*keys)  # one row per range
     before = over_ranges.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sums.select(
-        *keys, "_range",
+        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_range").alias("_at"),
         *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in columns],
         *[F.sum(f"_s_{c}").over(over_ranges).alias(f"tot_{c}") for c in columns],
     )
-    inside = Window.partitionBy(*keys, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("_range", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_l_{c}") for c in columns])
-    return local.join(shifts, [*keys, "_range"]).select(
+    same = reduce(lambda x, k: x & F.col(k).eqNullSafe(F.col(f"_k_{k}")), keys, F.col("_range") == F.col("_at"))
+    return local.join(shifts, same).select(
         *df.columns,
         *[(F.col(f"_l_{c}") + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in columns],
         *[F.col(f"tot_{c}") for c in columns],

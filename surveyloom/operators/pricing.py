@@ -3,6 +3,8 @@
 Segments are a key of every step; the whole sample is one constant key.
 """
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +21,15 @@ CURVES = tuple(f"{k}_curve" for k in fv.PRICE_KEYS)
 
 def detect_price_columns(columns: list[str], configured: dict[str, str] | None = None) -> dict[str, str]:
     """The four price questions, configured or by name; empty unless all four are found."""
-    found = {k: c for k, c in (configured or {}).items() if k in fv.PRICE_KEYS and c in columns}
-    for key in fv.PRICE_KEYS:
-        if len(found) == 4 or key in found:
-            continue
-        for c in columns:
-            low = c.lower()
-            if any(g in low for g in fv.PRICE_GUARDS.get(key, ())):
-                continue
-            if any(n in low for n in fv.PRICE_NEEDLES[key]):
-                found[key] = c
-                break
-    return {k: found[k] for k in fv.PRICE_KEYS} if len(found) == 4 else {}
+    def fits(key: str, name: str) -> bool:
+        return contains_one(name, fv.PRICE_NEEDLES[key]) and not contains_one(name, fv.PRICE_GUARDS.get(key, ()))
+
+    def contains_one(name: str, needles) -> bool:
+        return any(map(name.lower().__contains__, needles))
+
+    by_name = {key: next(filter(partial(fits, key), columns), None) for key in fv.PRICE_KEYS}
+    by_name |= {key: name for key, name in (configured or {}).items() if key in by_name and name in columns}
+    return by_name if all(by_name.values()) else {}
 
 
 def monotonicity(df: DataFrame, prices: dict[str, str], keep: list[str]) -> DataFrame:
@@ -134,11 +133,12 @@ def intersections(cumulative: DataFrame, segment: str) -> DataFrame:
 
 
 def price_summary(checked: DataFrame, segment: str, points: int = GRID_POINTS,
-                  max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+                  max_rows: int = MAX_ROWS_PER_TASK, cumulative: DataFrame | None = None) -> DataFrame:
     """``(segment, metric, value, description)``, 15 metrics per segment with enough monotone rows."""
     sample = checked.groupBy(segment).agg(
         F.count(F.lit(1)).alias("valid"), F.sum(F.col("monotonic_valid").cast("bigint")).alias("monotone"))
-    found = intersections(cumulative_prices(checked, segment, points, max_rows), segment)
+    cumulative = cumulative if cumulative is not None else cumulative_prices(checked, segment, points, max_rows)
+    found = intersections(cumulative, segment)
     t = sample.where((F.col("valid") >= MIN_ROWS) & (F.col("monotone") >= MIN_ROWS)).join(found, segment)
     values = {
         "valid_raw_rows": F.col("valid"), "monotonic_valid_rows": F.col("monotone"),
@@ -160,9 +160,9 @@ def price_pivot(summary: DataFrame, keys: list[str]) -> DataFrame:
     return summary.groupBy(*keys).pivot("metric", metrics).agg(F.first("value"))
 
 
-def run_pricing(df: DataFrame, configured: dict[str, str] | None, row_id: str, segments: DataFrame | None = None,
+def run_pricing(df: DataFrame, configured: dict[str, str] | None, row_id: str, segments: DataFrame | str | None = None,
                 personas: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Overall tables, or per-segment ones when ``segments(row_id, segment)`` is given."""
+    """Overall tables, or per-segment ones when ``segments(row_id, segment)`` is given or, as ``"segment"``, a column of ``df``. Rows without segment are left out."""
     prices = detect_price_columns([c for c in df.columns if c != row_id], configured)
     if not prices:
         return {}
@@ -170,15 +170,16 @@ def run_pricing(df: DataFrame, configured: dict[str, str] | None, row_id: str, s
         checked = hold(monotonicity(df, prices, [row_id]).withColumn("_all", F.lit(1)))
         segment, drop = "_all", ["_all"]
     else:
-        base = df.drop("segment") if "segment" in df.columns else df
-        checked = hold(monotonicity(base.join(segments.select(row_id, "segment"), row_id), prices, [row_id, "segment"]))
+        base = df if isinstance(segments, str) else df.drop("segment").join(segments.select(row_id, "segment"), row_id)
+        checked = hold(monotonicity(base.where("segment is not null"), prices, [row_id, "segment"]))
         segment, drop = "segment", []
     enough = checked.groupBy(segment).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= MIN_ROWS)
     checks = checked.join(F.broadcast(enough.select(segment)), segment, "left_semi")  # one row per segment
+    cumulative = hold(cumulative_prices(checks, segment))
     out = {
         "monotonicity": checks,
-        "summary": price_summary(checks, segment),
-        "curves": curves(cumulative_prices(checks, segment), segment),
+        "summary": price_summary(checks, segment, cumulative=cumulative),
+        "curves": curves(cumulative, segment),
     }
     if personas is not None:
         named = personas.select("segment", "persona")

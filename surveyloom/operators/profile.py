@@ -163,6 +163,20 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
     }
 
 
+def profiles_of(df: DataFrame, columns: list[str], stats: dict[str, ColumnProfile] | None = None) -> dict[str, ColumnProfile]:
+    """Profiles of the columns: those at hand, the others in one scan."""
+    stats = stats or {}
+    missing = [c for c in columns if c not in stats]
+    return {c: stats[c] for c in columns if c in stats} | (profile(df, missing) if missing else {})
+
+
+def all_levels(df: DataFrame, p: ColumnProfile) -> list[str]:
+    """The levels of one column, however many: from the profile if it has them, else counted now."""
+    if len(p.levels) == p.distinct:
+        return [level for level, _ in p.levels]
+    return [r["level"] for r in level_frequencies(df, [p.name]).select("level").toLocalIterator()]
+
+
 # --- classifiers over the profile ---------------------------------------------------
 
 

@@ -1,5 +1,6 @@
 """Purchase questions: selection, multi-select groups, single-question distributions."""
 
+import os
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -24,18 +25,22 @@ def mentions_purchase(variable: Column, question: Column) -> Column:
 
 def purchase_questions(variable_map: DataFrame, stats: dict[str, ColumnProfile], configured=(),
                        outcome: str | None = None, mapping: dict[str, str] | None = None, id_columns=(),
-                       max_questions: int = 80) -> list[tuple[str, str]]:
-    """``(variable, question)`` in header order, then the configured ones, then the outcome."""
+                       max_questions: int | None = 80) -> list[tuple[str, str]]:
+    """``(variable, question)`` in header order up to ``max_questions`` (None: all), then all configured ones, then the outcome."""
     rows = variable_map.withColumn("hit", mentions_purchase(F.col("variable_name"), F.col("original_question"))).collect()
-    chosen = {r["variable_name"]: r["original_question"] for r in rows if r["hit"] and r["variable_name"] in stats}
-    for name in resolve_names(configured, mapping or {}):
-        if name in stats:
-            chosen.setdefault(name, name)
+    named = [name for name in resolve_names(configured, mapping or {}) if name in stats]
     if outcome in stats and outcome in {r["variable_name"] for r in rows}:
-        chosen.setdefault(outcome, outcome)
-    kept = [(v, q) for v, q in chosen.items()
-            if not is_id_like(stats[v], id_columns) and stats[v].count >= 5 and stats[v].distinct >= 2]
-    return kept[:max_questions]
+        named.append(outcome)
+
+    def asked(v):
+        return not is_id_like(stats[v], id_columns) and stats[v].count >= 5 and stats[v].distinct >= 2
+
+    found = {r["variable_name"]: r["original_question"] for r in rows if r["hit"] and r["variable_name"] in stats and asked(r["variable_name"])}
+    kept = dict(list(found.items())[:max_questions])
+    for name in named:
+        if asked(name):
+            kept.setdefault(name, found.get(name, name))
+    return list(kept.items())
 
 
 def split_stem(question: Column) -> tuple[Column, Column]:
@@ -57,12 +62,8 @@ def stems(variable_map: DataFrame) -> DataFrame:
 
 
 def common_prefix(variables: list[str], fallback: str) -> str:
-    shared = []
-    for parts in zip(*[v.split("_") for v in variables]):
-        if len(set(parts)) > 1:
-            break
-        shared.append(parts[0])
-    return "_".join(shared) or fallback
+    # Whole snake parts: the shared characters, cut at an underscore.
+    return os.path.commonprefix([f"{v}_" for v in variables]).rpartition("_")[0] or fallback
 
 
 def multi_select(df: DataFrame, groups: dict[str, tuple[str, list[tuple[str, str]]]]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
 from ..functions.scalars import sql_text
-from .headers import resolve_names
+from .headers import resolve_names, slug_names
 from .moments import correlations
 from .profile import ColumnProfile, is_likert_item, number, number_text, profile
 
@@ -88,13 +88,16 @@ def best_subsets(rated: DataFrame, group_of: dict[int, str]) -> DataFrame:
             .withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank"))
 
 
+_RUNNING_END = re.compile(r"(_[a-z])?(_\d+)?$")
+_TWO_WORDS = re.compile(r"[a-z]+_[a-z]+")
+
+
 def base_construct_name(name: str) -> str:
-    low = re.sub(r"_[a-z]$", "", re.sub(r"_\d+$", "", name.lower()))
-    for semantic, _ in fv.SEMANTIC_PATTERNS:
-        if low.startswith(semantic):
-            return semantic
-    words = re.match(r"[a-z]+_[a-z]+", low)
-    return words.group() if words else low
+    """Without the running letter or number at the end: the semantic name it begins with, else its first two words, else all of it."""
+    stem = _RUNNING_END.sub("", name.lower(), count=1)
+    known = (semantic for semantic, _ in fv.SEMANTIC_PATTERNS if stem.startswith(semantic))
+    words = _TWO_WORDS.match(stem)
+    return next(known, words[0] if words else stem)
 
 
 def score_column(df: DataFrame, items: list[str]) -> Column:
@@ -138,10 +141,11 @@ def detect_constructs(df: DataFrame, constructs: dict[str, list[str]] | None = N
     stats = stats or profile(df)
     id_columns = set(resolve_names(id_columns, mapping))
     fixed = {}
+    slugs = slug_names(spark, list(constructs or {}))
     for name, raw in (constructs or {}).items():
         items = [i for i in resolve_names(raw, mapping) if i in stats and stats[i].numeric]
         if len(items) >= 2:
-            fixed[name] = items
+            fixed[slugs.get(name, name)] = items
     used = {i for items in fixed.values() for i in items}
     likert = [c for c in df.columns if c in stats and c not in used and is_likert_item(stats[c], id_columns)]
     groups = {g: items for g, items in semantic_groups(likert).items() if len(items) >= 2 and g not in fixed}

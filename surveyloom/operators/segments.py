@@ -11,13 +11,15 @@ from pyspark.sql.window import Window
 from ..functions import fixed_values as fv
 from ..functions.scalars import any_contains, sql_name, sql_text
 from ..plans.holding import hold
-from .clean import impute_and_standardize
+from .clean import imputed_columns
 from .moments import batch_matrix
 from .profile import ColumnProfile, is_id_like, level_frequencies, number_text, variable_matches
 
 MIN_SHARE = 0.05
 MAX_K = 6
 POINTS_PER_TASK = 50_000
+DETAILS_SCHEMA = ("`{segment}` {kind}, `group` string, variable string, summary_type string, segment_value double, overall_value double, "
+                  "delta_or_index double, top_category string, segment_share double, overall_share double")
 
 
 # --- clustering ---------------------------------------------------------------------------
@@ -29,14 +31,7 @@ def cluster_features(stats: dict[str, ColumnProfile], candidates: list[str]) ->
 
 
 def counted_points(z: DataFrame, features: list[str]) -> DataFrame:
-    """``(features, weight)``: equal rows collapse, as scale answers leave few distinct points.
-
-    Where a sketch finds mostly different rows, collapsing would shuffle them all for nothing.
-    """
-    rows, distinct = z.agg(F.count(F.lit(1)), F.approx_count_distinct(
-        F.xxhash64(*[F.col(f"`{f}`") for f in features]))).first()
-    if distinct > rows / 2:
-        return z.select(*features, F.lit(1.0).alias("weight"))
+    """``(features, weight)``: equal rows collapse at every size, so start rows are drawn from different points."""
     return z.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
@@ -211,7 +206,7 @@ def choose_k(candidates: list[tuple[int, float, float | None]], wanted: int | No
         return None
     if wanted in usable:
         return wanted
-    preferred = [k for k in (4, 3) if k in usable]
+    preferred = [k for k in (3, 4) if k in usable]  # the smaller one of equals
     return max(preferred or sorted(usable), key=lambda k: usable[k])
 
 
@@ -244,6 +239,14 @@ def assign_segments(z: DataFrame, features: list[str], centers: np.ndarray, row_
     return z.select(row_id, nearest_center(features, centers).alias("segment"))
 
 
+def with_segment(df: DataFrame, columns: dict[str, Column], centers: np.ndarray) -> DataFrame:
+    """``df`` with the segment whose center is nearest to the given columns, one of the same name replaced."""
+    base = df.drop("segment")
+    places = [f"_z{i}" for i in range(len(columns))]
+    staged = base.select("*", *[c.alias(p) for p, c in zip(places, columns.values())])
+    return staged.select(*[F.col(f"`{c}`") for c in base.columns], nearest_center(places, centers).alias("segment"))
+
+
 def join_segments(df: DataFrame, assignments: DataFrame, row_id: str) -> DataFrame:
     """Segments back on the rows; unclustered rows keep NULL."""
     base = df.drop("segment") if "segment" in df.columns else df
@@ -314,17 +317,19 @@ def persona_label(high: Column, low: Column) -> Column:
 
 
 def profile_groups(stats: dict[str, ColumnProfile], configured: dict[str, list[str]] | None = None,
-                   constructs=(), predictors=(), outcome: str | None = None, id_columns=()) -> dict[str, list[str]]:
-    """Basic, behaviour and cognitive variables: configured first, then by hints, 18 each."""
+                   constructs=(), predictors=(), outcome: str | None = None, id_columns=(),
+                   max_variables: int | None = 18) -> dict[str, list[str]]:
+    """Basic, behaviour and cognitive variables: all configured ones, then by hints up to ``max_variables`` each (None: all)."""
     configured = configured or {}
     hints = {"basic": fv.BASIC_HINTS, "behavior": fv.BEHAVIOR_HINTS, "cognitive": fv.COGNITIVE_HINTS}
     seeds = {*constructs, *predictors, outcome}
     groups = {}
     for group, words in hints.items():
-        names = [c for c in configured.get(group, []) if c in stats]
-        names += [c for c, p in stats.items() if not is_id_like(p, id_columns)
+        named = [c for c in configured.get(group, []) if c in stats]
+        names = named + [c for c, p in stats.items() if not is_id_like(p, id_columns)
                   and (variable_matches(c, words) or (group == "cognitive" and c in seeds))]
-        groups[group] = [c for c in dict.fromkeys(names) if stats[c].filled >= 0.20 and stats[c].distinct > 1][:18]
+        fit = [c for c in dict.fromkeys(names) if stats[c].filled >= 0.20 and stats[c].distinct > 1]
+        groups[group] = fit[:None if max_variables is None else max(max_variables, sum(c in named for c in fit))]
     return groups
 
 
@@ -357,6 +362,8 @@ def persona_details(df: DataFrame, segment: str, groups: dict[str, list[str]], s
             segment, "variable", F.lit("category_share").alias("summary_type"), none.alias("segment_value"),
             none.alias("overall_value"), F.try_divide(share, base).alias("delta_or_index"),
             F.col("level").alias("top_category"), share.alias("segment_share"), base.alias("overall_share")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], DETAILS_SCHEMA.format(segment=segment, kind=df.schema[segment].dataType.simpleString()))
     details = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     members = df.sparkSession.createDataFrame(
         [(g, c) for g, cols in groups.items() for c in cols], "group string, variable string")
@@ -437,13 +444,14 @@ def run_segmentation(df: DataFrame, row_id: str, features: list[str], groups: di
     rows = next(iter(stats.values())).rows if stats else 0
     if len(features) < 2 or rows < 30:
         return {}
-    z, kept = impute_and_standardize(df, features, [row_id])
-    if len(kept) < 2:
+    columns = imputed_columns(df, features)
+    if len(columns) < 2:
         return {}
-    z = hold(z)
-    table, centers, score = select_k(z, kept, row_id, wanted, restarts, seed)
-    assignments = hold(assign_segments(z, kept, centers, row_id))
-    joined = hold(join_segments(df, assignments, row_id))
+    z = hold(df.select(row_id, *[c.alias(f) for f, c in columns.items()]))
+    table, centers, score = select_k(z, list(columns), row_id, wanted, restarts, seed)
+    # The segment is a function of the row: a projection, no join back.
+    joined = with_segment(df, columns, centers)
+    assignments = joined.select(row_id, "segment")
     details = hold(persona_details(joined, "segment", groups, stats, {*features, *force_numeric}))
     profiles = hold(segment_profiles(joined, "segment", features, details, score, names))
     return {"assignments": assignments, "profiles": profiles, "details": details,

@@ -145,12 +145,12 @@ def level_balance(df: DataFrame, columns: list[str], max_levels: int = 30) -> Da
 
 
 def run_randomness_tests(df: DataFrame, order: list[str], configured: list[str] = (), id_columns=(),
-                         max_variables: int = 50, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
+                         max_variables: int | None = 50, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
+    """All configured variables, else the first ``max_variables`` that qualify (None: all)."""
     stats = stats or profile(df)
     configured = [c for c in dict.fromkeys(configured) if c in stats]
     names = configured or [p.name for p in stats.values()
-                           if not is_id_like(p, id_columns) and p.count >= 20 and p.distinct > 1]
-    names = names[:max_variables]
+                           if not is_id_like(p, id_columns) and p.count >= 20 and p.distinct > 1][:max_variables]
     tests = runs_test(df, names, order, stats) if names else df.sparkSession.createDataFrame([], RANDOMNESS_SCHEMA)
     balanced = [c for c in configured if c in names and is_categorical(stats[c])]
     return tests.unionByName(level_balance(df, balanced)) if balanced else tests
@@ -207,12 +207,14 @@ def chi_square_cells(cells: DataFrame) -> DataFrame:
     cols = cells.groupBy("pair", "b").agg(F.sum("n").alias("col_n"))
     sizes = rows.groupBy("pair").agg(F.sum("row_n").alias("total"), F.count(F.lit(1)).alias("r"))
     widths = cols.groupBy("pair").agg(F.count(F.lit(1)).alias("c"))
+    # One row per pair: the pairs are listed by the caller.
+    sizes = F.broadcast(sizes.join(widths, "pair"))
     full = cells.join(rows, ["pair", "a"]).join(cols, ["pair", "b"]).join(sizes, "pair")
     e = F.col("row_n") * (F.col("col_n") / F.col("total"))
     part = full.groupBy("pair").agg(
         F.sum((F.col("n") - e) * (F.col("n") - e) / e).alias("_seen"), F.sum(e).alias("_expected"),
-        F.first("total").alias("n"), F.first("r").alias("r"))
-    t = part.join(widths, "pair").where((F.col("r") > 1) & (F.col("c") > 1))
+        F.first("total").alias("n"), F.first("r").alias("r"), F.first("c").alias("c"))
+    t = part.where((F.col("r") > 1) & (F.col("c") > 1))
     statistic = F.col("_seen") + F.greatest(F.col("n") - F.col("_expected"), F.lit(0.0))
     narrow = F.greatest(F.lit(1), F.least(F.col("r"), F.col("c")) - 1)
     return (t.withColumn("statistic", statistic).withColumn("df", (F.col("r") - 1) * (F.col("c") - 1))
@@ -255,15 +257,15 @@ def chi_square_tests(df: DataFrame, pairs: list[tuple[str, str]], method: str =
     return _association(chi_square_cells(cells), ordered, method)
 
 
-def categorical_pairs(stats: dict[str, ColumnProfile], id_columns=(), max_columns: int = 18,
-                      max_pairs: int = 100) -> list[tuple[str, str]]:
+def categorical_pairs(stats: dict[str, ColumnProfile], id_columns=(), max_columns: int | None = 18,
+                      max_pairs: int | None = 100) -> list[tuple[str, str]]:
     names = [p.name for p in stats.values()
              if not is_id_like(p, id_columns) and is_categorical(p) and 2 <= p.distinct <= 20]
     return list(itertools.combinations(names[:max_columns], 2))[:max_pairs]
 
 
 def segment_tests(df: DataFrame, segment: str, stats: dict[str, ColumnProfile], skip: set[frozenset] = frozenset(),
-                  id_columns=(), max_columns: int = 40) -> DataFrame:
+                  id_columns=(), max_columns: int | None = 40) -> DataFrame:
     """Segment against every other column; numbers with more than 12 values are cut into quartiles."""
     names = [p.name for p in stats.values() if p.name != segment and not is_id_like(p, id_columns)
              and p.count >= 12 and p.distinct > 1][:max_columns]
@@ -279,15 +281,16 @@ def segment_tests(df: DataFrame, segment: str, stats: dict[str, ColumnProfile],
 
 
 def pearson_pairs(stats: dict[str, ColumnProfile], priority: list[str] = (), id_columns=(),
-                  max_columns: int = 14, max_pairs: int = 100) -> list[tuple[str, str]]:
+                  max_columns: int | None = 14, max_pairs: int | None = 100) -> list[tuple[str, str]]:
+    """Pairs with a priority column, all of them; without one the first pairs of the first columns (None: all)."""
     names = [p.name for p in stats.values() if not is_id_like(p, id_columns) and p.numeric and p.distinct > 2]
     priority = [c for c in priority if c in names]
     if priority:
         candidates = [(a, b) for a in priority for b in names if a != b]
     else:
-        candidates = list(itertools.combinations(names[:max_columns], 2))
+        candidates = list(itertools.combinations(names[:max_columns], 2))[:max_pairs]
     unique: dict[frozenset, tuple[str, str]] = {}
-    for a, b in candidates[:max_pairs]:
+    for a, b in candidates:
         unique.setdefault(frozenset((a, b)), (a, b))
     return list(unique.values())
 
@@ -311,14 +314,20 @@ def pearson_screen(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 
 def run_independence_tests(df: DataFrame, pairs: list[tuple[str, str]] = (), priority: list[str] = (),
-                           segment: str = "segment", id_columns=(), mapping: dict[str, str] | None = None) -> DataFrame:
-    """Categorical pairs, segment against the rest, correlations of the numeric columns."""
-    stats = profile(df)
+                           segment: str = "segment", id_columns=(), mapping: dict[str, str] | None = None,
+                           limits: dict | None = None, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
+    """Categorical pairs, segment against the rest, correlations of the numeric columns.
+
+    ``limits`` may cut what is chosen automatically (pair_columns, pairs, segment_columns,
+    correlation_columns, correlation_pairs); without it the described limits hold. Named pairs are all tested.
+    """
+    stats = stats or profile(df)
+    cut = {"pair_columns": 18, "pairs": 100, "segment_columns": 40, "correlation_columns": 14, "correlation_pairs": 100} if limits is None else limits
     explicit = [tuple(resolve_names(p, mapping or {})) for p in pairs]
-    explicit = [(a, b) for a, b in explicit if a in stats and b in stats][:100]
-    chosen = [(a, b) for a, b in explicit or categorical_pairs(stats, id_columns)
+    explicit = [(a, b) for a, b in explicit if a in stats and b in stats]
+    chosen = [(a, b) for a, b in explicit or categorical_pairs(stats, id_columns, cut.get("pair_columns"), cut.get("pairs"))
               if is_categorical(stats[a]) and is_categorical(stats[b])]
     tests = chi_square_tests(df, chosen, stats=stats)
     if segment in df.columns:
-        tests = tests.unionByName(segment_tests(df, segment, stats, {frozenset(p) for p in chosen}, id_columns))
-    return tests.unionByName(pearson_screen(df, pearson_pairs(stats, priority, id_columns)))
+        tests = tests.unionByName(segment_tests(df, segment, stats, {frozenset(p) for p in chosen}, id_columns, cut.get("segment_columns")))
+    return tests.unionByName(pearson_screen(df, pearson_pairs(stats, priority, id_columns, cut.get("correlation_columns"), cut.get("correlation_pairs"))))

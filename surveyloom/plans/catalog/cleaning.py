@@ -96,13 +96,13 @@ parsed as (select {keys}, text, {_MISSING_SQL} as missing, case
     then cast(regexp_extract(text, '^[-+]?\\d+(\\.\\d+)?') as double)
   when regexp_matches(text, '[-+]?\\d+(\\.\\d+)?$') and regexp_matches(text, '非常|同意|满意|可能|分')
     then cast(regexp_extract(text, '[-+]?\\d+(\\.\\d+)?$') as double)
-  else try_cast(text as double) end as number from compacted)"""
+  else try_cast(text as double) end as number, length(text) > 12 and regexp_matches(text, '^[-+0-9.eE]+$') as long_digits from compacted)"""
 
 
 @query("normalize_scalar", with_views(
     "with " + _number_sql("messy", "answer") + """
 select respondent, number as answer_number,
-       case when missing then null else coalesce(cast(number as varchar), text) end as answer_text from parsed""", "messy"))
+       case when missing then null when long_digits then text else coalesce(cast(number as varchar), text) end as answer_text from parsed""", "messy"))
 def normalize_scalar(spark, d):
     t = view(spark, d, "messy")
     return t.select("respondent", normalized_number(F.col("answer")).alias("answer_number"),

@@ -34,7 +34,7 @@ select c_custkey as respondent,
          when 0 then '非常同意' when 1 then ' 同意 ' when 2 then '　一般' when 3 then 'N/A'
          when 4 then '45%' when 5 then '18-24岁' when 6 then '4分' when 7 then '--'
          when 8 then '非常满意 5' when 9 then '2024-05-01' when 10 then 'Yes' when 11 then '不 清 楚'
-         when 12 then 'three times a week, mostly' else cast(c_custkey % 5 + 1 as varchar(10)) end as answer,
+         when 12 then case cast(c_custkey % 3 as int) when 0 then '4006381333931' when 1 then '00123456789012345678' else 'three times a week, mostly' end else cast(c_custkey % 5 + 1 as varchar(10)) end as answer,
        case when c_custkey % 4 = 0 then null else cast(c_custkey % 5 + 1 as varchar(10)) end as mostly_numeric,
        case when c_custkey % 3 = 0 then 'other' else cast(c_custkey % 5 + 1 as varchar(10)) end as mixed_text
 from customer""",

@@ -2,8 +2,17 @@
 
 import os
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+import surveyloom
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Python tasks of this driver get the package with their code, so executors need no installed copy."""
+    cloudpickle.register_pickle_by_value(surveyloom)
+    return spark
+
 
 def local_session(cpus: int | None = None, name: str = "surveyloom") -> SparkSession:
     cpus = cpus or min(8, os.cpu_count() or 1)
@@ -18,4 +27,4 @@ def local_session(cpus: int | None = None, name: str = "surveyloom") -> SparkSes
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return ship(spark)

@@ -29,8 +29,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if small else df
 
 
-def read_survey(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path) if path.lower().endswith(".csv") else read_parquet(spark, path)
+def read_survey(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """CSV or Parquet. Give ``multi_line`` for files with line breaks in quoted cells: those are read one task per file."""
+    return read_csv(spark, path, multi_line) if path.lower().endswith(".csv") else read_parquet(spark, path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -45,7 +45,7 @@ def test_suffixes_stay_unique(spark):
     (None, None, None), (" ", None, None), ("N/A", None, None), ("不 清 楚", None, None), ("　同意　", 4.0, "4.0"),
     ("很 可能 会", 4.0, "4.0"), ("YES", 1.0, "1.0"), ("45%", 0.45, "0.45"), ("-3.5%", -0.035, "-0.035"), ("18-24岁", 18.0, "18.0"),
     ("2024-05-01", 2024.0, "2024.0"), ("1,200", 1.0, "1.0"), ("非常满意 5", 5.0, "5.0"), ("surely more than 7", None, "surely more than 7"),
-    ("１２", 12.0, "12.0"), ("1234567890123", 1234567890123.0, "1.234567890123E12"), ("word", None, "word"), ("1d", 1.0, "1.0"),
+    ("１２", 12.0, "12.0"), ("1234567890123", 1234567890123.0, "1234567890123"), ("word", None, "word"), ("1d", 1.0, "1.0"),
     ("five", None, "five"),
 ])
 def test_answers(spark, raw, number, text):
@@ -104,7 +104,7 @@ def test_stems(spark, question, stem, option):
 def test_csv_with_bom_and_line_breaks(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('﻿"Q1\nhow?",b\n"a ""quoted"", cell\nnext",  2\n,x\n', encoding="utf-8")
-    df = tables.read_survey(spark, str(path))
+    df = tables.read_survey(spark, str(path, multi_line=True))
     assert df.columns == ["Q1\nhow?", "b"]
     assert [tuple(r) for r in df.collect()] == [('a "quoted", cell\nnext', "  2"), (None, "x")]
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from surveyloom.operators import conjoint, models, moments, scales, segments, stat_tests
+from surveyloom.operators import clean, conjoint, models, moments, scales, segments, stat_tests
 from surveyloom.operators.profile import profile
 from surveyloom.plans.fixtures import view
 
@@ -229,3 +229,57 @@ def test_configured_construct_takes_a_free_name(spark, data_dir):
     scored, summary, items = scales.detect_constructs(survey, {"brand_trust": ["brand_trust", "brand_trust_2"]})
     assert items["brand_trust_score"] == ["brand_trust", "brand_trust_2"]
     assert summary.where("source = 'config'").first()["construct_base"] == "brand_trust"
+
+
+def test_k_of_equal_silhouettes_is_the_smaller():
+    assert segments.choose_k([(3, 0.2, 0.5), (4, 0.2, 0.5)]) == 3
+
+
+def test_start_rows_do_not_depend_on_repeated_rows(spark):
+    rows = [(float(i % 13), float(i % 7)) for i in range(400)]
+    once = spark.createDataFrame(sorted(set(rows)), "x double, m double")
+    many = segments.counted_points(spark.createDataFrame(rows, "x double, m double"), ["x", "m"])
+    assert many.count() == once.count()
+    drawn = segments.start_rows(many, ["x", "m"], 12, 42)
+    assert len({tuple(r) for r in drawn.tolist()}) == 12
+
+
+def test_attributes_with_many_levels_are_complete(spark):
+    rows = [(i, f"b{i % 80:02d}", f"c{i % 3}", int(i * 7 % 5 < 2)) for i in range(1600)]
+    df = spark.createDataFrame(rows, "respondent int, brand string, color string, chosen int")
+    utilities, importance, kind = conjoint.run_conjoint(df, attributes=("brand", "color"), steps=20)
+    assert kind == "choice" and {r["term"] for r in utilities.collect()} >= {f"brand_b{i:02d}" for i in range(80)} | {"color_c0", "color_c1", "color_c2"}
+    assert {r["attribute"] for r in importance.collect()} == {"brand", "color"}
+    assert clean.dummy_encode(df, "brand", False, ["respondent"]).columns[1:] == [f"brand_b{i:02d}" for i in range(80)]
+
+
+def test_named_entries_are_not_cut(spark):
+    names = [f"v{i}" for i in range(16)]
+    df = spark.createDataFrame([tuple((r * (i + 3)) % 4 for i in range(16)) for r in range(60)], ", ".join(f"{n} int" for n in names))
+    pairs = [(a, b) for a in names for b in names if a < b][:120]
+    tests = stat_tests.run_independence_tests(df, pairs).where("method = 'chi_square_independence'")
+    assert tests.count() == 120
+
+
+def test_correlation_square_of_awkward_columns(spark):
+    df = spark.createDataFrame([(float(i), float(-i), 3.0) for i in range(20)], "a double, b double, flat double")
+    square = {r["variable"]: r for r in moments.correlation_square(moments.correlations(df, ["a", "b", "flat"]), ["a", "b", "flat"]).collect()}
+    assert square["a"]["a"] == 1 and square["a"]["b"] == pytest.approx(-1) and square["flat"]["flat"] is None and square["flat"]["a"] is None
+
+
+def test_persona_details_without_variables(spark):
+    df = spark.createDataFrame([(1, 2.0)], "segment int, x double")
+    details = segments.persona_details(df, "segment", {"basic": [], "behavior": [], "cognitive": []}, {})
+    assert details.count() == 0 and segments.persona_info(details, "segment").count() == 0
+
+
+def test_configured_constructs_get_variable_names(spark):
+    rows = [(i % 5 + 1, (i + i % 2) % 5 + 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "first_item int, second_item int")
+    _, summary, found = scales.detect_constructs(df, {"Product Quality": ["first_item", "second_item"]})
+    assert list(found) == ["product_quality"] and summary.first()["source"] == "config"
+
+
+def test_construct_bases():
+    names = {"price_value_2": "price_value", "taste_a": "taste", "taste_a_12": "taste", "taste_12_a": "taste_12", "deep_blue_sea": "deep_blue", "q07": "q07", "product_quality_x": "product_quality"}
+    assert {n: scales.base_construct_name(n) for n in names} == names

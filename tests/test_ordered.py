@@ -103,3 +103,14 @@ def test_crossing_by_smallest_gap(spark):
     t = curve_table(spark, [(1, 9, 9, 0, 0), (2, 6, 9, 0, 3), (3, 6, 9, 0, 3)])
     r = pricing.intersections(t, "g").first()
     assert (r["OPP"], r["OPP_gap"]) == (2.0, pytest.approx(0.3))
+
+
+@pytest.mark.parametrize("max_rows", [10, 10**6])
+def test_rows_with_null_keys_stay(spark, max_rows):
+    rows = [("a" if i % 3 else None, i % 2 or None, float(i), 1) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, m long, v double, n bigint")
+    got = ordered.running_totals(df, ["k", "m"], "v", ["n"], max_rows).collect()
+    assert len(got) == 60
+    for r in got:
+        mine = [v for k, m, v, _ in rows if (k, m) == (r["k"], r["m"])]
+        assert (r["cum_n"], r["tot_n"]) == (sum(v <= r["v"] for v in mine), len(mine))
