@@ -53,6 +53,16 @@ def mean_interitem(spark, d):
     return t.select(F.array_join("items", ", ").alias("items"), round6(F.col("mean_corr")).alias("mean_corr"))
 
 
+_SQUARE = ["income", "monthly_spend", "product_quality", "product_quality_3", "brand_trust"]
+
+
+@query("correlation_matrix", with_views(union_all("select '" + a + "' as variable, " + ", ".join(
+    r6("1" if a == b else f"corr({a}, {b})") + f" as {b}" for b in _SQUARE) + " from survey" for a in _SQUARE), "survey"))
+def correlation_matrix(spark, d):
+    t = moments.correlation_square(moments.correlations(view(spark, d, "survey"), _SQUARE), _SQUARE)
+    return t.select("variable", *[round6(F.col(c)).alias(c) for c in _SQUARE])
+
+
 _MIXED = [*_SETS, ["product_quality", "income"], ["brand_trust", "perceived_value"]]
 
 
@@ -81,9 +91,16 @@ def best_subset(spark, d):
     return t.select("construct", F.array_join("items", ", ").alias("items"), "reliability", round6(F.col("score")).alias("score"))
 
 
-@query("construct_summary")
+@query("construct_summary", with_views(f"""
+select g.construct || '_score' as construct, items, k as n_items, {r6('alpha')} as cronbach_alpha, {r6('mean_corr')} as mean_interitem_corr, reliability,
+       'semantic_auto' as source, g.construct as construct_base from (
+  select r.*, g.construct, row_number() over (partition by g.construct order by score desc, subset) as rn
+  from ({_rated_sql([s for _, s in _CANDIDATES])}) r
+  join (values {', '.join(f"({i}, '{g}')" for i, (g, _) in enumerate(_CANDIDATES))}) g(id, construct) on g.id = r.subset
+  where reliability <> 'weak') g where rn = 1""", "survey"))
 def construct_summary(spark, d):
-    return scales.detect_constructs(view(spark, d, "survey"))[1]
+    t = scales.detect_constructs(view(spark, d, "survey"))[1]
+    return t.select(*[round6(F.col(c)).alias(c) if k == "double" else c for c, k in t.dtypes])
 
 
 @query("construct_scores", with_views("select respondent, " + ", ".join(
@@ -111,7 +128,7 @@ def rank_predictors(spark, d):
     return t.select("variable", "n", round6(F.col("abs_r")).alias("abs_r"))
 
 
-@query("ols_regression", with_views(f"""
+_OLS_SQL = f"""
 with f as (select avg(product_quality_3) m1, stddev_pop(product_quality_3) s1, avg(brand_trust) m2, stddev_pop(brand_trust) s2 from survey),
 l as (select (product_quality_3 - m1) / s1 as z1, (brand_trust - m2) / s2 as z2, purchase_intention as y
       from survey, f where product_quality_3 is not null),
@@ -125,7 +142,10 @@ t as (select 'intercept' as term, -(b1 * a1 + b2 * a2) as beta,
   union all select 'product_quality_3', b1, sqrt(mse * c22 / (n * det)) from g
   union all select 'brand_trust', b2, sqrt(mse * c11 / (n * det)) from g)
 select 'purchase_intention' as outcome, term, {r6('beta')} as standardized_beta, {r6('se')} as std_error,
-       {r6('beta / se')} as t_or_z, {r6(normal_p('(beta / se)'))} as approx_p from t""", "survey"))
+       {r6('beta / se')} as t_or_z, {r6(normal_p('(beta / se)'))} as approx_p from t"""
+
+
+@query("ols_regression", with_views(_OLS_SQL, "survey"))
 def ols_regression(spark, d):
     t, _ = models.run_regression(view(spark, d, "survey"), "purchase_intention", ["product_quality_3", "brand_trust"])
     return t.select("outcome", "term", *[round6(F.col(c)).alias(c) for c in ("standardized_beta", "std_error", "t_or_z", "approx_p")])
@@ -176,10 +196,12 @@ def moderation(spark, d):
                     *[round6(F.col(c)).alias(c) for c in ("standardized_beta", "std_error", "t_or_z", "approx_p", "r2")])
 
 
-@query("top_drivers")
+@query("top_drivers", with_views(f"""with fit as (select * from ({_OLS_SQL}))
+select outcome, term, standardized_beta, cast(row_number() over (order by abs(standardized_beta) desc, term) as int) as place,
+       case when standardized_beta > 0 then 'positive' else 'negative' end as direction from fit where term <> 'intercept'""", "survey"))
 def top_drivers(spark, d):
-    t, _ = models.run_regression(view(spark, d, "survey"), "purchase_intention", [*_CAND, "market_segment"])
-    return models.top_drivers(t)
+    t, _ = models.run_regression(view(spark, d, "survey"), "purchase_intention", ["product_quality_3", "brand_trust"])
+    return models.top_drivers(t).select("outcome", "term", round6(F.col("standardized_beta")).alias("standardized_beta"), "place", "direction")
 
 
 _ATTRIBUTES = ["product_type", "price_band", "package"]

@@ -155,17 +155,21 @@ _NUMERIC = {"monthly_spend": "behavior", "product_quality": "cognitive"}
 _COUNTED = {"market_segment": "basic", "income": "basic", "product_quality_3": "cognitive"}
 
 
-@query("persona_details", with_views(union_all(
-    [f"select segment, '{g}' as \"group\", '{v}' as variable, 'numeric_mean' as summary_type, {r6(f'avg({v})')} as segment_value, "
-     f"{r6(f'(select avg({v}) from survey)')} as overall_value, "
-     f"{r6(f'(avg({v}) - (select avg({v}) from survey)) / (select stddev_pop({v}) from survey)')} as delta_or_index, '' as top_category, "
-     f"cast(null as double) as segment_share, cast(null as double) as overall_share from survey group by segment" for v, g in _NUMERIC.items()]
-    + [f"select * from (with c as (select segment, cast({v} as varchar) as level, count(*) as n from survey where {v} is not null group by all), "
-       f"s as (select *, n / cast(sum(n) over (partition by segment) as double) as share, sum(n) over (partition by level) / cast(sum(n) over () as double) as base, "
-       f"row_number() over (partition by segment order by n desc, level) as rn from c) "
-       f"select segment, '{g}' as \"group\", '{v}' as variable, 'category_share' as summary_type, cast(null as double) as segment_value, "
-       f"cast(null as double) as overall_value, {r6('share / base')} as delta_or_index, level as top_category, {r6('share')} as segment_share, "
-       f"{r6('base')} as overall_share from s where rn <= 2)" for v, g in _COUNTED.items()]), "survey"))
+def _details_sql(rounded) -> str:
+    return union_all(
+        [f"select segment, '{g}' as \"group\", '{v}' as variable, 'numeric_mean' as summary_type, {rounded(f'avg({v})')} as segment_value, "
+         f"{rounded(f'(select avg({v}) from survey)')} as overall_value, "
+         f"{rounded(f'(avg({v}) - (select avg({v}) from survey)) / (select stddev_pop({v}) from survey)')} as delta_or_index, '' as top_category, "
+         f"cast(null as double) as segment_share, cast(null as double) as overall_share from survey group by segment" for v, g in _NUMERIC.items()]
+        + [f"select * from (with c as (select segment, cast({v} as varchar) as level, count(*) as n from survey where {v} is not null group by all), "
+           f"s as (select *, n / cast(sum(n) over (partition by segment) as double) as share, sum(n) over (partition by level) / cast(sum(n) over () as double) as base, "
+           f"row_number() over (partition by segment order by n desc, level) as rn from c) "
+           f"select segment, '{g}' as \"group\", '{v}' as variable, 'category_share' as summary_type, cast(null as double) as segment_value, "
+           f"cast(null as double) as overall_value, {rounded('share / base')} as delta_or_index, level as top_category, {rounded('share')} as segment_share, "
+           f"{rounded('base')} as overall_share from s where rn <= 2)" for v, g in _COUNTED.items()])
+
+
+@query("persona_details", with_views(_details_sql(r6), "survey"))
 def persona_details(spark, d):
     survey = view(spark, d, "survey")
     t = segments.persona_details(survey, "segment", _GROUPS, profile(survey), ["product_quality"])
@@ -173,21 +177,64 @@ def persona_details(spark, d):
     return t.select(*[round6(F.col(c)).alias(c) if c in floats else c for c in t.columns])
 
 
-@query("persona_info")
+# Four strongest means, then four strongest levels (one per variable; only those above the overall share, if any is), six parts at most.
+_INFO_SQL = f"""det as ({_details_sql(str)}),
+means as (select segment, "group", row_number() over (partition by segment, "group" order by abs(delta_or_index) desc nulls last, variable) as place,
+                 printf('%s均值%.2f(整体%.2f)', variable, segment_value, overall_value) as part from det where summary_type = 'numeric_mean'),
+lv as (select *, max(case when delta_or_index >= 1 then 1 else 0 end) over (partition by segment, "group") as any_over, abs(delta_or_index - 1) as strength
+       from det where summary_type = 'category_share'),
+one as (select *, row_number() over (partition by segment, "group", variable order by strength desc nulls last, top_category) as rn
+        from lv where any_over = 0 or delta_or_index >= 1),
+levels as (select segment, "group", 4 + row_number() over (partition by segment, "group" order by strength desc nulls last, variable) as place,
+                  printf('%s偏向“%s”(%.1f%%, 整体%.1f%%)', variable, top_category, segment_share * 100, overall_share * 100) as part from one where rn = 1),
+parts as (select * from means where place <= 4 union all select * from levels where place <= 8),
+numbered as (select *, row_number() over (partition by segment, "group" order by place, part) as k from parts),
+info as (select segment, "group", string_agg(part, '；' order by k) as info from numbered where k <= 6 group by all)"""
+
+
+@query("persona_info", with_views(f"with {_INFO_SQL} select * from info", "survey"))
 def persona_info(spark, d):
     survey = view(spark, d, "survey")
     details = segments.persona_details(survey, "segment", _GROUPS, profile(survey), ["product_quality"])
     return segments.persona_info(details, "segment")
 
 
-@query("profile_groups")
+_COLUMNS = ["respondent", "market_segment", "segment", "income", "monthly_spend", "product_quality", "product_quality_2", "product_quality_3", "perceived_value",
+            "perceived_value_2", "brand_trust", "brand_trust_2", "purchase_intention", "purchase_intention_2"]
+
+
+def _hinted_sql(name: str, hints) -> str:
+    tests = [f"contains({name}, '{h}')" for h in hints if len(h) >= 5]
+    tests += [f"regexp_matches({name}, '(^|[^a-z0-9]){h}([^a-z0-9]|$)')" for h in hints if len(h) < 5]
+    return "(" + " or ".join(tests) + ")"
+
+
+_GROUPS_SQL = "with c as (" + union_all(
+    f"select {i} as pos, '{c}' as variable, count({c}) >= 0.2 * count(*) and count(distinct {c}) > 1 as fit, count(distinct {c}) > greatest(20, 0.75 * count(*)) "
+    f"or {'true' if any(t in c for t in fv.ID_TOKENS) else 'false'} as id_like from survey" for i, c in enumerate(_COLUMNS)) + "), g as (" + union_all(
+    f"select '{g}' as \"group\", pos, variable from c where fit and not id_like and ({_hinted_sql('variable', h)}"
+    + (" or variable = 'purchase_intention')" if g == "cognitive" else ")")
+    for g, h in (("basic", fv.BASIC_HINTS), ("behavior", fv.BEHAVIOR_HINTS), ("cognitive", fv.COGNITIVE_HINTS))) + """)
+select "group", cast(row_number() over (partition by "group" order by pos) as int) as position, variable from g"""
+
+
+@query("profile_groups", with_views(_GROUPS_SQL, "survey"))
 def profile_groups(spark, d):
     groups = segments.profile_groups(profile(view(spark, d, "survey")), outcome="purchase_intention")
     return spark.createDataFrame([(g, i, v) for g, cols in groups.items() for i, v in enumerate(cols, start=1)],
                                  "group string, position int, variable string")
 
 
-@query("persona_summary")
+@query("persona_summary", with_views(f"""with {_INFO_SQL}, {_STRINGS_SQL},
+sizes as (select segment, count(*) as size, count(*) / (select cast(count(*) as double) from survey) as share from survey group by segment),
+wide as (select segment, max(info) filter ("group" = 'basic') as basic, max(info) filter ("group" = 'behavior') as behavior,
+                max(info) filter ("group" = 'cognitive') as cognitive from info group by segment),
+p as (select segment, size, share, {_label_sql()} as persona, coalesce(basic, '{fv.NO_PROFILE_INFO}') as basic, coalesce(behavior, '{fv.NO_PROFILE_INFO}') as behavior,
+             coalesce(cognitive, '{fv.NO_PROFILE_INFO}') as cognitive, high_features_z, low_features_z from sizes join s using (segment) left join wide using (segment)),
+t as (select *, concat_ws(' ', persona, behavior, cognitive, high_features_z, low_features_z) as txt from p)
+select printf('第%d类', segment) as "类型编号", persona as "消费者类型", size as "样本量", printf('%.2f%%', share * 100) as "占比", basic as "基础信息", behavior as "行为信息",
+       cognitive as "认知信息", high_features_z as "核心区分特征",
+       case {' '.join(f"when {contains_any('txt', w)} then '{v}'" for w, v in fv.STRATEGY_RULES)} else '{fv.STRATEGY_DEFAULT}' end as "策略定位" from t""", "survey"))
 def persona_summary(spark, d):
     survey = view(spark, d, "survey")
     details = segments.persona_details(survey, "segment", _GROUPS, profile(survey), ["product_quality"])

@@ -104,7 +104,7 @@ def test_stems(spark, question, stem, option):
 def test_csv_with_bom_and_line_breaks(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('﻿"Q1\nhow?",b\n"a ""quoted"", cell\nnext",  2\n,x\n', encoding="utf-8")
-    df = tables.read_survey(spark, str(path, multi_line=True))
+    df = tables.read_survey(spark, str(path), multi_line=True)
     assert df.columns == ["Q1\nhow?", "b"]
     assert [tuple(r) for r in df.collect()] == [('a "quoted", cell\nnext', "  2"), (None, "x")]
 
