@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
 from ..functions.scalars import is_numeric, label_sql, number_sql, round6, sql_name
@@ -128,11 +127,11 @@ def _undecided(rows: int, approx: int) -> bool:
     return approx <= SMALL_DISTINCT or 0.75 * bound <= approx <= 1.25 * bound
 
 
-def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, ColumnProfile]:
+def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False) -> dict[str, ColumnProfile]:
     """Profile for the driver: one row per column, levels only where there are few.
 
     Sketches settle the columns that lie far from every distinct-count rule; only the others
-    are counted exactly.
+    are counted exactly (all of them with ``exact``).
     """
     columns = columns or profiled_columns(df)
     if not columns:
@@ -141,7 +140,7 @@ def profile(df: DataFrame, columns: list[str] | None = None) -> dict[str, Column
     if not stats:
         return {c: ColumnProfile(c, is_numeric(df.schema[c].dataType), 0, 0, 0) for c in columns}
     near = [c for c in columns if stats[c]["approx_distinct"] > SMALL_DISTINCT
-            and _undecided(stats[c]["rows"], stats[c]["approx_distinct"])]
+            and (exact or _undecided(stats[c]["rows"], stats[c]["approx_distinct"]))]
     distinct = {c: int(stats[c]["approx_distinct"]) for c in columns}
     if near:
         distinct.update({r["variable"]: r["distinct"] for r in exact_distincts(df, near).collect()})
@@ -215,41 +214,15 @@ def variable_matches(name: str, hints) -> bool:
     return any(h in low if len(h) >= 5 else h in tokens or ("_" in h and f"_{h}_" in f"_{low}_") for h in hints)
 
 
-def classification(df: DataFrame, columns: list[str] | None = None, id_columns=()) -> DataFrame:
-    """One row per column with every class flag, computed on the cluster from the profile table."""
-    columns = columns or profiled_columns(df)
-    stats = scan_statistics(df, columns).select("variable", "numeric", "rows", "count", "low", "high")
-    distincts = exact_distincts(df, columns)
-    t = stats.join(distincts, "variable", "left").withColumn("distinct", F.coalesce("distinct", F.lit(0)))
-    low = F.lower("variable")
-    named = F.col("variable").isin(*id_columns) if id_columns else F.lit(False)
-    for token in fv.ID_TOKENS:
-        named = named | F.contains(low, F.lit(token))
-    id_like = named | (F.col("distinct") > F.greatest(F.lit(20.0), F.col("rows") * 0.75))
-    demographic = F.lit(False)
-    for hint in fv.BASIC_HINTS:
-        demographic = demographic | low.startswith(hint)
-    t = t.withColumn("id_like", id_like)
-    likert = (F.col("numeric") & ~F.col("id_like") & ~demographic & (F.col("count") >= 8)
-              & F.col("distinct").between(2, 11) & (F.col("low") >= 0) & (F.col("high") <= 10))
-    categorical = (F.col("count") > 0) & (~F.col("numeric") | F.col("distinct").between(2, 12))
-    return t.select("variable", "numeric", "distinct", "id_like",
-                    F.coalesce(likert, F.lit(False)).alias("likert_item"),
-                    categorical.alias("categorical"))
+def classification(df: DataFrame, columns: list[str] | None = None, id_columns=(), exact: bool = False) -> DataFrame:
+    """One row per column with every class flag. ``exact`` counts the distinct values of columns that are far from every rule too."""
+    rows = [(p.name, p.numeric, p.distinct, is_id_like(p, id_columns), is_likert_item(p, id_columns), is_categorical(p))
+            for p in profile(df, columns, exact).values()]
+    return df.sparkSession.createDataFrame(
+        rows, "variable string, numeric boolean, distinct bigint, id_like boolean, likert_item boolean, categorical boolean")
 
 
 def binary_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(variable, is_binary)`` by the stripped, lower-cased answer sets.
-
-    The answers of a variable are first reduced to distinct ones; a third value settles the
-    question, so at most three per variable reach its final task.
-    """
-    answers = level_frequencies(df, columns).select(
-        "variable", F.lower(F.regexp_replace("level", r"(?U)^\s+|\s+$", "")).alias("level")).distinct()
-    w = Window.partitionBy("variable").orderBy("level")
-    firsts = answers.withColumn("rn", F.row_number().over(w)).where("rn <= 3")
-    sets = firsts.groupBy("variable").agg(F.sort_array(F.collect_list("level")).alias("levels"))
-    hit = F.lit(False)
-    for allowed in fv.BINARY_VALUE_SETS:
-        hit = hit | (F.col("levels") == F.array(*[F.lit(v) for v in sorted(allowed)]))
-    return sets.select("variable", hit.alias("is_binary"))
+    """``(variable, is_binary)`` by the stripped, lower-cased answer sets."""
+    rows = [(p.name, is_binary_selection(p)) for p in profile(df, columns).values() if p.count]
+    return df.sparkSession.createDataFrame(rows, "variable string, is_binary boolean")

@@ -204,7 +204,7 @@ def likert_items(spark, d):
 
 @query("classify_columns", with_views(_class_sql("survey", _SURVEY), "survey"))
 def classify_columns(spark, d):
-    return profile.classification(view(spark, d, "survey"))
+    return profile.classification(view(spark, d, "survey"), exact=True)
 
 
 @query("binary_columns", with_views(union_all(
