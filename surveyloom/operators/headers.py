@@ -1,14 +1,19 @@
 """Question headers to variable names."""
 
+import functools
+import itertools
+import operator
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
 from ..functions.scalars import _ASCII_DIGITS, _FOREIGN_DIGITS, any_contains, has_east_asian
+from ..plans.holding import hold
 from .ordered import MAX_ROWS_PER_TASK, running_totals
 
 MAX_SLUG = 64
@@ -72,16 +77,47 @@ def with_base_names(df: DataFrame, header: str, position: str, name: str = "base
         name, F.coalesce(F.col(name), question_number_name(F.col(header)), F.col("_fallback"))).drop("_fallback")
 
 
+def unique_names(bases: list[str]) -> list[str]:
+    """The base, then ``base_2``, ``base_3``, ... in order; a number whose name is taken is passed over."""
+    taken: set[str] = set()
+    count: dict[str, int] = {}
+    names = []
+    for base in bases:
+        tries = (base if n == 1 else f"{base}_{n}" for n in itertools.count(count.get(base, 0) + 1))
+        names.append(next(name for name in tries if name not in taken))
+        taken.add(names[-1])
+        count[base] = int(names[-1][len(base) + 1:] or 1)
+    return names
+
+
 def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str,
                  max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Add ``variable_name``: the base, then ``base_2``, ``base_3``, ... in header order.
+    """Add ``variable_name``: the base, then ``base_2``, ``base_3``, ... in header order; all names of a survey differ.
 
     ``position`` is unique within a survey. A base that fills most of a survey is counted in ranges.
+    Only surveys with a base that looks like a numbered name can have collisions; their headers, the
+    columns of one table, are named in one task each.
     """
-    counted = running_totals(headers.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position,
+    headers = hold(headers)
+    numbered = headers.where(F.col(base).rlike(r"_[0-9]+$")).select(*survey).distinct()
+    risky = hold(numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(survey)]))
+    plain = headers
+    if risky.limit(1).count():
+        same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(survey)])
+        plain, mixed = headers.join(risky, same, "left_anti"), headers.join(risky, same, "left_semi")
+    counted = running_totals(plain.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position,
                              ["_one"], max_rows)
     suffix = F.when(F.col("cum__one") > 1, F.concat(F.lit("_"), F.col("cum__one").cast("string"))).otherwise("")
-    return counted.withColumn("variable_name", F.concat(F.col(base), suffix)).select(*headers.columns, "variable_name")
+    named = counted.withColumn("variable_name", F.concat(F.col(base), suffix)).select(*headers.columns, "variable_name")
+    if plain is headers:
+        return named
+
+    def in_order(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(position, kind="stable")
+        return rows.assign(variable_name=unique_names(rows[base].tolist()))
+
+    schema = T.StructType([*headers.schema.fields, T.StructField("variable_name", T.StringType())])
+    return named.unionByName(mixed.groupBy(*survey).applyInPandas(in_order, schema))
 
 
 def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
@@ -97,17 +133,7 @@ def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple
     based = with_base_names(asked, "original_question", "position").withColumn(
         "base", F.when(F.col("requested").isNotNull(), F.col("_asked")).otherwise(F.col("base")))
     bases = [r["base"] for r in based.orderBy("position").collect()]
-    taken: set[str] = set()
-    seen: dict[str, int] = {}
-    names = []
-    for base in bases:
-        seen[base] = seen.get(base, 0) + 1
-        name = base if seen[base] == 1 and base not in taken else None
-        while name is None or name in taken:
-            seen[base] = max(seen[base], 2) if name is None else seen[base] + 1
-            name = f"{base}_{seen[base]}"
-        taken.add(name)
-        names.append(name)
+    names = unique_names(bases)
     mapping = dict(zip(df.columns, names))
     variable_map = spark.createDataFrame(list(zip(df.columns, names)), "original_question string, variable_name string")
     return df.toDF(*names), variable_map, mapping

@@ -114,3 +114,11 @@ def test_rows_with_null_keys_stay(spark, max_rows):
     for r in got:
         mine = [v for k, m, v, _ in rows if (k, m) == (r["k"], r["m"])]
         assert (r["cum_n"], r["tot_n"]) == (sum(v <= r["v"] for v in mine), len(mine))
+
+
+def test_numbered_headers_keep_names_apart(spark):
+    rows = [("s", 1, "x"), ("s", 2, "x"), ("s", 3, "x_2"), ("s", 4, "x"), ("t", 1, "x"), ("t", 2, "x"), (None, 1, "y_2"), (None, 2, "y"), (None, 3, "y")]
+    df = spark.createDataFrame(rows, "survey string, position int, base string")
+    got = {(r["survey"], r["position"]): r["variable_name"] for r in headers.dedupe_names(df, ["survey"], "base", "position").collect()}
+    assert got == {("s", 1): "x", ("s", 2): "x_2", ("s", 3): "x_2_2", ("s", 4): "x_3", ("t", 1): "x", ("t", 2): "x_2",
+                   (None, 1): "y_2", (None, 2): "y", (None, 3): "y_3"}
