@@ -1,5 +1,7 @@
 """Descriptive tables."""
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,7 +50,13 @@ def categorical_distributions(df: DataFrame, columns: list[str] | None = None,
     if not chosen:
         return df.sparkSession.createDataFrame(
             [], "variable string, level_order int, level string, count bigint, percent double")
-    return top_levels_per_key(level_frequencies(df, chosen), ["variable"], max_levels)
+    # The profile has counted the levels of columns with few; only the others are scanned again.
+    known = [c for c in chosen if stats[c].levels and len(stats[c].levels) == stats[c].distinct]
+    rest = [c for c in chosen if c not in known]
+    parts = [df.sparkSession.createDataFrame(
+        [(c, level, n) for c in known for level, n in stats[c].levels], "variable string, level string, n bigint")] if known else []
+    parts += [level_frequencies(df, rest)] if rest else []
+    return top_levels_per_key(functools.reduce(DataFrame.unionByName, parts), ["variable"], max_levels)
 
 
 def quantile_bins(df: DataFrame, columns: list[str], q: int, keys: list[str] = (),

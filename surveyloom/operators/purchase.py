@@ -1,7 +1,6 @@
 """Purchase questions: selection, multi-select groups, single-question distributions."""
 
 import os
-import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +47,8 @@ def split_stem(question: Column) -> tuple[Column, Column]:
     text = strip(question)
     stem, option = text, F.lit("")
     for separator in reversed(fv.STEM_SEPARATORS):
-        pattern = rf"(?s)^(.*){re.escape(separator)}(.*)$"
-        left, right = strip(F.regexp_extract(text, pattern, 1)), strip(F.regexp_extract(text, pattern, 2))
+        last = F.substring_index(text, separator, -1)
+        left, right = strip(F.substring(text, F.lit(1), F.length(text) - F.length(last) - len(separator))), strip(last)
         fits = F.contains(text, F.lit(separator)) & (left != "") & (right != "")
         stem = F.when(fits, left).otherwise(stem)
         option = F.when(fits, right).otherwise(option)
