@@ -216,8 +216,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         for number, check, (_, _, _, _, words) in numbered(batches):
             bucket = np.array([zlib.crc32(w) % n for w in words], np.int64)
             by = np.argsort(bucket, kind="stable")
-            edges = np.searchsorted(bucket[by], np.arange(n + 1))
-            out = [(b, by[edges[b]:edges[b + 1]]) for b in range(n) if edges[b] < edges[b + 1]]
+            there, first = np.unique(bucket[by], return_index=True)
+            out = list(zip(there.tolist(), np.split(by, first[1:])))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in out], pa.int64()), pa.array([number] * len(out), pa.int64()), pa.array([check] * len(out), pa.int64()),
                  pa.array([packed(at, [len(words[i]) for i in at.tolist()]) for _, at in out], pa.binary()),
