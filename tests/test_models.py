@@ -255,7 +255,7 @@ def test_attributes_with_many_levels_are_complete(spark):
 
 def test_named_entries_are_not_cut(spark):
     names = [f"v{i}" for i in range(16)]
-    df = spark.createDataFrame([tuple((r * (i + 3)) % 4 for i in range(16)) for r in range(60)], ", ".join(f"{n} int" for n in names))
+    df = spark.createDataFrame([tuple((r >> i % 5) % 4 for i in range(16)) for r in range(60)], ", ".join(f"{n} int" for n in names))
     pairs = [(a, b) for a in names for b in names if a < b][:120]
     tests = stat_tests.run_independence_tests(df, pairs).where("method = 'chi_square_independence'")
     assert tests.count() == 120
