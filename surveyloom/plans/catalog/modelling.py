@@ -91,15 +91,21 @@ def best_subset(spark, d):
     return t.select("construct", F.array_join("items", ", ").alias("items"), "reliability", round6(F.col("score")).alias("score"))
 
 
-@query("construct_summary", with_views(f"""
+@query("construct_summary")
+def construct_summary(spark, d):
+    return scales.detect_constructs(view(spark, d, "survey"))[1]
+
+
+@query("construct_semantic", with_views(f"""
 select g.construct || '_score' as construct, items, k as n_items, {r6('alpha')} as cronbach_alpha, {r6('mean_corr')} as mean_interitem_corr, reliability,
        'semantic_auto' as source, g.construct as construct_base from (
   select r.*, g.construct, row_number() over (partition by g.construct order by score desc, subset) as rn
   from ({_rated_sql([s for _, s in _CANDIDATES])}) r
   join (values {', '.join(f"({i}, '{g}')" for i, (g, _) in enumerate(_CANDIDATES))}) g(id, construct) on g.id = r.subset
   where reliability <> 'weak') g where rn = 1""", "survey"))
-def construct_summary(spark, d):
-    t = scales.detect_constructs(view(spark, d, "survey"))[1]
+def construct_semantic(spark, d):
+    """Those of the constructs that share a name; the correlation-based ones follow from what these leave over."""
+    t = scales.detect_constructs(view(spark, d, "survey"))[1].where("source = 'semantic_auto'")
     return t.select(*[round6(F.col(c)).alias(c) if k == "double" else c for c, k in t.dtypes])
 
 
