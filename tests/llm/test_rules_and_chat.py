@@ -28,7 +28,8 @@ def test_base_figures_of_awkward_texts(clashing):
 
 
 def test_lines_are_judged_before_the_document(spark):
-    prose = "\n".join(f"This is sentence number {i} of a plain text, and it says something about {i * 7} things." for i in range(6))
+    kinds = zip(("foxes", "bakers", "clerks", "smiths", "nurses", "owls"), ("Norway", "Bern", "Lyon", "Cork", "Riga", "Split"), ("hid", "sold", "lost", "made", "found", "drew"), ("bread", "maps", "coins", "bells", "songs", "nets"))
+    prose = "\n".join(f"Chapter {i} tells how the {a} of {b} once {c} their {d} before winter came." for i, (a, b, c, d) in enumerate(kinds))
     menu, notice = "Home | News | Sport | Contact | About", "Licensed under the Apache License, Version 2.0."
     docs = spark.createDataFrame([(1, prose), (2, prose + "\n" + menu + "\n" + notice), (3, "\n".join([menu] * 1 + [f"a{i} | b{i} | c{i} | d{i}" for i in range(9)])), (4, "GO" + "!! GO" * 40)], "doc_id long, text string")
     found = {r.doc_id: r for r in quality_rules.judge(docs).collect()}
