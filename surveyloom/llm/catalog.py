@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, langid, lm, quality_net, quality_rules, repeats, simhash, warc
+from . import bpe, chat, decontaminate, langid, lm, prefix_trie, quality_net, quality_rules, repeats, simhash, spelling, warc, winnowing
 from .common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,44 @@ def quality_scores(spark, sf_dir):
 @query("op9_lattice_lm")
 def lattice_lm(spark, sf_dir):
     return lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")).drop("tag")
+
+
+# crc32 bit by bit over the digits of the id. Every prefix of a rebuilt conversation is a list; subtrees are found through
+# all prefixes of every node.
+TRIE_SQL = f"""
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+                  {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as x from conversations where conv_id is not null),
+c as (select conv_id, conv_id - conv_id % 100 as base, list(x order by pos) as xs,
+             cast(xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(cast(conv_id as varchar), ''), lambda d: cast(ascii(d) as bigint))),
+               lambda s, d: list_reduce(list_prepend(xor(s, d), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))) % 6 as bigint) as h
+      from t group by conv_id),
+b as (select c.conv_id, list_concat(coalesce(o.xs[1:c.h], []), c.xs[c.h + 1:]) as p from c left join c as o on c.base = o.conv_id),
+m as (select conv_id, unnest(range(0, len(p) + 1)) as depth, p from b),
+n as (select p[1:depth] as node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+             coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(p) = depth), '') as ends
+      from m group by p[1:depth], depth),
+k as (select node[1:depth - 1] as node, count(*) as n_children from n where depth > 0 group by node[1:depth - 1]),
+d as (select n.*, coalesce(n_children, 0) as n_children, (n_convs - 1) * case when depth > 0 then length(node[depth].t) else 0 end as saved from n left join k using (node)),
+u as (select node[1:a] as node, sum(saved) as saved_tokens, count(*) filter (n_children = 0) as n_leaves
+      from (select *, unnest(range(0, depth + 1)) as a from d) group by node[1:a])
+select d.conv_id, d.depth, p.conv_id as parent_conv_id, d.n_convs, d.n_children, cast(n_leaves as bigint) as n_leaves,
+       cast(saved_tokens as bigint) as saved_tokens, sha256(d.ends) as ends_sha256
+from d join u using (node) left join n as p on d.depth > 0 and p.node = d.node[1:d.depth - 1]
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def conversation_prefixes(spark, sf_dir):
+    c = F.col("conv_id")
+    rebuilt = prefix_trie.branched(prefix_trie.sequences(table(spark, sf_dir, "conversations")), c - c % 100, F.crc32(c.cast("string").cast("binary")) % 6, 5)
+    return prefix_trie.prefix_nodes(rebuilt)
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_winnowing")
+def document_fingerprints(spark, sf_dir):
+    return winnowing.compare_neighbours(table(spark, sf_dir, "documents"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..plans.holding import settle, shared_folder
 
-__all__ = ["settle", "shared_folder", "table", "keyed", "held_out", "same_row", "texts_of", "sha256_hex", "word_bytes"]
+__all__ = ["settle", "shared_folder", "table", "keyed", "held_out", "same_row", "texts_of", "sha256_hex", "word_bytes", "pieces", "parts_for"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,3 +60,8 @@ def pieces(batch: pa.RecordBatch, limit: int):
         if total >= limit or i == len(sizes) - 1:
             yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0
+
+
+def parts_for(amount: int | None, per_part: int, spark: SparkSession) -> int:
+    """Partitions of ``per_part`` each, at least as many as the session's shuffles have."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(amount or 0) // per_part))
