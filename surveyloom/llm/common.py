@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
-import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,12 +51,12 @@ def word_bytes(keep) -> bytes:
     return bytes(lower[b] if keep(lower[b]) else 32 for b in range(256))
 
 
-def pieces(batch: pa.RecordBatch, limit: int):
-    """A batch in runs of rows with about ``limit`` bytes, at least one row each."""
-    sizes = np.asarray(batch.column("text").cast(pa.binary()).fill_null(b"").to_numpy(zero_copy_only=False), dtype=object)
+def pieces(batch: pa.RecordBatch, limit: int, column: str = "text"):
+    """A batch in runs of rows with about ``limit`` bytes of text, at least one row each."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
-    for i, text in enumerate(sizes):
-        total += len(text)
+    for i, size in enumerate(sizes.tolist()):
+        total += size
         if total >= limit or i == len(sizes) - 1:
             yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0

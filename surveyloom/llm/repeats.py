@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ranges
-from .common import settle, sha256_hex
+from .common import pieces, settle, sha256_hex
 from .suffixes import permuted_equal, suffix_array
 
 LENGTH = 100
 GRAM = 37
-#: Bytes that are scanned in one piece, and of passages that make a shard.
-SCAN_BYTES, SHARD_BYTES = 4 << 20, 4 << 20
+#: Bytes that are scanned in one piece, of texts that a task turns into rows at once, and of passages that make a shard.
+SCAN_BYTES, CUT_BYTES, SHARD_BYTES = 1 << 20, 8 << 20, 4 << 20
 #: Passages of one anchor that still go into one shard.
 HOT_PASSAGES = 50_000
 
@@ -117,7 +117,7 @@ def marked(base: DataFrame, length: int) -> DataFrame:
     """The passages that need a decision or have one: anchor, row, doc, at (start << 6 | strings - 1), kind (``gone``, ``compare``, ``hot``)."""
     def run(batches):
         names = ["anchor", "content", "gone", "row", "tag", "doc", "at"]
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
             texts = [t or b"" for t in batch.column("__text").cast(pa.binary()).to_pylist()]
             owner, start, count, anchor, content = passages(texts, length)
             row, tag = np.asarray(batch.column("__row"))[owner], np.asarray(batch.column("__tag"))[owner]
@@ -175,9 +175,8 @@ def compared(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
     def fetch(hot: bool):
         def run(batches):
             names = ["anchor", "row", "tag", "doc", "start", "bytes"]
-            for batch in batches:
-                asked = batch.column("__asked").is_valid().to_numpy(zero_copy_only=False)
-                batch = batch.filter(pa.array(asked))
+            for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
+                batch = batch.filter(batch.column("__asked").is_valid())
                 out = [[], [], [], [], [], []]
                 for text, row, tag, doc, wanted in zip(*(batch.column(c).to_pylist() for c in ("__text", "__row", "__tag", "__doc", "__asked"))):
                     raw = text.encode()
@@ -259,7 +258,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others. Null texts are empty; repeated rows share their id and start, so neither is earlier.
     """
     def run(batches):
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
             raws = [(t or "").encode() for t in batch.column("__text").to_pylist()]
             spans = [united(r) for r in batch.column("__runs").to_pylist()]
             kept = [without(raw, s) for raw, s in zip(raws, spans)]
@@ -292,7 +291,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     place, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
             texts, keep = batch.column("__text").to_pylist(), []
             for i, runs in enumerate(batch.column("__runs").to_pylist()):
                 if runs:
