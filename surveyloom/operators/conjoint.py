@@ -1,7 +1,6 @@
 """Choice and rating conjoint on counted attribute profiles."""
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -11,12 +10,11 @@ from ..functions.scalars import finite
 from ..plans.holding import hold
 from .clean import dummy_columns, sorted_levels, zscore_column
 from .models import fit_ols
-from .moments import batch_matrix
 from .profile import ColumnProfile, all_levels, is_id_like, number, profile
+from .rounds import TASK_CELLS, Exchange, iterated
 
 CHOICE_SCHEMA = "term string, utility double, attribute string"
 RATING_SCHEMA = "term string, utility double, std_error double, t_or_z double, approx_p double, attribute string"
-MAX_DRIVER_CELLS = 20_000_000  # profiles x terms that are iterated in driver memory
 
 
 def detect_structure(stats: dict[str, ColumnProfile], chosen: str | None = None, rating: str | None = None,
@@ -56,17 +54,11 @@ def attribute_design(df: DataFrame, attributes: list[str], stats: dict[str, Colu
     return design, groups
 
 
-def _gradient(design: np.ndarray, n: np.ndarray, chosen: np.ndarray, beta: np.ndarray) -> np.ndarray:
-    logits = np.clip(design @ beta, -30, 30)
-    return design.T @ (n / (1 + np.exp(-logits)) - chosen)
-
-
 def fit_choice(profiles: DataFrame, design: dict[str, Column], rate: float = 0.08, steps: int = 2500,
-               l2: float = 0.001, max_driver_cells: int = MAX_DRIVER_CELLS) -> np.ndarray:
+               l2: float = 0.001, task_cells: int = TASK_CELLS) -> np.ndarray:
     """L2-penalised logistic utilities (intercept free) by full-batch steps from zero.
 
-    The counted profiles are the sufficient statistic. When they are few they are iterated in
-    place; otherwise every step is one Spark job over the profiles, with the same arithmetic.
+    The counted profiles are the sufficient statistic; all steps run in one job over them.
     """
     table = profiles.select(*[c.cast("double").alias(f"x{k}") for k, c in enumerate(design.values())],
                             F.col("n").cast("double").alias("n"), F.col("n_chosen").cast("double").alias("y"))
@@ -76,34 +68,17 @@ def fit_choice(profiles: DataFrame, design: dict[str, Column], rate: float = 0.0
     if not size:
         return np.array([])
 
-    def step(beta, gradient):
-        gradient = gradient / total
-        gradient[1:] += l2 * beta[1:]
-        return beta - rate * gradient
-
-    beta = np.zeros(width + 1)
-    if size * (width + 3) <= max_driver_cells:
-        rows = table.toPandas().to_numpy(dtype=float)
+    def descend(rows: np.ndarray, exchange: Exchange) -> np.ndarray:
         x = np.column_stack([np.ones(len(rows)), rows[:, :width]])
+        n, chosen, beta = rows[:, width], rows[:, width + 1], np.zeros(width + 1)
         for _ in range(steps):
-            beta = step(beta, _gradient(x, rows[:, width], rows[:, width + 1], beta))
+            expected = n / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+            gradient = exchange.total(x.T @ (expected - chosen)) / total
+            gradient[1:] += l2 * beta[1:]
+            beta = beta - rate * gradient
         return beta
-    for _ in range(steps):
-        beta = step(beta, _distributed_gradient(table, width, beta))
-    return beta
-
-
-def _distributed_gradient(table: DataFrame, width: int, beta: np.ndarray) -> np.ndarray:
-    def reduce_rows(batches):
-        total = np.zeros(width + 1)
-        for batch in batches:
-            rows = batch_matrix(batch, width + 2)
-            x = np.column_stack([np.ones(len(rows)), rows[:, :width]])
-            total += _gradient(x, rows[:, width], rows[:, width + 1], beta)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width + 1), pa.int32()), pa.array(total)], names=["k", "g"])
-
-    sums = table.mapInArrow(reduce_rows, "k int, g double").groupBy("k").agg(F.sum("g").alias("g"))
-    return np.array([r["g"] for r in sums.orderBy("k").collect()])
+
+    return iterated(table, size, descend, task_cells)
 
 
 def attribute_importance(utilities: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
@@ -131,7 +132,7 @@ def run_moderation(df: DataFrame, outcome: str | None, predictors: list[str], mo
 # --- mediation ------------------------------------------------------------------------
 
 # Upper ends of the Poisson(1) distribution function on the 64-bit integers.
-_POISSON_ENDS = np.array(
+POISSON_ENDS = np.array(
     [min(2**64 - 1, int(sum(1 / math.factorial(i) for i in range(k + 1)) / math.e * 2**64)) for k in range(12)],
     dtype=np.uint64)
 
@@ -149,7 +150,7 @@ def poisson_weights(keys: np.ndarray, draws: int, seed: int) -> np.ndarray:
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z ^= z >> np.uint64(31)
     weights = np.zeros(z.shape, dtype=np.float64)
-    for end in _POISSON_ENDS:
+    for end in POISSON_ENDS:
         weights += z >= end
     return weights
 
@@ -196,7 +197,9 @@ def mediation_sums(df: DataFrame, paths: list[tuple[str, str, str]], row_id: str
             names=["path", "draw", *_DRAW_SUMS])
 
     columns = [zscore_column(finite(number(df, c)), stats[c].mean, stats[c].std_pop or 1.0).alias(c) for c in names]
-    rows = df.select(*columns, F.xxhash64(F.col(row_id)).alias("_key"))
+    # A whole number is its own key; any other row id is hashed.
+    whole = isinstance(df.schema[row_id].dataType, T.IntegralType)
+    rows = df.select(*columns, (F.col(row_id).cast("long") if whole else F.xxhash64(F.col(row_id))).alias("_key"))
     schema = "path int, draw int, " + ", ".join(f"{c} double" for c in _DRAW_SUMS)
     return rows.mapInArrow(reduce_rows, schema).groupBy("path", "draw").agg(*[F.sum(c).alias(c) for c in _DRAW_SUMS])
 

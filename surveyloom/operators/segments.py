@@ -14,10 +14,10 @@ from ..plans.holding import hold
 from .clean import imputed_columns
 from .moments import batch_matrix
 from .profile import ColumnProfile, is_id_like, level_frequencies, number_text, variable_matches
+from .rounds import TASK_CELLS, Exchange, iterated
 
 MIN_SHARE = 0.05
 MAX_K = 6
-POINTS_PER_TASK = 50_000
 DETAILS_SCHEMA = ("`{segment}` {kind}, `group` string, variable string, summary_type string, segment_value double, overall_value double, "
                   "delta_or_index double, top_category string, segment_share double, overall_share double")
 
@@ -35,13 +35,6 @@ def counted_points(z: DataFrame, features: list[str]) -> DataFrame:
     return z.groupBy(*features).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
-def packed(points: DataFrame) -> DataFrame:
-    """The table held in tasks of some 50,000 points: it is read once per iteration."""
-    points = hold(points)
-    tasks = max(1, -(-points.count() // POINTS_PER_TASK))
-    return hold(points.repartition(tasks)) if tasks < points.rdd.getNumPartitions() else points
-
-
 def start_rows(points: DataFrame, features: list[str], n: int, seed: int) -> np.ndarray:
     """``n`` rows drawn in proportion to their weight, the same ones in every run.
 
@@ -53,83 +46,85 @@ def start_rows(points: DataFrame, features: list[str], n: int, seed: int) -> np.
     return rows.drop("_t").toPandas().to_numpy(dtype=float)
 
 
-def _sweep(points: DataFrame, features: list[str], fits: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
-    """One pass over the points for all fits: per center the weight and coordinate sums, per fit the cost."""
-    width = len(features)
+def _sweep(x: np.ndarray, weight: np.ndarray, fits: list[np.ndarray], exchange: Exchange) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
+    """One pass over the points for all fits: per center the coordinate sums and the weight, per fit the cost."""
+    width = x.shape[1]
     centers = np.vstack(fits)
     ends = np.cumsum([len(c) for c in fits])
     starts = ends - [len(c) for c in fits]
     norms = (centers * centers).sum(axis=1)
-
-    def reduce_rows(batches):
-        sums = np.zeros((len(centers), width + 2))
-        for batch in batches:
-            rows = batch_matrix(batch, width + 1)
-            x, weight = rows[:, :width], rows[:, width]
-            distance = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + norms
-            member = np.zeros_like(distance)
-            line = np.arange(len(x))
-            for lo, hi in zip(starts, ends):
-                nearest = lo + distance[:, lo:hi].argmin(axis=1)
-                member[line, nearest] = weight
-            sums[:, :width] += member.T @ x
-            sums[:, width] += member.sum(axis=0)
-            sums[:, width + 1] += (member * np.maximum(distance, 0.0)).sum(axis=0)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(centers)), pa.int32())] + [pa.array(np.ascontiguousarray(c)) for c in sums.T],
-            names=["center", *[f"s{j}" for j in range(width + 2)]])
-
-    schema = "center int, " + ", ".join(f"s{j} double" for j in range(width + 2))
-    total = np.zeros((len(centers), width + 2))
-    for r in points.mapInArrow(reduce_rows, schema).groupBy("center").agg(
-            *[F.sum(f"s{j}").alias(f"s{j}") for j in range(width + 2)]).collect():
-        total[r["center"]] = r[1:]
+    sums = np.zeros((len(centers), width + 2))
+    step = max(1, 4_000_000 // len(centers))
+    for first in range(0, len(x), step):
+        part, w = x[first:first + step], weight[first:first + step]
+        distance = (part * part).sum(axis=1)[:, None] - 2.0 * (part @ centers.T) + norms
+        member = np.zeros_like(distance)
+        line = np.arange(len(part))
+        for lo, hi in zip(starts, ends):
+            member[line, lo + distance[:, lo:hi].argmin(axis=1)] = w
+        sums[:, :width] += member.T @ part
+        sums[:, width] += member.sum(axis=0)
+        sums[:, width + 1] += (member * np.maximum(distance, 0.0)).sum(axis=0)
+    total = exchange.total(sums)
     parts = [total[lo:hi] for lo, hi in zip(starts, ends)]
     return [p[:, :width] for p in parts], [p[:, width] for p in parts], [float(p[:, width + 1].sum()) for p in parts]
 
 
 def fit_kmeans(points: DataFrame, features: list[str], k: int, restarts: int = 10, seed: int = 42,
-               max_iter: int = 100) -> tuple[np.ndarray, float]:
-    """Best of several random starts: ``(centers, inertia)``."""
-    return fit_many(points, features, [k], restarts, seed, max_iter)[k]
+               max_iter: int = 100, starts: list[np.ndarray] | None = None) -> tuple[np.ndarray, float]:
+    """Best of several random starts, or of the given ones: ``(centers, inertia)``."""
+    return fit_many(points, features, [k], restarts, seed, max_iter, {k: starts} if starts else None)[k]
 
 
 def fit_many(points: DataFrame, features: list[str], ks: list[int], restarts: int = 10, seed: int = 42,
-             max_iter: int = 100) -> dict[int, tuple[np.ndarray, float]]:
-    """K-means for every k and restart at once.
+             max_iter: int = 100, starts: dict[int, list[np.ndarray]] | None = None,
+             task_cells: int = TASK_CELLS) -> dict[int, tuple[np.ndarray, float]]:
+    """K-means for every k and restart at once: ``{k: (centers, inertia)}`` with the lowest inertia.
 
-    The built-in estimator reads the table once per iteration of every single fit. Here an
-    iteration of all ``len(ks) * restarts`` fits shares one pass, and a fit that has settled
-    leaves the sweep: at most ``max_iter`` passes in total.
+    All fits and iterations are one job over points that stay in their tasks; an iteration of all
+    ``len(ks) * restarts`` fits shares one pass, and a fit that has settled leaves the sweep. ``starts``
+    gives the first centers of every k instead of random rows.
     """
-    columns = [F.col(f"`{f}`").cast("double").alias(f"f{j}") for j, f in enumerate(features)]
-    table = packed(points.select(*columns, F.col("weight").cast("double").alias("weight")))
     names = [f"f{j}" for j in range(len(features))]
+    table = hold(points.select(*[F.col(f"`{f}`").cast("double").alias(n) for f, n in zip(features, names)], F.col("weight").cast("double").alias("weight")))
     pool = start_rows(table, names, restarts * sum(ks), seed)
     rng = np.random.default_rng(seed)
     # A fit starts from k different rows; empty clusters move to another row of the pool.
-    active = {(k, r): pool[rng.choice(len(pool), size=min(k, len(pool)), replace=False)] for k in ks for r in range(restarts)}
-    best: dict[int, tuple[np.ndarray, float]] = {}
-
-    def settle(k, centers, cost):
-        if k not in best or cost < best[k][1]:
-            best[k] = (centers, cost)
-
-    for _ in range(max_iter):
-        if not active:
-            return best
-        sums, weights, costs = _sweep(table, names, list(active.values()))
-        for (key, centers), s, w, cost in zip(list(active.items()), sums, weights, costs):
-            moved = np.where(w[:, None] > 0, s / np.where(w > 0, w, 1.0)[:, None], pool[rng.integers(0, len(pool), len(w))])
-            if np.abs(moved - centers).max() <= 1e-9:
-                settle(key[0], centers, cost)
-                del active[key]
-            else:
-                active[key] = moved
-    if active:
-        for (k, _), centers, cost in zip(active, active.values(), _sweep(table, names, list(active.values()))[2]):
-            settle(k, centers, cost)
-    return best
+    first = {(k, r): c for k, given in starts.items() for r, c in enumerate(given)} if starts else {
+        (k, r): pool[rng.choice(len(pool), size=min(k, len(pool)), replace=False)] for k in ks for r in range(restarts)}
+    width, draws = len(names), rng.integers(0, len(pool), 4096)
+
+    def lloyd(rows: np.ndarray, exchange: Exchange) -> np.ndarray:
+        x, weight, drawn = rows[:, :width], rows[:, width], 0
+        active, best = dict(first), {}
+
+        def settle(k, centers, cost):
+            if k not in best or cost < best[k][1]:
+                best[k] = (centers, cost)
+
+        for _ in range(max_iter):
+            if not active:
+                break
+            sums, weights, costs = _sweep(x, weight, list(active.values()), exchange)
+            for (key, centers), s, w, cost in zip(list(active.items()), sums, weights, costs):
+                spare = pool[draws[(drawn + np.arange(len(w))) % len(draws)]]
+                drawn += int((w <= 0).sum())
+                moved = np.where(w[:, None] > 0, s / np.where(w > 0, w, 1.0)[:, None], spare)
+                if np.abs(moved - centers).max() <= 1e-9:
+                    settle(key[0], centers, cost)
+                    del active[key]
+                else:
+                    active[key] = moved
+        if active:
+            for (k, _), centers, cost in zip(active, active.values(), _sweep(x, weight, list(active.values()), exchange)[2]):
+                settle(k, centers, cost)
+        return np.concatenate([np.concatenate([[len(best[k][0]), best[k][1]], best[k][0].ravel()]) for k in sorted(best)])
+
+    flat, found = iterated(table, table.count(), lloyd, task_cells), {}
+    for k in sorted({key[0] for key in first}):
+        size = int(flat[0])
+        found[k], flat = (flat[2:2 + size * width].reshape(size, width), float(flat[1])), flat[2 + size * width:]
+    return found
 
 
 def nearest_center(features: list[str], centers: np.ndarray) -> Column:
@@ -211,13 +206,17 @@ def choose_k(candidates: list[tuple[int, float, float | None]], wanted: int | No
 
 
 def select_k(z: DataFrame, features: list[str], row_id: str, wanted: int | None = None, restarts: int = 10,
-             seed: int = 42, max_points: int = 500) -> tuple[DataFrame, np.ndarray, float | None]:
-    """Candidate table ``(k, inertia, min_share, silhouette, selected)``, chosen centers, silhouette."""
+             seed: int = 42, max_points: int = 500, max_iter: int = 100, starts: dict[int, list[np.ndarray]] | None = None,
+             anchors: DataFrame | None = None) -> tuple[DataFrame, np.ndarray, float | None]:
+    """Candidate table ``(k, inertia, min_share, silhouette, selected)``, chosen centers, silhouette.
+
+    ``starts`` gives the candidates and their first centers, ``anchors`` the rows of the silhouette.
+    """
     points = hold(counted_points(z, features))
     rows = points.agg(F.sum("weight")).first()[0] or 0
-    ks = list(range(2, min(MAX_K, max(2, int(rows) // 20)) + 1))
-    anchors = hold(anchor_rows(z, row_id, max_points, seed))
-    fits = fit_many(points, features, ks, restarts, seed)
+    ks = sorted(starts) if starts else list(range(2, min(MAX_K, max(2, int(rows) // 20)) + 1))
+    anchors = hold(anchors if anchors is not None else anchor_rows(z, row_id, max_points, seed))
+    fits = fit_many(points, features, ks, restarts, seed, max_iter, starts)
 
     def rate(k):
         centers, sizes = ordered_centers(points, features, fits[k][0])

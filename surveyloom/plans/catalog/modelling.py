@@ -174,9 +174,40 @@ def mediation_point(spark, d):
         *[round6(F.col(c)).alias(c) for c in ("a_path", "indirect_effect", "direct_effect")])
 
 
-@query("mediation_bootstrap")
+_MASK = f"cast({2**64} as uhugeint)"
+
+
+def _mix_sql(z: str, shift: int, factor: int) -> str:
+    return f"((xor({z}, {z} >> {shift})) * cast({factor} as uhugeint)) % {_MASK}"
+
+
+# The row's weights for every draw as 64-bit arithmetic in wider integers, then weighted correlations per draw.
+_BOOTSTRAP_SQL = f"""
+with w0 as (select respondent, draw, (cast(respondent as uhugeint) * cast({0xD1342543DE82EF95} as uhugeint)
+              + cast(draw + 42 * 1000003 as uhugeint) * cast({0x9E3779B97F4A7C15} as uhugeint) % {_MASK}) % {_MASK} as z
+            from survey, (select unnest(range(1, 301)) as draw)),
+w1 as (select respondent, draw, {_mix_sql('z', 30, 0xBF58476D1CE4E5B9)} as z from w0),
+w2 as (select respondent, draw, {_mix_sql('z', 27, 0x94D049BB133111EB)} as z from w1),
+w3 as (select respondent, draw, xor(z, z >> 31) as z from w2),
+w as (select respondent, draw, cast({' + '.join(f"(z >= cast({int(e)} as uhugeint))::int" for e in models.POISSON_ENDS)} as double) as w from w3
+      union all select respondent, 0, 1 from survey),
+v as ({union_all(f"select {i} as path, respondent, cast({x} as double) as x, cast({m} as double) as m, cast({y} as double) as y from survey where {x} is not null and {m} is not null and {y} is not null" for i, (x, m, y) in enumerate(_PATHS))}),
+u as (select path, draw, sum(w) as n, sum(w * x) / sum(w) as ax, sum(w * m) / sum(w) as am, sum(w * y) / sum(w) as ay, sum(w * x * x) / sum(w) as xx, sum(w * m * m) / sum(w) as mm,
+             sum(w * y * y) / sum(w) as yy, sum(w * x * m) / sum(w) as xm, sum(w * x * y) / sum(w) as xy, sum(w * m * y) / sum(w) as my from w join v using (respondent) group by path, draw),
+r as (select path, draw, n, (xm - ax * am) / sqrt((xx - ax * ax) * (mm - am * am)) as rxm, (xy - ax * ay) / sqrt((xx - ax * ax) * (yy - ay * ay)) as rxy,
+             (my - am * ay) / sqrt((mm - am * am) * (yy - ay * ay)) as rmy from u),
+e as (select path, draw, n, rxm, rxm * (rmy - rxm * rxy) / (1 - rxm * rxm) as indirect, (rxy - rxm * rmy) / (1 - rxm * rxm) as direct from r),
+c as (select path, quantile_cont(indirect, 0.025) filter (draw > 0) as lo, quantile_cont(indirect, 0.975) filter (draw > 0) as hi from e group by path)
+select case path {' '.join(f"when {i} then '{p[0]}'" for i, p in enumerate(_PATHS))} end as predictor, case path {' '.join(f"when {i} then '{p[1]}'" for i, p in enumerate(_PATHS))} end as mediator,
+       'purchase_intention' as outcome, cast(n as bigint) as n, {r6('rxm')} as a_path, {r6('indirect')} as indirect_effect, {r6('direct')} as direct_effect,
+       {r6('lo')} as boot_ci_low, {r6('hi')} as boot_ci_high, lo > 0 or hi < 0 as supported from e join c using (path) where draw = 0"""
+
+
+@query("mediation_bootstrap", with_views(_BOOTSTRAP_SQL, "survey"))
 def mediation_bootstrap(spark, d):
-    return models.run_mediation(view(spark, d, "survey"), _PATHS, "respondent")
+    t = models.run_mediation(view(spark, d, "survey"), _PATHS, "respondent")
+    return t.select("predictor", "mediator", "outcome", "n", *[round6(F.col(c)).alias(c) for c in (
+        "a_path", "indirect_effect", "direct_effect", "boot_ci_low", "boot_ci_high")], "supported")
 
 
 _MODERATION = list(itertools.product(["product_quality", "brand_trust"], ["income", "segment"]))
@@ -219,16 +250,56 @@ def choice_profile_counts(spark, d):
     return conjoint.choice_profile_counts(view(spark, d, "choice"), "chosen", _ATTRIBUTES)
 
 
-@query("conjoint_choice")
+# Profiles with the place of their intercept and three level terms, and the terms in order.
+_TERMS_SQL = f"""sizes as (select count(distinct product_type) as n1, count(distinct price_band) as n2, count(distinct package) as n3 from choice),
+g as (select product_type, price_band, package, count(*) as n, sum(chosen) as y, sum(rating) as r from choice group by all),
+x as (select n, y, r, [1, 1 + dense_rank() over (order by product_type), 1 + n1 + dense_rank() over (order by price_band),
+             1 + n1 + n2 + dense_rank() over (order by package)] as ks from g, sizes),
+terms as (select 1 as k, 'intercept' as term, 'model' as attribute union all """ + union_all(
+    f"select 1 + {before} + row_number() over (order by level), '{a}_' || level, '{a}' from (select distinct cast({a} as varchar) as level from choice), sizes"
+    for a, before in zip(_ATTRIBUTES, ("0", "n1", "n1 + n2"))) + ")"
+
+
+def _descent_sql(error: str, rate: float, steps: int, l2: float) -> str:
+    """Full-batch steps from zero; ``error`` is the summed error of a profile given its linear value ``v``."""
+    return (f"it as (select 0 as step, list_transform(range(1 + n1 + n2 + n3), lambda i: cast(0 as double)) as b from sizes union all "
+            f"select step + 1, list(v order by k) from (select step, k, b[k] - {rate} * (sum(e) / (select sum(n) from x) + case when k > 1 then {l2} * b[k] else 0 end) as v "
+            f"from (select step, b, unnest(ks) as k, {error} as e from (select step, b, x.*, list_sum(list_transform(ks, lambda j: b[j])) as v from it, x where step < {steps})) "
+            f"group by step, k, b) group by step)")
+
+
+_CHOICE_SQL = (f"with recursive {_TERMS_SQL}, {_descent_sql('n / (1 + exp(-greatest(-30, least(30, v)))) - y', 0.08, 2500, 0.001)} "
+               f"select term, {r6('b[k]')} as utility, attribute from it, terms where step = 2500")
+# Squared errors from zero settle at the minimum-norm solution.
+_RATING_SQL = (f"with recursive {_TERMS_SQL}, m as (select avg(rating) as mu, stddev_pop(rating) as sd from choice), "
+               f"{_descent_sql('(n * v - (r - n * (select mu from m)) / (select sd from m))', 0.4, 3000, 0)} "
+               f"select term, {r6('b[k]')} as utility, attribute from it, terms where step = 3000")
+
+
+@query("conjoint_choice", with_views(_CHOICE_SQL, "choice"))
 def conjoint_choice(spark, d):
     choice = hold(view(spark, d, "choice").select("chosen", *_ATTRIBUTES))
-    return conjoint.run_conjoint(choice, "chosen", None, _ATTRIBUTES)[0]
+    return conjoint.run_conjoint(choice, "chosen", None, _ATTRIBUTES)[0].select("term", round6(F.col("utility")).alias("utility"), "attribute")
 
 
-@query("conjoint_rating")
+@query("conjoint_rating", with_views(_RATING_SQL, "choice"))
 def conjoint_rating(spark, d):
     choice = hold(view(spark, d, "choice").select("rating", *_ATTRIBUTES))
-    return conjoint.run_conjoint(choice, None, "rating", _ATTRIBUTES)[0]
+    return conjoint.run_conjoint(choice, None, "rating", _ATTRIBUTES)[0].select("term", round6(F.col("utility")).alias("utility"), "attribute")
+
+
+# One attribute has a closed form: the intercept is the sum of the level means over one more than the levels.
+@query("conjoint_rating_single", with_views(f"""
+with z as (select product_type, (rating - avg(rating) over ()) / stddev_pop(rating) over () as y from choice),
+g as (select product_type, count(*) as n, avg(y) as m, sum(y * y) as ss from z group by 1),
+t as (select sum(m) / (count(*) + 1) as b0, count(*) + 1 as p, sum(n) as rows, sum(1.0 / n) as inv, sum(ss - n * m * m) / (sum(n) - count(*) - 1) as mse from g),
+c as (select 'intercept' as term, b0 as b, sqrt(mse * inv) / p as se, 'model' as attribute from t union all
+      select 'product_type_' || product_type, m - b0, sqrt(mse * ((1 - 1.0 / p) * (1 - 1.0 / p) / n + (inv - 1.0 / n) / (p * p))), 'product_type' from g, t)
+select term, {r6('b')} as utility, {r6('se')} as std_error, {r6('b / se')} as t_or_z, {r6(normal_p('(b / se)'))} as approx_p, attribute from c""", "choice"))
+def conjoint_rating_single(spark, d):
+    choice = hold(view(spark, d, "choice").select("rating", "product_type"))
+    t = conjoint.run_conjoint(choice, None, "rating", ["product_type"])[0]
+    return t.select("term", *[round6(F.col(c)).alias(c) for c in ("utility", "std_error", "t_or_z", "approx_p")], "attribute")
 
 
 @query("conjoint_importance", with_views("with s as (" + union_all(

@@ -30,18 +30,68 @@ def _standardized(spark, d):
     return hold(z), kept
 
 
-@query("kmeans_segments")
+_PASSES = 6
+_COORDS = [f"z{i}" for i in range(len(_FEATURES))]
+
+
+def _bands(z, kept, k):
+    """First centers: mean of each of k bands of the standardised spending."""
+    band = F.greatest(F.lit(0), F.least(F.lit(k - 1), F.floor((F.col("monthly_spend") + 1.75) * k / 3.5)))
+    rows = z.groupBy(band.alias("band")).agg(*[F.avg(f).alias(f) for f in kept]).orderBy("band").collect()
+    return np.array([[r[f] for f in kept] for r in rows])
+
+
+# Plain Lloyd passes for several k at once, then the nearest center of every row and the sizes.
+def _lloyd_sql(ks) -> str:
+    means = ", ".join(f"avg({c}) as {c}" for c in _COORDS)
+    distance = " + ".join(f"(z.{c} - c.{c}) * (z.{c} - c.{c})" for c in _COORDS)
+    steps = [f"z as materialized (select respondent, {', '.join(f'({f} - avg({f}) over ()) / stddev_pop({f}) over () as {c}' for f, c in zip(_FEATURES, _COORDS))} from survey)",
+             f"c0 as materialized (select k, greatest(0, least(k - 1, floor(({_COORDS[-1]} + 1.75) * k / 3.5))) as j, {means} from z, (select unnest({list(ks)}) as k) group by 1, 2)"]
+    for i in range(_PASSES + 1):
+        steps.append(f"a{i} as materialized (select c.k, z.respondent, min_by(c.j, {distance}) as j, min({distance}) as d from z, c{i} c group by c.k, z.respondent)")
+        steps.append(f"c{i + 1} as materialized (select a.k, a.j, {means} from a{i} a join z using (respondent) group by a.k, a.j)")
+    steps.append(f"seg as (select k, j, n, cast(row_number() over (partition by k order by n desc, {', '.join(f'round({c}, 9)' for c in _COORDS)}) as int) as segment "
+                 f"from (select k, j, count(*) as n from a{_PASSES} group by k, j) join c{_PASSES} using (k, j))")
+    return ", ".join(steps)
+
+
+@query("kmeans_segments", with_views(f"with {_lloyd_sql([4])} select respondent, segment from a{_PASSES} join seg using (k, j)", "survey"))
 def kmeans_segments(spark, d):
+    z, kept = _standardized(spark, d)
+    points = hold(segments.counted_points(z, kept))
+    fitted = segments.fit_kmeans(points, kept, 4, max_iter=_PASSES, starts=[_bands(z, kept, 4)])[0]
+    return segments.assign_segments(z, kept, segments.ordered_centers(points, kept, fitted)[0], "respondent")
+
+
+@query("kmeans_restarts")
+def kmeans_restarts(spark, d):
+    """Ten random starts."""
     z, kept = _standardized(spark, d)
     points = hold(segments.counted_points(z, kept))
     centers, _ = segments.ordered_centers(points, kept, segments.fit_kmeans(points, kept, 4)[0])
     return segments.assign_segments(z, kept, centers, "respondent")
 
 
-@query("select_k")
+_KS = [2, 3, 4, 5]
+
+
+@query("select_k", with_views(f"""with {_lloyd_sql(_KS)},
+fit as (select k, sum(d) as inertia from a{_PASSES} group by k),
+share as (select k, case when count(*) = k then min(n) / sum(n) else 0 end as min_share from seg group by k),
+l as (select k, segment, z.* from a{_PASSES} a join seg using (k, j) join z using (respondent)),
+anchors as (select respondent from z order by (respondent * 7919) % 10007, respondent limit 500),
+g as (select a.k, a.respondent as id, a.segment as own, b.segment as other, count(*) as n, sum(sqrt({' + '.join(f'(a.{c} - b.{c}) * (a.{c} - b.{c})' for c in _COORDS)})) as s
+      from l a join anchors using (respondent) join l b on a.k = b.k group by all),
+ab as (select k, id, max(case when own = other then n end) as own_n, max(case when own = other then s / (n - 1) end) as a, min(case when own <> other then s / n end) as b from g group by k, id),
+sil as (select k, avg(case when greatest(a, b) > 0 then (b - a) / greatest(a, b) else 0 end) as silhouette from ab where own_n > 1 and b is not null group by k),
+best as (select k from share join sil using (k) where min_share >= 0.05 order by k not in (3, 4), silhouette desc, k limit 1)
+select cast(k as int) as k, {r6('inertia')} as inertia, {r6('min_share')} as min_share, {r6('silhouette')} as silhouette, k = coalesce((select k from best), 2) as selected
+from fit join share using (k) join sil using (k)""", "survey"))
 def select_k(spark, d):
     z, kept = _standardized(spark, d)
-    return segments.select_k(z, kept, "respondent")[0]
+    anchors = z.orderBy((F.col("respondent") * 7919) % 10007, "respondent").limit(500)
+    t = segments.select_k(z, kept, "respondent", max_iter=_PASSES, starts={k: [_bands(z, kept, k)] for k in _KS}, anchors=anchors)[0]
+    return t.select("k", *[round6(F.col(c)).alias(c) for c in ("inertia", "min_share", "silhouette")], "selected")
 
 
 def _group_centers(survey):

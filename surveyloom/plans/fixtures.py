@@ -100,6 +100,8 @@ def with_views(sql: str, *names: str) -> str:
     """DuckDB text: the views as common table expressions in front of ``sql``."""
     ctes = ", ".join(f"{n} as ({VIEWS[n]})" for n in names)
     sql = sql.strip()
+    if sql.lower().startswith("with recursive "):
+        return f"with recursive {ctes}, {sql[15:]}"
     if sql.lower().startswith("with "):
         return f"with {ctes}, {sql[5:]}"
     return f"with {ctes} {sql}"
