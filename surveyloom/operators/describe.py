@@ -10,24 +10,35 @@ from ..functions import fixed_values as fv
 from ..plans.holding import hold
 from .ordered import MAX_ROWS_PER_TASK, quantile_columns, running_totals, weighted_quantiles
 from .profile import (ColumnProfile, is_categorical, is_id_like, level_frequencies, numeric_columns,
-                      numeric_frequencies, profiles_of, profiled_columns, scan_statistics)
+                      numeric_frequencies, profiles_of, profiled_columns)
 
 MAX_LEVELS = 20
+DESCRIPTIVES_SCHEMA = ("variable string, count bigint, missing bigint, mean double, std double, min double, p25 double, median double, "
+                       "p75 double, max double, unique bigint")
 
 
 def descriptives(df: DataFrame, columns: list[str] | None = None, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """Count, missing, moments, exact quartiles and exact distinct count per numeric column."""
     columns = columns or numeric_columns(df)
-    stats = scan_statistics(df, columns)
-    freq = numeric_frequencies(df, columns)
-    cum = running_totals(freq, ["variable"], "value", ["n"], max_rows)
+    spark = df.sparkSession
+    if not columns:
+        return spark.createDataFrame([], DESCRIPTIVES_SCHEMA)
+    # All of it follows from the counted values; squares are taken around the mean.
+    freq = hold(numeric_frequencies(df, columns))
+    centers = freq.groupBy("variable").agg(F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
+    cum = running_totals(freq, ["variable"], "value", ["n"], max_rows).join(F.broadcast(centers), "variable")  # one row per column
     aggs, finals = quantile_columns("value", "cum_n", "tot_n", {"p25": 0.25, "median": 0.5, "p75": 0.75})
-    spread = cum.groupBy("variable").agg(F.count(F.lit(1)).alias("unique"), *aggs).select("variable", "unique", *finals)
-    return stats.join(spread, "variable", "left").select(
-        "variable", "count", (F.col("rows") - F.col("count")).alias("missing"), "mean", "std",
-        F.col("low").alias("min"), "p25", "median", "p75", F.col("high").alias("max"),
-        F.coalesce("unique", F.lit(0)).alias("unique"),
-    )
+    off = F.col("value") - F.col("mean")
+    spread = cum.groupBy("variable", "count", "mean").agg(
+        F.sqrt(F.try_divide(F.sum(off * off * F.col("n")), F.col("count") - 1)).alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"), F.count(F.lit(1)).alias("unique"), *aggs,
+    ).select("variable", "count", "mean", "std", "min", *finals, "max", "unique")
+    rows = df.agg(F.count(F.lit(1)).alias("rows"))
+    every = spark.createDataFrame([(c,) for c in columns], "variable string").crossJoin(F.broadcast(rows))  # columns x 1
+    count = F.coalesce("count", F.lit(0)).cast("bigint")
+    return every.where("rows > 0").join(spread, "variable", "left").select(
+        "variable", count.alias("count"), (F.col("rows") - count).alias("missing"), "mean", "std", "min", "p25", "median", "p75", "max",
+        F.coalesce("unique", F.lit(0)).alias("unique"))
 
 
 def top_levels_per_key(freq: DataFrame, keys: list[str], max_levels: int = MAX_LEVELS) -> DataFrame:

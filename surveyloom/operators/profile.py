@@ -5,14 +5,17 @@ Everything that classifies columns reads the small result of this module.
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import is_numeric, label_sql, number_sql, round6, sql_name
+from ..functions.scalars import is_numeric, label_sql, number_sql, round6, sql_name, text_array
 
 SMALL_DISTINCT = 64
+_HELD_VALUES = 2_000_000  # different values that a counting task keeps
 
 
 @dataclass
@@ -58,11 +61,44 @@ def label(df: DataFrame, name: str):
     return F.expr(label_text(df, name))
 
 
-def numeric_frequencies(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
-    """``(keys, variable, value, n)`` of the non-null numbers; repeated answers shrink before the shuffle."""
-    wide = df.selectExpr(*keys, *[f"{number_text(df, c)} as {sql_name(c)}" for c in columns])
-    long = wide.unpivot(list(keys), columns, "variable", "value").where("value is not null")
-    return long.groupBy(*keys, "variable", "value").agg(F.expr("count(1) as n"))
+def numeric_frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(variable, value, n)`` of the non-null numbers; repeated answers shrink in the scanning tasks.
+
+    A task sorts its batches column by column and merges the counts; what it holds is bounded, more different values
+    are sent on in several parts.
+    """
+    wide = df.selectExpr(*[f"{number_text(df, c)} as _v{k}" for k, c in enumerate(columns)])
+
+    def count(batches):
+        held: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in columns]
+        size = 0
+
+        def merged(parts):
+            values, at = np.unique(np.concatenate([v for v, _ in parts]), return_inverse=True)
+            return values, np.bincount(at, np.concatenate([n for _, n in parts]), len(values)).astype(np.int64)
+
+        def sent():
+            for k, parts in enumerate(held):
+                if parts:
+                    values, n = merged(parts)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), k, np.int32)), pa.array(values), pa.array(n)], names=["k", "value", "n"])
+
+        for batch in batches:
+            for k, parts in enumerate(held):
+                values = batch.column(k).to_numpy(zero_copy_only=False).astype(np.float64)
+                values, n = np.unique(values[~np.isnan(values)], return_counts=True)
+                if len(values):
+                    parts.append((values + 0.0, n))
+                if len(parts) == 32:
+                    held[k] = [merged(parts)]
+            size = sum(len(v) for parts in held for v, _ in parts)
+            if size > _HELD_VALUES:
+                yield from sent()
+                held = [[] for _ in columns]
+        yield from sent()
+
+    counted = wide.mapInArrow(count, "k int, value double, n bigint").groupBy("k", "value").agg(F.sum("n").alias("n"))
+    return counted.select(F.get(text_array(columns), F.col("k")).alias("variable"), "value", "n")
 
 
 def level_frequencies(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:

@@ -28,7 +28,7 @@ RANDOMNESS_SCHEMA = ("variable string, method string, n bigint, n_low_or_other b
 INDEPENDENCE_SCHEMA = ("variable_a string, variable_b string, method string, n bigint, statistic double, df bigint, "
                        "approx_p double, effect_size double, effect_size_name string, interpretation string")
 NULL_LEVEL = "nan"
-_CODE_BITS = 7  # level codes of the packed path stay below 2**7
+_TILE_ROWS = 1 << 15
 
 
 # --- runs test --------------------------------------------------------------------------
@@ -159,38 +159,70 @@ def run_randomness_tests(df: DataFrame, order: list[str], configured: list[str]
 # --- chi-square -------------------------------------------------------------------------
 
 
-def level_code(df: DataFrame, name: str, levels: list[str]) -> str:
-    """SQL of a small integer per level; missing answers are a level of their own."""
+def level_code(df: DataFrame, name: str, levels: list[str]) -> tuple[str, int]:
+    """SQL of a small integer per level and how many there are; missing answers are a level of their own."""
     known = [*levels, *([] if NULL_LEVEL in levels else [NULL_LEVEL])]
     text = f"coalesce({label_text(df, name)}, {sql_text(NULL_LEVEL)})"
-    return f"array_position(array({', '.join(sql_text(v) for v in known)}), {text})"
+    return f"array_position(array({', '.join(sql_text(v) for v in known)}), {text})", len(known) + 1
 
 
-def bin_code(df: DataFrame, name: str, edges: list[float]) -> str:
+def bin_code(df: DataFrame, name: str, edges: list[float]) -> tuple[str, int]:
     value = number_text(df, name)
     below = " + ".join(f"if({value} > {e!r}D, 1L, 0L)" for e in edges)
-    return f"if({value} is null, 0L, greatest({below}, 1L))"
+    return f"if({value} is null, 0L, greatest({below}, 1L))", len(edges) + 1
 
 
-def coded_cells(df: DataFrame, codes: dict[str, str], pairs: list[tuple[str, str]]) -> DataFrame:
-    """``(pair, a, b, n)`` of all pairs in one pass.
+def coded_tests(df: DataFrame, codes: dict[str, tuple[str, int]], pairs: list[tuple[str, str]]) -> DataFrame:
+    """``(pair, n, statistic, df, effect_size)`` of all pairs in one pass.
 
-    Each row becomes one packed number per pair, so the map-side count hashes plain longs and a
-    task sends at most ``pairs * levels**2`` rows.
+    Every column is coded once. A task counts all pairs tile by tile into their small tables and sends those, whatever
+    its rows; a pair's table then meets in one row, from which its statistic follows.
     """
     used = list(dict.fromkeys(c for p in pairs for c in p))
-    at = {c: f"_k{i}" for i, c in enumerate(used)}
-    coded = df.selectExpr(*[f"cast({codes[c]} as bigint) as {at[c]}" for c in used])
-    size = 1 << _CODE_BITS
-    packed = ", ".join(f"{i * size * size}L + {at[a]} * {size}L + {at[b]}" for i, (a, b) in enumerate(pairs))
-    counts = coded.selectExpr(f"explode(array({packed})) as cell").groupBy("cell").agg(F.expr("count(1) as n"))
-    return counts.selectExpr(
-        f"cast(shiftright(cell, {2 * _CODE_BITS}) as int) as pair",
-        f"cast(shiftright(cell, {_CODE_BITS}) & {size - 1} as string) as a", f"cast(cell & {size - 1} as string) as b", "n")
+    at = {c: i for i, c in enumerate(used)}
+    width = [codes[c][1] for c in used]
+    place = [(at[a], at[b]) for a, b in pairs]
+    ends = np.cumsum([width[i] * width[j] for i, j in place])
+    starts = np.concatenate([[0], ends[:-1]])
+
+    def count(batches):
+        total = np.zeros(ends[-1], np.int64)
+        for batch in batches:
+            columns = [batch.column(k).to_numpy() for k in range(len(used))]
+            for first in range(0, batch.num_rows, _TILE_ROWS):
+                tile = [c[first:first + _TILE_ROWS].astype(np.int64) for c in columns]
+                for (i, j), lo, hi in zip(place, starts, ends):
+                    total[lo:hi] += np.bincount(tile[i] * width[j] + tile[j], minlength=hi - lo)
+        seen = np.flatnonzero(total)
+        pair = np.searchsorted(ends, seen, side="right")
+        yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int32()), pa.array(seen - starts[pair], pa.int32()), pa.array(total[seen])], names=["pair", "cell", "n"])
+
+    def test(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                i, j = place[row["pair"]]
+                table = np.zeros((width[i], width[j]))
+                table.flat[[c["cell"] for c in row["cells"]]] = [c["n"] for c in row["cells"]]
+                table = table[table.any(axis=1)][:, table.any(axis=0)]
+                r, c = table.shape
+                if r > 1 and c > 1:
+                    n = table.sum()
+                    expected = np.outer(table.sum(axis=1), table.sum(axis=0) / n)
+                    statistic = float(((table - expected) ** 2 / expected).sum())
+                    out.append((row["pair"], int(n), statistic, (r - 1) * (c - 1), float(np.sqrt(statistic / (n * (min(r, c) - 1))))))
+            yield pa.RecordBatch.from_pylist([dict(zip(names, o)) for o in out], schema)
+
+    names = ["pair", "n", "statistic", "df", "effect_size"]
+    schema = pa.schema(list(zip(names, [pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.float64()])))
+    coded = df.selectExpr(*[f"cast({codes[c][0]} as smallint) as _k{i}" for i, c in enumerate(used)])
+    cells = coded.mapInArrow(count, "pair int, cell int, n bigint").groupBy("pair", "cell").agg(F.sum("n").alias("n"))
+    tables = cells.groupBy("pair").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return tables.mapInArrow(test, "pair int, n bigint, statistic double, df bigint, effect_size double")
 
 
 def text_cells(df: DataFrame, pairs: list[tuple[int, str, str]]) -> DataFrame:
-    """Same as :func:`coded_cells` for columns with any number of levels."""
+    """``(pair, a, b, n)`` for columns with any number of levels."""
     def text(c):
         return f"coalesce({label_text(df, c)}, {sql_text(NULL_LEVEL)})"
     structs = ", ".join(f"named_struct('pair', {i}, 'a', {text(a)}, 'b', {text(b)})" for i, a, b in pairs)
@@ -250,11 +282,11 @@ def chi_square_tests(df: DataFrame, pairs: list[tuple[str, str]], method: str =
     ordered = small + large
     tables = []
     if small:
-        tables.append(coded_cells(df, codes, small))
+        tables.append(coded_tests(df, codes, small))
     if large:
-        tables.append(text_cells(df, [(len(small) + i, a, b) for i, (a, b) in enumerate(large)]))
-    cells = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
-    return _association(chi_square_cells(cells), ordered, method)
+        tables.append(chi_square_cells(text_cells(df, [(len(small) + i, a, b) for i, (a, b) in enumerate(large)])))
+    tests = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+    return _association(tests, ordered, method)
 
 
 def categorical_pairs(stats: dict[str, ColumnProfile], id_columns=(), max_columns: int | None = 18,
