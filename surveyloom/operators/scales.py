@@ -1,20 +1,23 @@
 """Multi-item scales: reliability, detection and scoring."""
 
+import heapq
 import itertools
 import math
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import fixed_values as fv
-from ..functions.scalars import sql_text
+from ..plans.holding import hold
 from .headers import resolve_names, slug_names
-from .moments import correlations
+from .moments import batch_matrix, correlations
 from .profile import ColumnProfile, is_likert_item, number, number_text, profile
 
-_SUBSETS_PER_JOB = 60
+_PATTERN_BYTES = 64 << 20  # Gram matrices of answer patterns that a task keeps
 _SUMMARY_SCHEMA = ("construct string, items string, n_items int, cronbach_alpha double, "
                    "mean_interitem_corr double, reliability string, source string, construct_base string")
 
@@ -24,25 +27,79 @@ def alpha_column(k: Column, n: Column, item_var: Column, total_var: Column) -> C
     return F.when((k >= 2) & (n >= F.greatest(F.lit(8), k + 2)) & (total_var > 0), alpha)
 
 
+def set_moments(df: DataFrame, subsets: list[list[str]]) -> DataFrame:
+    """``(subset, cell, value)`` of listwise sums, all sets in one scan: cell 0 the complete rows, 1 the squares of the items,
+    2 the squares of their total, from 3 on the sum of every item.
+
+    A row belongs to the pattern of the items it answers. A task sums its rows into one Gram matrix per pattern and
+    then adds up, for every set, the patterns that contain it; what it holds is bounded by ``_PATTERN_BYTES``.
+    """
+    items = list(dict.fromkeys(i for s in subsets for i in s))
+    at = {c: k for k, c in enumerate(items)}
+    places = [np.array([at[i] for i in s]) for s in subsets]
+    width, ends = len(items), np.cumsum([3 + len(s) for s in subsets])
+    starts = np.concatenate([[0], ends[:-1]])
+    values = [number_text(df, i) for i in items]
+    # Shifted by the means, so that squares stay well conditioned.
+    means = df.agg(F.expr("array(" + ", ".join(f"avg({v})" for v in values) + ") as m")).first()["m"]
+    room = max(1, _PATTERN_BYTES // (8 * (width + 1) ** 2))
+
+    def reduce_rows(batches):
+        total, held = np.zeros(ends[-1]), {}
+
+        def fold():
+            if not held:
+                return
+            bits = np.array([np.frombuffer(k, np.uint8) for k in held])
+            answered = np.unpackbits(bits, axis=1, count=width).astype(bool)
+            grams = np.array(list(held.values()))
+            for place, lo in zip(places, starts):
+                above = grams[answered[:, place].all(axis=1)]
+                if len(above):
+                    g = above.sum(axis=0)
+                    square = g[np.ix_(place + 1, place + 1)]
+                    total[lo:lo + 3 + len(place)] += [g[0, 0], np.trace(square), square.sum(), *g[0, place + 1]]
+            held.clear()
+
+        for batch in batches:
+            x = batch_matrix(batch, width)
+            there = ~np.isnan(x)
+            rows = np.column_stack([np.ones(len(x)), np.where(there, x, 0.0)])
+            patterns, which = np.unique(np.packbits(there, axis=1), axis=0, return_inverse=True)
+            which = which.reshape(-1)
+            by = np.argsort(which, kind="stable")
+            cuts = np.searchsorted(which[by], np.arange(len(patterns) + 1))
+            for p, pattern in enumerate(patterns):
+                part = rows[by[cuts[p]:cuts[p + 1]]]
+                key = pattern.tobytes()
+                held[key] = held.get(key, 0) + part.T @ part
+                if len(held) >= room:
+                    fold()
+        fold()
+        subset = np.repeat(np.arange(len(subsets)), ends - starts)
+        yield pa.RecordBatch.from_arrays([pa.array(subset, pa.int32()), pa.array(np.arange(ends[-1]) - starts[subset], pa.int32()), pa.array(total)],
+                                         names=["subset", "cell", "value"])
+
+    shifted = df.selectExpr(*[f"{v} - ({m or 0.0!r}D) as _i{k}" for k, (v, m) in enumerate(zip(values, means))])
+    return shifted.mapInArrow(reduce_rows, "subset int, cell int, value double").groupBy("subset", "cell").agg(F.sum("value").alias("value"))
+
+
 def cronbach_alphas(df: DataFrame, subsets: list[list[str]]) -> DataFrame:
-    """``(subset, items, k, n, alpha)`` for many item sets; one aggregation per 60 sets."""
-    tables = []
-    for start in range(0, len(subsets), _SUBSETS_PER_JOB):
-        structs = []
-        for s, items in enumerate(subsets[start:start + _SUBSETS_PER_JOB], start=start):
-            values = [number_text(df, i) for i in items]
-            complete = " and ".join(f"{v} is not null" for v in values)
-            item_var = " + ".join(f"var_samp({v}) filter (where {complete})" for v in values)
-            structs.append(
-                f"named_struct('subset', {s}, 'items', array({', '.join(sql_text(i) for i in items)}), 'k', {len(items)}, "
-                f"'n', count_if({complete}), 'item_var', {item_var}, "
-                f"'total_var', var_samp({' + '.join(values)}) filter (where {complete}))")
-        tables.append(df.agg(F.expr(f"array({', '.join(structs)}) as s")).select(F.inline("s")))
-    out = tables[0]
-    for t in tables[1:]:
-        out = out.unionByName(t)
-    alpha = alpha_column(F.col("k"), F.col("n"), F.col("item_var"), F.col("total_var"))
-    return out.select("subset", "items", "k", "n", alpha.alias("alpha"))
+    """``(subset, items, k, n, alpha)`` for any number of item sets, in one scan."""
+    def cell(k):
+        return F.max(F.when(F.col("cell") == k, F.col("value")))
+
+    sums = F.when(F.col("cell") >= 3, F.col("value"))
+    moments = set_moments(df, subsets).groupBy("subset").agg(
+        cell(0).cast("bigint").alias("n"), cell(1).alias("squares"), cell(2).alias("total_squares"), F.sum(sums * sums).alias("sums"), F.sum(sums).alias("total"))
+    free = F.col("n") - 1
+    item_var = F.try_divide(F.col("squares") - F.try_divide(F.col("sums"), F.col("n")), free)
+    around = F.col("total_squares") - F.try_divide(F.col("total") * F.col("total"), F.col("n"))
+    # A total that does not vary leaves only rounding.
+    total_var = F.try_divide(F.when(around > 1e-12 * F.col("total_squares"), around).otherwise(F.lit(0.0)), free)
+    sets = df.sparkSession.createDataFrame([(s, list(items), len(items)) for s, items in enumerate(subsets)], "subset int, items array<string>, k int")
+    alpha = alpha_column(F.col("k"), F.col("n"), item_var, total_var)
+    return sets.join(moments, "subset").select("subset", "items", "k", "n", alpha.alias("alpha"))
 
 
 def mean_interitem(corr: DataFrame, sets: DataFrame) -> DataFrame:
@@ -127,14 +184,51 @@ def semantic_groups(items: list[str]) -> dict[str, list[str]]:
     return groups
 
 
+class ThresholdGraph:
+    """Items as nodes; the strong correlations are edges that found a construct, the fair ones let a third item join."""
+
+    STRONG, FAIR = 0.55, 0.45
+
+    def __init__(self, items: list[str], r_abs: dict[tuple[str, str], float]):
+        self.items = items
+        place = {c: i for i, c in enumerate(items)}
+        self.near: list[set[int]] = [set() for _ in items]
+        self.edges = []  # (-r, first, second): the strongest first, then by place
+        for (a, b), r in r_abs.items():
+            if a in place and b in place and r >= self.FAIR:
+                i, j = sorted((place[a], place[b]))
+                self.near[i].add(j)
+                self.near[j].add(i)
+                if r >= self.STRONG:
+                    self.edges.append((-r, i, j))
+
+    def candidates(self) -> list[list[str]]:
+        """Every strong pair, alone and with each item that is fair to both."""
+        sets = [[i, j, *third] for _, i, j in self.edges for third in [[], *([c] for c in self.near[i] & self.near[j])]]
+        return [[self.items[i] for i in s] for s in sets]
+
+    def picks(self, used):
+        """The strongest pair of unused items with the first fair third, then the next; edges of used items go when they come up."""
+        heap, gone = list(self.edges), {i for i, c in enumerate(self.items) if c in used}
+        heapq.heapify(heap)
+        while heap:
+            _, i, j = heapq.heappop(heap)
+            if i in gone or j in gone:
+                continue
+            third = min((self.near[i] & self.near[j]) - gone, default=None)
+            taken = [i, j] if third is None else [i, j, third]
+            gone.update(taken)
+            yield [self.items[k] for k in taken]
+
+
 def detect_constructs(df: DataFrame, constructs: dict[str, list[str]] | None = None, id_columns=(),
                       mapping: dict[str, str] | None = None,
                       stats: dict[str, ColumnProfile] | None = None) -> tuple[DataFrame, DataFrame, dict[str, list[str]]]:
     """Configured, then semantic, then correlation-based constructs.
 
     Returns ``(scored table, construct_summary, score name -> items)``. The cluster computes one
-    profile, one correlation matrix and one batch of reliabilities; the choice between the few
-    candidate sets is made on those small results.
+    profile, one correlation matrix and the reliabilities of all candidate sets in one scan; the
+    choice between them is made on those small results.
     """
     spark = df.sparkSession
     mapping = mapping or {}
@@ -153,55 +247,30 @@ def detect_constructs(df: DataFrame, constructs: dict[str, list[str]] | None = N
     needed = list(dict.fromkeys([*used, *likert]))
     if len(needed) < 2:
         return df, spark.createDataFrame([], _SUMMARY_SCHEMA), {}
-    corr_rows = correlations(df, needed).select("a", "b", "r").collect()
-    r_abs = {frozenset((r["a"], r["b"])): abs(r["r"]) for r in corr_rows if r["r"] is not None}
-
-    subsets = list(fixed.values())
-    owner = [("config", name) for name in fixed]
-    for g, items in groups.items():
-        for s in item_subsets(items):
-            subsets.append(s)
-            owner.append(("semantic_auto", g))
-
-    def rate(sets: list[list[str]]) -> list[tuple]:
-        found = {r["subset"]: r["alpha"] for r in cronbach_alphas(df, sets).collect()} if sets else {}
-        out = []
-        for s, items in enumerate(sets):
-            rs = [r_abs[p] for p in map(frozenset, itertools.combinations(items, 2)) if p in r_abs]
-            mean_r = sum(rs) / len(rs) if rs else None
-            out.append((items, found[s], mean_r, _label(found[s], mean_r)))
-        return out
-
-    chosen: list[tuple] = []  # (construct, items, alpha, mean r, label, source)
-    best: dict[str, tuple] = {}
-    for (source, name), (items, alpha, mean_r, label) in zip(owner, rate(subsets)):
-        if source == "config":
-            chosen.append((name, items, alpha, mean_r, label, source))
-        elif label != "weak":
-            score = (alpha or 0.0) + (mean_r or 0.0) / 2
-            if name not in best or score > best[name][0]:
-                best[name] = (score, items, alpha, mean_r, label)
-    for g in groups:
-        if g in best:
-            _, items, alpha, mean_r, label = best[g]
-            chosen.append((g, items, alpha, mean_r, label, "semantic_auto"))
-            used.update(items)
-
-    free = [i for i in likert if i not in used]
-    for index in itertools.count(1):
-        pairs = [(r_abs.get(frozenset(p), -1.0), p) for p in itertools.combinations(free, 2)]
-        if not pairs:
-            break
-        top, pair = max(pairs, key=lambda t: t[0])
-        if top < 0.55:
-            break
-        third = next((c for c in free if c not in pair
-                      and all(r_abs.get(frozenset((c, p)), 0.0) >= 0.45 for p in pair)), None)
-        items, alpha, mean_r, label = rate([[*pair, third] if third else list(pair)])[0]
-        if label == "weak":
+    corr = hold(correlations(df, needed))
+    r_abs = {(r["a"], r["b"]): abs(r["r"]) for r in corr.where("r is not null").select("a", "b", "r").collect()}
+    graph = ThresholdGraph(likert, r_abs)
+
+    owner = [("config", name, items) for name, items in fixed.items()]
+    owner += [("semantic_auto", g, s) for g, items in groups.items() for s in item_subsets(items)]
+    owner += [("correlation_auto", "", s) for s in graph.candidates()]
+    if not owner:
+        return df, spark.createDataFrame([], _SUMMARY_SCHEMA), {}
+    rated = hold(rated_subsets(df, [items for _, _, items in owner], corr))
+    ratings = {r["subset"]: (r["items"], r["alpha"], r["mean_corr"], r["reliability"]) for r in rated.collect()}
+
+    chosen = [(name, *ratings[s], source) for s, (source, name, _) in enumerate(owner) if source == "config"]
+    semantic = {s: name for s, (source, name, _) in enumerate(owner) if source == "semantic_auto"}
+    if semantic:
+        best = {r["construct"]: r["subset"] for r in best_subsets(rated.where(F.col("subset").isin(list(semantic))), semantic).collect()}
+        chosen += [(g, *ratings[best[g]], "semantic_auto") for g in groups if g in best]
+    used.update(i for _, items, *_ in chosen for i in items)
+    found = {tuple(items): ratings[s] for s, (source, _, items) in enumerate(owner) if source == "correlation_auto"}
+    for index, items in enumerate(graph.picks(used), start=1):
+        rating = found[tuple(items)]
+        if rating[3] == "weak":
             break
-        chosen.append((f"construct_auto_{index}", items, alpha, mean_r, label, "correlation_auto"))
-        free = [i for i in free if i not in items]
+        chosen.append((f"construct_auto_{index}", *rating, "correlation_auto"))
 
     names = score_names(df.columns, [c[0] for c in chosen])
     scored = df.withColumns({names[c]: score_column(df, items) for c, items, *_ in chosen}) if chosen else df
@@ -210,9 +279,3 @@ def detect_constructs(df: DataFrame, constructs: dict[str, list[str]] | None = N
          for c, items, alpha, mean_r, label, source in chosen], _SUMMARY_SCHEMA)
     return scored, summary, {names[c]: items for c, items, *_ in chosen}
 
-
-def _label(alpha: float | None, mean_corr: float | None) -> str:
-    for bound, name in ((0.80, "good"), (0.70, "acceptable"), (0.60, "exploratory")):
-        if alpha is not None and alpha >= bound:
-            return name
-    return "two_item_exploratory" if mean_corr is not None and mean_corr >= 0.45 else "weak"

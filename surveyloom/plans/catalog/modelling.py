@@ -96,6 +96,40 @@ def construct_summary(spark, d):
     return scales.detect_constructs(view(spark, d, "survey"))[1]
 
 
+# The same answers under names that share nothing, so that only correlations bring them together.
+_PLAIN = dict(zip(["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golf", "hotel", "india"], [i for s in _SETS for i in s]))
+
+
+def _greedy_sql() -> str:
+    """Strongest free pair, first fair third, until the set is weak or no strong pair is left: four rounds at most for nine items."""
+    names = list(_PLAIN)
+    sets = [list(c) for k in (2, 3) for c in itertools.combinations(names, k)]
+    places = {n: i for i, n in enumerate(names)}
+    steps = ["plain as (select " + ", ".join(f"{old} as {new}" for new, old in _PLAIN.items()) + " from survey)",
+             "rated as materialized (" + _rated_sql(sets).replace("from survey", "from plain") + ")",
+             f"keys as (select * from (values {', '.join(f'({i}, {[places[n] for n in s]})' for i, s in enumerate(sets))}) v(subset, places))",
+             "r as materialized (" + union_all(f"select {places[a]} as i, {places[b]} as j, abs(corr({a}, {b})) as r from plain" for a, b in itertools.combinations(names, 2)) + ")",
+             "links as (select i, j, r from r union all select j, i, r from r)",
+             "s0 as (select 0 as round, cast([] as int[]) as used, cast([] as int[]) as items, cast(null as int) as subset, '' as label)"]
+    for k in range(1, 5):
+        steps += [f"p{k} as (select used, i, j from s{k - 1}, r where r >= 0.55 and not list_contains(used, i) and not list_contains(used, j) order by r desc, i, j limit 1)",
+                  f"t{k} as (select min(a.j) as third from p{k} p join links a on a.i = p.i join links b on b.i = p.j and b.j = a.j where a.r >= 0.45 and b.r >= 0.45 and not list_contains(used, a.j))",
+                  f"n{k} as (select used, list_filter([i, j, third], lambda x: x is not null) as items from p{k}, t{k})",
+                  f"s{k} as materialized (select {k} as round, list_concat(used, n.items) as used, n.items as items, rated.subset as subset, reliability as label from n{k} n join keys on places = list_sort(n.items) "
+                  f"join rated on rated.subset = keys.subset where reliability <> 'weak')"]
+    picks = union_all(f"select * from s{k}" for k in range(1, 5))
+    named = f"array_to_string(list_transform(p.items, lambda i: {names}[i + 1]), ', ')"
+    return (f"with {', '.join(steps)} select 'construct_auto_' || round as construct, {named} as items, k as n_items, {r6('alpha')} as cronbach_alpha, {r6('mean_corr')} as mean_interitem_corr, "
+            f"reliability, 'correlation_auto' as source, 'construct_auto_' || round as construct_base from ({picks}) p join rated using (subset)")
+
+
+@query("construct_correlation", with_views(_greedy_sql(), "survey"))
+def construct_correlation(spark, d):
+    plain = view(spark, d, "survey").select(*[F.col(old).alias(new) for new, old in _PLAIN.items()])
+    t = scales.detect_constructs(plain)[1]
+    return t.select(*[round6(F.col(c)).alias(c) if k == "double" else c for c, k in t.dtypes])
+
+
 @query("construct_semantic", with_views(f"""
 select g.construct || '_score' as construct, items, k as n_items, {r6('alpha')} as cronbach_alpha, {r6('mean_corr')} as mean_interitem_corr, reliability,
        'semantic_auto' as source, g.construct as construct_base from (
