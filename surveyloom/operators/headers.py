@@ -1,14 +1,12 @@
 """Question headers to variable names."""
 
 import functools
-import itertools
 import operator
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import StringType
 
 from ..functions import fixed_values as fv
@@ -78,15 +76,15 @@ def with_base_names(df: DataFrame, header: str, position: str, name: str = "base
 
 
 def unique_names(bases: list[str]) -> list[str]:
-    """The base, then ``base_2``, ``base_3``, ... in order; a number whose name is taken is passed over."""
-    taken: set[str] = set()
-    count: dict[str, int] = {}
-    names = []
+    """The base, then ``base_2``, ``base_3``, ... in order; numbers whose name is itself a base are left out."""
+    bases = list(bases)
+    own, last, names = set(bases), {}, []
     for base in bases:
-        tries = (base if n == 1 else f"{base}_{n}" for n in itertools.count(count.get(base, 0) + 1))
-        names.append(next(name for name in tries if name not in taken))
-        taken.add(names[-1])
-        count[base] = int(names[-1][len(base) + 1:] or 1)
+        n = last.get(base, 0) + 1
+        while n > 1 and f"{base}_{n}" in own:
+            n += 1
+        last[base] = n
+        names.append(base if n == 1 else f"{base}_{n}")
     return names
 
 
@@ -94,30 +92,22 @@ def dedupe_names(headers: DataFrame, survey: list[str], base: str, position: str
                  max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
     """Add ``variable_name``: the base, then ``base_2``, ``base_3``, ... in header order; all names of a survey differ.
 
-    ``position`` is unique within a survey. A base that fills most of a survey is counted in ranges.
-    Only surveys with a base that looks like a numbered name can have collisions; their headers, the
-    columns of one table, are named in one task each.
+    ``position`` is unique within a survey. A base that fills most of a survey is counted in ranges. A number whose
+    name is itself a base of the survey is left out: of the sorted taken numbers t0 < t1 < ... those come before the
+    r-th use for which t_i - i <= r, so the use is moved on by as many.
     """
     headers = hold(headers)
-    numbered = headers.where(F.col(base).rlike(r"_[0-9]+$")).select(*survey).distinct()
-    risky = hold(numbered.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(survey)]))
-    plain = headers
-    if risky.limit(1).count():
-        same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(survey)])
-        plain, mixed = headers.join(risky, same, "left_anti"), headers.join(risky, same, "left_semi")
-    counted = running_totals(plain.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position,
-                             ["_one"], max_rows)
-    suffix = F.when(F.col("cum__one") > 1, F.concat(F.lit("_"), F.col("cum__one").cast("string"))).otherwise("")
-    named = counted.withColumn("variable_name", F.concat(F.col(base), suffix)).select(*headers.columns, "variable_name")
-    if plain is headers:
-        return named
-
-    def in_order(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(position, kind="stable")
-        return rows.assign(variable_name=unique_names(rows[base].tolist()))
-
-    schema = T.StructType([*headers.schema.fields, T.StructField("variable_name", T.StringType())])
-    return named.unionByName(mixed.groupBy(*survey).applyInPandas(in_order, schema))
+    counted = running_totals(headers.withColumn("_one", F.lit(1).cast("bigint")), [*survey, base], position, ["_one"], max_rows)
+    bases = headers.groupBy(*survey, base).agg(F.lit(1).alias("_used"))
+    parts = [F.regexp_extract(F.col(base), r"(?s)^(.*)_([1-9][0-9]{0,17})$", k) for k in (1, 2)]
+    taken = bases.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(survey)], parts[0].alias("_stem"), parts[1].alias("_number")).where("_number <> ''")
+    taken = taken.groupBy(*[f"_k{i}" for i in range(len(survey))], "_stem").agg(F.sort_array(F.collect_list(F.col("_number").cast("bigint"))).alias("_taken"))
+    same = functools.reduce(operator.and_, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(survey)], F.col(base) == F.col("_stem"))
+    use = F.col("cum__one")
+    gaps = F.filter(F.transform(F.filter("_taken", lambda t: t > 1), lambda t, i: t - i), lambda t: t <= use)
+    number = use + F.coalesce(F.size(gaps), F.lit(0))
+    name = F.when(use == 1, F.col(base)).otherwise(F.concat(F.col(base), F.lit("_"), number.cast("string")))
+    return counted.join(taken, same, "left").select(*headers.columns, name.alias("variable_name"))
 
 
 def rename_columns(df: DataFrame, rename: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame, dict[str, str]]:
@@ -147,6 +137,16 @@ def slug_names(spark, names: list[str]) -> dict[str, str]:
     return {r["name"]: r["slug"] for r in with_slugs(table, "name", position_name(F.col("position")), "slug").collect()}
 
 
+def resolve_table(names: DataFrame, name: str, variable_map: DataFrame) -> DataFrame:
+    """``names`` with ``resolved``: the variable name where ``name`` is a question of the map, else the name itself.
+
+    Of several rows of one question the smallest variable name holds; a missing name stays missing.
+    """
+    known = variable_map.where("original_question is not null").groupBy("original_question").agg(F.min("variable_name").alias("_variable"))
+    return names.join(known, F.col(name) == F.col("original_question"), "left").select(
+        *names.columns, F.coalesce("_variable", F.col(name)).alias("resolved"))
+
+
 def resolve_names(names, mapping: dict[str, str]) -> list[str]:
     """Names from a configuration may be question texts or variable names."""
     return [mapping.get(n, n) for n in names]

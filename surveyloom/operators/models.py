@@ -106,7 +106,7 @@ def choose_moderators(df: DataFrame, outcome: str, configured, constructs: list[
 
 
 def run_moderation(df: DataFrame, outcome: str | None, predictors: list[str], moderators: list[str],
-                   max_predictors: int | None = 6, max_moderators: int | None = 10,
+                   max_predictors: int | None = None, max_moderators: int | None = None,
                    stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """``y ~ z(x) + z(w) + z(x) z(w)`` for every pair; all pairs share one pass over the rows."""
     spark = df.sparkSession
@@ -228,7 +228,7 @@ def mediation_effects(sums: DataFrame) -> DataFrame:
 
 
 def mediation_paths(df: DataFrame, outcome: str, predictors: list[str], mediators: list[str],
-                    max_predictors: int | None = 6, max_mediators: int | None = 8,
+                    max_predictors: int | None = None, max_mediators: int | None = None,
                     stats: dict[str, ColumnProfile] | None = None) -> list[tuple[str, str, str]]:
     stats = profiles_of(df, [c for c in dict.fromkeys([*predictors, *mediators]) if c in df.columns], stats)
     mediators = [m for m in mediators if m not in predictors and m in stats and stats[m].numeric]

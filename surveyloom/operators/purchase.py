@@ -24,7 +24,7 @@ def mentions_purchase(variable: Column, question: Column) -> Column:
 
 def purchase_questions(variable_map: DataFrame, stats: dict[str, ColumnProfile], configured=(),
                        outcome: str | None = None, mapping: dict[str, str] | None = None, id_columns=(),
-                       max_questions: int | None = 80) -> list[tuple[str, str]]:
+                       max_questions: int | None = None) -> list[tuple[str, str]]:
     """``(variable, question)`` in header order up to ``max_questions`` (None: all), then all configured ones, then the outcome."""
     rows = variable_map.withColumn("hit", mentions_purchase(F.col("variable_name"), F.col("original_question"))).collect()
     named = [name for name in resolve_names(configured, mapping or {}) if name in stats]

@@ -145,7 +145,7 @@ def level_balance(df: DataFrame, columns: list[str], max_levels: int = 30) -> Da
 
 
 def run_randomness_tests(df: DataFrame, order: list[str], configured: list[str] = (), id_columns=(),
-                         max_variables: int | None = 50, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
+                         max_variables: int | None = None, stats: dict[str, ColumnProfile] | None = None) -> DataFrame:
     """All configured variables, else the first ``max_variables`` that qualify (None: all)."""
     stats = stats or profile(df)
     configured = [c for c in dict.fromkeys(configured) if c in stats]
@@ -289,15 +289,15 @@ def chi_square_tests(df: DataFrame, pairs: list[tuple[str, str]], method: str =
     return _association(tests, ordered, method)
 
 
-def categorical_pairs(stats: dict[str, ColumnProfile], id_columns=(), max_columns: int | None = 18,
-                      max_pairs: int | None = 100) -> list[tuple[str, str]]:
+def categorical_pairs(stats: dict[str, ColumnProfile], id_columns=(), max_columns: int | None = None,
+                      max_pairs: int | None = None) -> list[tuple[str, str]]:
     names = [p.name for p in stats.values()
              if not is_id_like(p, id_columns) and is_categorical(p) and 2 <= p.distinct <= 20]
     return list(itertools.combinations(names[:max_columns], 2))[:max_pairs]
 
 
 def segment_tests(df: DataFrame, segment: str, stats: dict[str, ColumnProfile], skip: set[frozenset] = frozenset(),
-                  id_columns=(), max_columns: int | None = 40) -> DataFrame:
+                  id_columns=(), max_columns: int | None = None) -> DataFrame:
     """Segment against every other column; numbers with more than 12 values are cut into quartiles."""
     names = [p.name for p in stats.values() if p.name != segment and not is_id_like(p, id_columns)
              and p.count >= 12 and p.distinct > 1][:max_columns]
@@ -313,7 +313,7 @@ def segment_tests(df: DataFrame, segment: str, stats: dict[str, ColumnProfile],
 
 
 def pearson_pairs(stats: dict[str, ColumnProfile], priority: list[str] = (), id_columns=(),
-                  max_columns: int | None = 14, max_pairs: int | None = 100) -> list[tuple[str, str]]:
+                  max_columns: int | None = None, max_pairs: int | None = None) -> list[tuple[str, str]]:
     """Pairs with a priority column, all of them; without one the first pairs of the first columns (None: all)."""
     names = [p.name for p in stats.values() if not is_id_like(p, id_columns) and p.numeric and p.distinct > 2]
     priority = [c for c in priority if c in names]

@@ -136,7 +136,7 @@ def _analyze(tables: Analysis, raw: DataFrame, cfg: SurveyConfig, row_id: str |
         tables["correlations"] = moments.correlation_square(moments.correlations(survey, numbers), numbers)
     choice = dict(cfg.conjoint)
     checked = resolve([*cfg.randomness_variables, *choice.get("attributes", ())])
-    tables["randomness_tests"] = stat_tests.run_randomness_tests(scored, [ORDER], checked, ids, limit("randomness_variables"), stats)
+    tables["randomness_tests"] = stat_tests.run_randomness_tests(scored, [ORDER, ROW_ID], checked, ids, limit("randomness_variables"), stats)
 
     regression, fit = models.run_regression(survey, outcome, predictors, stats)
     tables["regression_coefficients"] = regression

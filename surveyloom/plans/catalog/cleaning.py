@@ -79,6 +79,19 @@ def header_dedupe(spark, d):
     return headers.dedupe_names(h, ["source"], "base", "doc_id").select("doc_id", "source", "variable_name")
 
 
+@query("name_resolution", f"""
+with m as (select text, min(v) as v from (select text, {_SEMANTIC_SQL} as v from documents) where v is not null group by text),
+asked as (select doc_id, case when doc_id % 3 = 0 then source else text end as name from documents)
+select doc_id, coalesce(v, name) as resolved from asked left join m on name = text""")
+def name_resolution(spark, d):
+    """Configured names, questions and others, to variable names."""
+    docs = table(spark, d, "documents")
+    known = headers.with_semantic_names(docs, "text", "variable_name").where("variable_name is not null").select(
+        F.col("text").alias("original_question"), "variable_name")
+    asked = docs.select("doc_id", F.expr("case when doc_id % 3 = 0 then source else text end").alias("name"))
+    return headers.resolve_table(asked, "name", known).select("doc_id", "resolved")
+
+
 _LIKERT_SQL = "case " + " ".join(f"when compact = '{k}' then {v}.0" for k, v in fv.LIKERT_MAP.items()) + " end"
 _MISSING_SQL = "compact in (" + ", ".join(f"'{t}'" for t in fv.MISSING_TOKENS) + ")"
 

@@ -284,6 +284,20 @@ def choice_profile_counts(spark, d):
     return conjoint.choice_profile_counts(view(spark, d, "choice"), "chosen", _ATTRIBUTES)
 
 
+_CHOICE_COLUMNS = ["respondent", "alternative", "product_type", "price_band", "package", "chosen", "rating"]
+
+
+@query("conjoint_structure", with_views("with c as (" + union_all(
+    f"select {i} as at, '{c}' as name, count(distinct {c}) as d, count(*) as n from choice" for i, c in enumerate(_CHOICE_COLUMNS)) + """)
+select 'chosen' as role, name from c where name = 'chosen' union all select 'rating', name from c where name = 'rating'
+union all select 'attribute', name from c where name not in ('chosen', 'rating') and d between 2 and 20 and d <= greatest(20, n * 0.75)
+and not regexp_matches(name, 'id|编号|openid|phone|email')""", "choice"))
+def conjoint_structure(spark, d):
+    choice = view(spark, d, "choice")
+    chosen, rating, attributes = conjoint.detect_structure(profile(choice))
+    return spark.createDataFrame([("chosen", chosen), ("rating", rating), *[("attribute", a) for a in attributes]], "role string, name string")
+
+
 # Profiles with the place of their intercept and three level terms, and the terms in order.
 _TERMS_SQL = f"""sizes as (select count(distinct product_type) as n1, count(distinct price_band) as n2, count(distinct package) as n3 from choice),
 g as (select product_type, price_band, package, count(*) as n, sum(chosen) as y, sum(rating) as r from choice group by all),

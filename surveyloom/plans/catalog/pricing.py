@@ -67,6 +67,20 @@ def _overall(spark, d):
     return hold(_checked(spark, d, []).withColumn("_all", F.lit(1)))
 
 
+# Question names of which the guards leave one per kind.
+_QUESTIONS = {"too_expensive": "q4_too_expensive", "too_cheap": "q1_too_cheap", "expensive": "q3_expensive", "cheap": "q2_cheap"}
+
+
+@query("price_columns", with_views(union_all(
+    f"select '{k}' as kind, '{q}' as name, count({k}) as answers, {r6(f'avg({k})')} as mean from psm" for k, q in _QUESTIONS.items()), "psm"))
+def price_columns(spark, d):
+    """The price questions found by name, and what they were answered."""
+    asked = view(spark, d, "psm").select("respondent", *[F.col(k).alias(q) for k, q in _QUESTIONS.items()])
+    found = pricing.detect_price_columns(asked.columns)
+    return asked.agg(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(c).alias("name"), F.count(c).alias("answers"), round6(F.avg(c)).alias("mean"))
+                               for k, c in found.items()]).alias("a")).select(F.inline("a"))
+
+
 @query("psm_monotonicity", with_views("""
 select respondent, cast(too_cheap as double) as too_cheap, cast(cheap as double) as cheap, cast(expensive as double) as expensive,
        cast(too_expensive as double) as too_expensive,

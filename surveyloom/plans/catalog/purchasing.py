@@ -8,7 +8,7 @@ from ...operators import describe, facts, purchase, stat_tests
 from ...operators.profile import level_frequencies, profile
 from ..fixtures import table, view, with_views
 from ..holding import hold
-from . import ORACLES, query
+from . import ORACLES, QUERIES, query
 from .cleaning import _SURVEY, _class_sql
 from .describing import _levels_sql, bins_sql
 from .sql import contains_any, r6, union_all
@@ -134,3 +134,37 @@ def report_facts(spark, d):
     t = facts.report_facts({"independence_tests": tests, "ranking_summary": describe.ranking_summary(view(spark, d, "ranks"))},
                            rows, rows, lineitem)
     return t.withColumn("value", round6(F.col("value")))
+
+
+# The tables of the models are those of their own queries, in both engines.
+_MODEL_TABLES = ("construct_semantic", "ols_regression", "mediation_bootstrap", "moderation", "psm_summary", "conjoint_importance", "segment_profile", "persona_label")
+
+
+@query("report_facts_models", "with " + ", ".join(f"{name}_t as ({ORACLES.get(name, 'select 1')})" for name in _MODEL_TABLES) + f""",
+sizes as (select segment, any_value(size) as size from segment_profile_t group by segment),
+shares as (select persona, size / sum(size) over () as share from sizes join persona_label_t using (segment)),
+terms as (select term, standardized_beta as b, row_number() over (order by abs(standardized_beta) desc, term) as place from ols_regression_t where term <> 'intercept'),
+pairs as (select predictor || ' x ' || moderator as term, standardized_beta as b from moderation_t),
+n as (select count(*)::double as n from customer)
+select 'sample' as section, 'raw_rows' as fact, 1 as place, '' as name, n as value from n
+union all select 'sample', 'valid_rows', 1, '', n from n union all select 'sample', 'valid_rate', 1, '', 1.0 from n
+union all select 'constructs', 'results', 1, '', count(*)::double from construct_semantic_t
+union all select 'mediation', 'results', 1, '', count(*)::double from mediation_bootstrap_t
+union all select 'moderation', 'results', 1, '', count(*)::double from moderation_t
+union all select 'mediation', 'supported', 1, '', cast(count(*) filter (supported) as double) from mediation_bootstrap_t
+union all select 'regression', 'strongest', cast(place as int), term, b from terms where place <= 5
+union all select 'moderation', 'strongest', cast(place as int), term, b from (select *, row_number() over (order by abs(b) desc, term) as place from pairs) where place <= 5
+union all select 'segments', 'largest', cast(place as int), persona, {r6('share')} from (select *, row_number() over (order by share desc, persona) as place from shares) where place <= 2
+union all select 'conjoint', 'importance', cast(row_number() over (order by relative_importance desc, attribute) as int), attribute, relative_importance from conjoint_importance_t
+union all select 'pricing', 'metric', 1, metric, value from psm_summary_t""" if set(_MODEL_TABLES) <= set(ORACLES) else None)
+def report_facts_models(spark, d):
+    t = {name: hold(QUERIES[name](spark, d)) for name in _MODEL_TABLES}
+    sizes = t["segment_profile"].groupBy("segment").agg(F.first("size").alias("size"))
+    total = sizes.agg(F.sum("size")).first()[0]
+    shares = sizes.join(t["persona_label"], "segment").select("persona", (F.col("size") / total).alias("share"))
+    survey = view(spark, d, "survey")
+    rows = survey.count()
+    return facts.report_facts({
+        "construct_summary": t["construct_semantic"], "regression_coefficients": t["ols_regression"], "mediation": t["mediation_bootstrap"],
+        "moderation": t["moderation"].withColumn("term", F.concat_ws(" x ", "predictor", "moderator")), "segment_profiles": shares,
+        "conjoint_importance": t["conjoint_importance"], "psm_summary": t["psm_summary"]}, rows, rows, survey).withColumn("value", round6(F.col("value")))

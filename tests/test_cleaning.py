@@ -36,7 +36,7 @@ def test_fallback_names(spark, header, position, name):
 def test_suffixes_stay_unique(spark):
     df = spark.createDataFrame([(1, 2, 3)], ["alpha", "Alpha", "alpha 2"])
     names = headers.rename_columns(df)[0].columns
-    assert len(set(names)) == 3 and names[:2] == ["alpha", "alpha_2"]
+    assert names == ["alpha", "alpha_3", "alpha_2"]  # a number whose name is a header's own is left out
     renamed = headers.rename_columns(df, {"Alpha": "Brand Love"})[0].columns
     assert renamed == ["alpha", "brand_love", "alpha_2"]
 

@@ -283,3 +283,80 @@ def test_configured_constructs_get_variable_names(spark):
 def test_construct_bases():
     names = {"price_value_2": "price_value", "taste_a": "taste", "taste_a_12": "taste", "taste_12_a": "taste_12", "deep_blue_sea": "deep_blue", "q07": "q07", "product_quality_x": "product_quality"}
     assert {n: scales.base_construct_name(n) for n in names} == names
+
+
+@pytest.mark.parametrize("cells", [40, 10**6])
+def test_kmeans_from_given_centers(spark, noisy, cells):
+    """One task or many that exchange sums: the same passes as a plain loop."""
+    points = segments.counted_points(noisy.select("x", "m"), ["x", "m"])
+    start = np.array([[-1.0, 0.0], [0.0, 0.0], [1.0, 0.5]])
+    centers, inertia = segments.fit_many(points, ["x", "m"], [3], max_iter=4, starts={3: [start]}, task_cells=cells)[3]
+    x, c = np.array([(r["x"], r["m"]) for r in noisy.collect()]), start
+    for _ in range(4):
+        label = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+        c = np.array([x[label == k].mean(0) for k in range(3)])
+    assert centers == pytest.approx(c, abs=1e-9) and inertia == pytest.approx(((x[:, None] - c) ** 2).sum(2).min(1).sum(), rel=1e-9)
+
+
+def test_iteration_over_empty_tables(spark):
+    from surveyloom.operators.rounds import iterated
+    assert iterated(spark.createDataFrame([], "x double, y double"), 0, lambda rows, exchange: exchange.total(rows.sum(axis=0)) + len(rows)).tolist() == [0, 0]
+
+
+@pytest.mark.parametrize("room", [1, 64 << 20])
+def test_reliability_of_many_sets(spark, monkeypatch, room):
+    """Pairs, triples and a long set over answers with gaps, in one scan, also where patterns are folded one by one."""
+    monkeypatch.setattr(scales, "_PATTERN_BYTES", room)
+    rng = np.random.default_rng(6)
+    base = rng.integers(1, 6, 400)
+    x = np.clip(base[:, None] + rng.integers(-2, 3, (400, 12)), 1, 7).astype(float)
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 11] = 4.0
+    names = [f"i{k}" for k in range(12)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"{n} double" for n in names))
+    sets = [*scales.item_subsets(names), names[:9], ["i3", "i11"], ["i11"]]
+    rows = {r["subset"]: r for r in scales.cronbach_alphas(df, sets).collect()}
+    assert len(rows) == len(sets) == 12 * 11 // 2 + 220 + 3
+    for s, items in enumerate(sets):
+        part = x[:, [names.index(i) for i in items]]
+        part = part[~np.isnan(part).any(axis=1)]
+        k, total = len(items), part.sum(axis=1).var(ddof=1)
+        want = k / (k - 1) * (1 - part.var(axis=0, ddof=1).sum() / total) if k > 1 and total > 1e-12 else None
+        assert rows[s]["n"] == len(part) and rows[s]["alpha"] == (None if want is None else pytest.approx(want, abs=1e-9))
+
+
+def test_picks_of_the_threshold_graph():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        items = [f"v{k}" for k in range(9)]
+        r = {(a, b): float(rng.choice([0.3, 0.46, 0.5, 0.6, 0.7, rng.random()])) for i, a in enumerate(items) for b in items[i + 1:]}
+        at = lambda a, b: r[min(a, b), max(a, b)]
+        graph, free, want = scales.ThresholdGraph(items, r), [i for i in items if i != "v4"], []
+        while True:
+            pairs = [(a, b) for i, a in enumerate(free) for b in free[i + 1:]]
+            pair = max(pairs, key=lambda p: at(*p), default=None)
+            if pair is None or at(*pair) < 0.55:
+                break
+            third = [c for c in free if c not in pair and all(at(c, p) >= 0.45 for p in pair)][:1]
+            want.append([*pair, *third])
+            free = [i for i in free if i not in want[-1]]
+        assert list(graph.picks({"v4"})) == want and all(w in graph.candidates() for w in want)
+
+
+def test_descriptives_of_awkward_columns(spark):
+    from surveyloom.operators import describe
+    df = spark.createDataFrame([(None, 5.0, -0.0), (None, 5.0, 0.0), (None, float("nan"), 1e9 + 1), (None, 5.0, 1e9 + 2)], "none double, flat double, big double")
+    got = {r["variable"]: r for r in describe.descriptives(df).collect()}
+    assert (got["none"]["count"], got["none"]["missing"], got["none"]["unique"], got["none"]["mean"]) == (0, 4, 0, None)
+    assert (got["flat"]["count"], got["flat"]["missing"], got["flat"]["std"], got["flat"]["unique"]) == (3, 1, 0.0, 1)
+    assert got["big"]["unique"] == 3 and got["big"]["std"] == pytest.approx(np.std([0, 0, 1e9 + 1, 1e9 + 2], ddof=1), rel=1e-12)
+    assert describe.descriptives(df.limit(0)).count() == 0
+
+
+def test_values_sent_in_parts_count_alike(spark, monkeypatch):
+    from surveyloom.operators import profile as profiles
+    df = spark.range(5000).selectExpr("cast(id % 700 as double) as a", "cast(id as double) as b")
+    want = {("a", float(v)): len(range(v, 5000, 700)) for v in range(700)} | {("b", float(v)): 1 for v in range(5000)}
+    for held in (10, 2_000_000):
+        monkeypatch.setattr(profiles, "_HELD_VALUES", held)
+        assert {(r["variable"], r["value"]): r["n"] for r in profiles.numeric_frequencies(df, ["a", "b"]).collect()} == want

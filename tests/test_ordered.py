@@ -1,4 +1,5 @@
 import numpy as np
+import random
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,5 +121,22 @@ def test_numbered_headers_keep_names_apart(spark):
     rows = [("s", 1, "x"), ("s", 2, "x"), ("s", 3, "x_2"), ("s", 4, "x"), ("t", 1, "x"), ("t", 2, "x"), (None, 1, "y_2"), (None, 2, "y"), (None, 3, "y")]
     df = spark.createDataFrame(rows, "survey string, position int, base string")
     got = {(r["survey"], r["position"]): r["variable_name"] for r in headers.dedupe_names(df, ["survey"], "base", "position").collect()}
-    assert got == {("s", 1): "x", ("s", 2): "x_2", ("s", 3): "x_2_2", ("s", 4): "x_3", ("t", 1): "x", ("t", 2): "x_2",
+    assert got == {("s", 1): "x", ("s", 2): "x_3", ("s", 3): "x_2", ("s", 4): "x_4", ("t", 1): "x", ("t", 2): "x_2",
                    (None, 1): "y_2", (None, 2): "y", (None, 3): "y_3"}
+
+
+def test_names_of_many_numbered_headers_differ(spark):
+    """Rank arithmetic over the taken numbers gives what counting on gives, and no name twice."""
+    rng = random.Random(3)
+    bases = [rng.choice(["x", "x", "x_2", "x_3", "x_5", "x_02", "x_2_2", "x_0", "x_1", "y", "y_9", "z\n_2", "z\n"]) for _ in range(200)]
+    df = spark.createDataFrame([("s", i, b) for i, b in enumerate(bases)], "survey string, position int, base string")
+    for max_rows in (1_000_000, 20):
+        got = [r["variable_name"] for r in headers.dedupe_names(df, ["survey"], "base", "position", max_rows).orderBy("position").collect()]
+        assert got == headers.unique_names(bases) and len(set(got)) == len(got)
+
+
+def test_resolved_names(spark):
+    names = spark.createDataFrame([("What?", 1), ("kept", 2), (None, 3), ("twice", 4)], "asked string, variable_name int")
+    known = spark.createDataFrame([("What?", "what"), ("twice", "b"), ("twice", "a"), (None, "lost")], "original_question string, variable_name string")
+    got = {r["variable_name"]: r["resolved"] for r in headers.resolve_table(names, "asked", known).collect()}
+    assert got == {1: "what", 2: "kept", 3: None, 4: "a"}
