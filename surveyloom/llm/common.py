@@ -51,7 +51,7 @@ def word_bytes(keep) -> bytes:
     return bytes(lower[b] if keep(lower[b]) else 32 for b in range(256))
 
 
-def pieces(batch: pa.RecordBatch, limit: int, column: str = "text"):
+def pieces(batch: pa.RecordBatch, limit: int, column: str | int = "text"):
     """A batch in runs of rows with about ``limit`` bytes of text, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, keyed, texts_of
+from .common import held_out, keyed, pieces, texts_of
 
 ORDER = 4
 #: Bytes of training text per language, drawn by hash as pieces of PIECE characters from all labelled rows.
@@ -16,6 +16,8 @@ PIECE = 2000
 #: A context is kept if the sample shows it so often, all languages together.
 LEAST = 3
 SEGMENT = 512
+#: Bytes of text that a task reads at once.
+CUT_BYTES = 8 << 20
 UNDETERMINED = "und"
 
 
@@ -88,7 +90,7 @@ class ContextTrees:
         size = np.array([len(t) for t in texts], np.int64)
         if not size.sum():
             return out
-        data = self.symbol[np.frombuffer(b"".join(texts), np.uint8)].astype(np.int32)
+        data = self.symbol.astype(np.int32)[np.frombuffer(b"".join(texts), np.uint8)]
         begin = np.cumsum(size) - size
         parts = -(-size // segment)
         owner = np.repeat(np.arange(len(texts)), parts)
@@ -160,7 +162,7 @@ def identify(docs: DataFrame, train: DataFrame, lang_col: str = "lang", text_col
     rows = keyed(docs, id_col, text_col).withColumn("letters", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
 
     def run(batches):
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES)):
             names, scores, rates = judged(shared.value, texts_of(batch.column("text")), batch.column("letters").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("tag"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rates, pa.float64())],
@@ -176,7 +178,7 @@ def relabel(docs: DataFrame, train: DataFrame, most_bits: float, lang_col: str =
     names, text, lang = docs.columns, docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text)):
             found, _, rates = judged(shared.value, texts_of(batch.column(text)), batch.column(len(names)).to_pylist())
             columns = [pa.array(found, pa.string()) if k == lang else batch.column(k) for k in range(len(names))]
             keep = [n != UNDETERMINED and r < most_bits for n, r in zip(found, rates)]
