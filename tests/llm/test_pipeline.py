@@ -31,3 +31,18 @@ def test_stages_take_effect(spark, data_dir):
 
 def test_run_equals_the_stages(spark, data_dir):
     assert corpus_pipeline.run(spark, data_dir).select("doc_id").distinct().count() > 50
+
+
+def test_awkward_and_empty_tables(spark, data_dir, clashing, no_docs):
+    """Nulls, empty and long texts, repeated rows, equal ids and clashing columns go through every stage; so does an empty table."""
+    now = clashing
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, data_dir).persist()
+        assert now.columns == clashing.columns
+    kept = now.collect()
+    texts = [r.text for r in kept]
+    assert kept and len(set(texts)) == len(texts) and all(t and t.strip() for t in texts)
+    encoded = corpus_pipeline.STAGES[-1][1](spark, now, data_dir).collect()
+    assert sorted(r.decoded_sha256 for r in encoded) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in texts)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, no_docs, data_dir).count() == 0
