@@ -48,6 +48,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``: one row per kept document with its ids and digests.
+
+    Null, empty, blank and letterless texts go with the first stage. Of repeated rows and of near-duplicates the first stays (the
+    smallest id, missing ids before all). Long texts are processed whole. Other columns travel along up to the last stage, also
+    where operators use their names. An empty table gives no rows.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = settle(stage(spark, docs, sf_dir))
