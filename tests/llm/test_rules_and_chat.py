@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from surveyloom.llm import catalog, chat, quality_rules
 
@@ -56,6 +57,31 @@ def test_any_turns_come_back(turns):
     assert chat.parse("".join(chat.round_trip(r, t) for r, t in turns)) == turns
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "a>b\\c"]), PIECES), max_size=5), st.lists(st.integers(1, 9), min_size=1, max_size=60))
+def test_turns_come_back_from_pieces_of_any_size(turns, sizes):
+    whole, reader, found, at = "".join(chat.round_trip(r, t) for r, t in turns), chat.Reader(), [], 0
+    while at < len(whole):
+        size = sizes[at % len(sizes)]
+        found += reader.feed(whole[at:at + size])
+        at += size
+    assert found + reader.close() == turns
+
+
+def test_reader_rejects_what_is_no_conversation():
+    for text in ("[INST] open", "[INS", "<<SYS:a", "no turn", "[INST] a </s>", "<s> a </s>b"):
+        reader = chat.Reader()
+        with pytest.raises(chat.GrammarError):
+            reader.feed(text)
+            reader.close()
+
+
+def test_a_turn_that_comes_back_otherwise_fails_the_job():
+    found = chat._Recovered(1, False)
+    with pytest.raises(chat.GrammarError):
+        found.add(chat.round_trip("user", "a"), chat.source_digest("user", "b"))
+
+
 def test_only_conflicting_texts_are_escaped():
     assert chat.round_trip("user", "a \\ b") == "[INST] a \\ b [/INST]"
     assert chat.round_trip("user", "</s>") == "[INST] \\</s> [/INST]"
@@ -65,7 +91,9 @@ def test_only_conflicting_texts_are_escaped():
 
 def test_conversations_with_awkward_rows(spark):
     rows = [(1, 0, "user", None), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 1, "assistant", "a"), (None, None, None, "x"), (2, 0, "assistant", catalog.PLANTED), (2, None, "system", "s" * 50000)]
-    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumnRenamed("none", "x")
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name in ("rendered", "source", "formatted", "n_turns"):
+        turns = turns.withColumn(name, F.lit(7))
     found = {r.conv_id: r for r in chat.conversations(turns).collect()}
     order = {1: [("user", ""), ("assistant", "a"), ("assistant", "a"), ("assistant", "b")], None: [("", "x")], 2: [("system", "s" * 50000), ("assistant", catalog.PLANTED)]}
     assert set(found) == set(order)
