@@ -235,8 +235,9 @@ READ = ("path string, start long, stop long, kind string, reason string, page_id
 def read_archives(archives: DataFrame, path_col: str = "path", with_payload: bool = True) -> DataFrame:
     """One row per record (kind ``record``) and per quarantined gap (``gap``, with its reason) of the archives listed in ``path_col``.
 
-    Responses carry the digest and length of the payload read, revisits those that they state. An archive
-    is read by one task in bounded memory, one record at a time. Empty archives give no rows.
+    Responses carry the digest and length of the payload read, revisits those that they state. Every archive
+    is a task of its own (a few share one where ranges of paths cannot be told apart), which reads it in
+    bounded memory, one record at a time. Empty archives give no rows.
     """
     def page(field):
         found = re.fullmatch(r"<urn:page:(-?\d+)>", field or "")
@@ -267,7 +268,8 @@ def read_archives(archives: DataFrame, path_col: str = "path", with_payload: boo
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return archives.select(F.col(path_col)).repartition(F.col(path_col)).mapInArrow(run, READ)
+    paths = archives.select(F.col(path_col))
+    return paths.repartitionByRange(max(1, paths.count()), F.col(path_col)).mapInArrow(run, READ)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from surveyloom.llm import warc
 from surveyloom.llm.common import shared_folder
@@ -32,6 +33,26 @@ def test_round_trip_of_awkward_pages(spark, pages, compress):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_every_archive_is_a_task(spark):
+    pages = spark.createDataFrame([(i, "u", f"<p>{i} " + "x" * 900) for i in range(40)], "page_id long, url string, html string")
+    archives = warc.write_archives(warc.plan_records(pages), shared_folder(spark), False, limit=2000)
+    read = warc.read_archives(archives)
+    tasks = read.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.countDistinct("path").alias("n")).collect()
+    assert len(tasks) == archives.count() > 8 and {t.n for t in tasks} == {1}
+
+
+def test_payloads_above_a_chunk_and_clashing_columns(spark):
+    big = "".join(f"<p>{i}" for i in range(400_000))
+    assert len(big) > 2 * warc.CHUNK
+    pages = spark.createDataFrame([(1, "u", big), (2, "u", big), (3, "u", "")], "page_id long, url string, html string")
+    for name in ("digest", "size", "record_type", "refers_to", "path", "kind"):
+        pages = pages.withColumn(name, F.lit("7"))
+    for compress in (True, False):
+        read = warc.read_archives(warc.write_archives(warc.plan_records(pages), shared_folder(spark), compress))
+        got = {r.page_id: (r.record_type, r.refers_to, r.payload_bytes, bytes(r.payload).decode() if r.record_type == "response" else bytes(r.payload)) for r in read.collect()}
+        assert got[1] == ("revisit", 2, len(big), b"") and got[2] == ("response", None, len(big), big) and got[3][:3] == ("response", None, 0)
+
+
 def test_no_pages(spark, pages):
     assert warc.round_trip(spark, pages.limit(0)).count() == 0
 
