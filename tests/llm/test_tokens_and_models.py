@@ -117,6 +117,50 @@ def test_decontamination_of_awkward_rows(clashing, benchmark_rows, no_docs):
     assert decontaminate.scan(clashing, benchmark_rows.limit(0)).where("size(starts) > 0").count() == 0
 
 
+def brute_windows(items, words, window):
+    hit, found = set(), set()
+    for k, text in items:
+        item = text.translate(decontaminate.NORMALISE).split()
+        n = min(window, len(item))
+        for i in range(len(words) - n + 1 if n else 0):
+            if any(words[i:i + n] == item[j:j + n] for j in range(len(item) - n + 1)):
+                hit.update(range(i, i + n))
+                found.add(k)
+    return hit, found
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_gram_arrays_against_all_windows(monkeypatch, collide):
+    if collide:  # hashes that tell almost nothing: the words decide
+        monkeypatch.setattr(decontaminate, "mixed", lambda ids, n: (ids[:len(ids) - n + 1] % 2).astype(np.uint64))
+    r = np.random.default_rng(5)
+    draw = lambda n: " ".join("abc"[i] for i in r.integers(0, 3, n)).encode()
+    for _ in range(60):
+        items = [(str(k), draw(r.integers(0, 12))) for k in range(r.integers(0, 8))]
+        grams = decontaminate.Grams(items, 4)
+        for text in (draw(r.integers(0, 40)), b"a z b c a b", b""):
+            words = text.translate(decontaminate.NORMALISE).split()
+            spans, found = grams.scan(np.array([grams.words.get(w, -1) for w in words], np.int32))
+            hit, names = brute_windows(items, words, 4)
+            assert {i for a, b in spans for i in range(a, b)} == hit and {grams.items[k] for k in found} == names
+
+
+def test_gram_arrays_take_what_the_slices_reckon(spark):
+    texts = [" ".join(f"w{(i * 7919 + j * 31) % 9000}" for j in range(200)) for i in range(300)]
+    bench = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    (part,) = decontaminate.slices(bench, "item_id", "text", 64 << 20)
+    grams = decontaminate.Grams(part, 10)
+    arrays = sum(a.nbytes for entry in grams.by_length.values() for a in entry) + grams.flat.nbytes
+    assert arrays <= decontaminate.WINDOW_COST * 300 * 201
+    parts = list(decontaminate.slices(bench, "item_id", "text", 2 << 20))
+    assert len(parts) > 1 and sorted(i for p in parts for i, _ in p) == sorted(str(i) for i in range(300))
+
+
+def test_empty_batches_lose_no_document(spark, encoder):
+    docs = spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string").repartition(7, "doc_id")
+    assert {r.doc_id: r.ids for r in bpe.encode(docs, RANKS, public_tokenizers.PATTERN).collect()} == {1: encoder.encode_ordinary("a b"), 2: encoder.encode_ordinary("c")}
+
+
 def test_quality_on_held_out_rows(spark, data_dir):
     docs, labels = (spark.read.parquet(f"{data_dir}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_net.score(docs, labels).join(labels, "doc_id").collect()
