@@ -206,10 +206,11 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def numbered(batches):
-        first = next(batches, None)
-        if first is not None and first.num_rows:
+        filled = (b for b in batches if b.num_rows)
+        first = next(filled, None)
+        if first is not None:
             part = first.column("part")[0].as_py()
-            for k, block in enumerate(blocks(chain([first], batches), Splitter(pattern), block_bytes)):
+            for k, block in enumerate(blocks(chain([first], filled), Splitter(pattern), block_bytes)):
                 yield (part << 32) + k, zlib.crc32(b"\n".join(block[4])), block
 
     def word_rows(batches):
