@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from .common import held_out, keyed, texts_of
 
 WIDTH, STRIDE, EMBEDDING, FILTERS = 8, 4, 8, 24
-#: Labelled rows of either class that are learned from, drawn by hash; of a longer text PIECES spread pieces of PIECE characters.
-ROWS_PER_CLASS, PIECES, PIECE = 2000, 16, 2000
+#: Labelled rows of either class that are learned from, drawn by hash, and the bytes of their whole texts together.
+ROWS_PER_CLASS, CLASS_BYTES = 2000, 16 << 20
 EPOCHS, BATCH, RATE, SHRINK = 12, 32, 0.01, 1e-4
 THRESHOLD = 0.3
 AT_ONCE = 1 << 20
@@ -67,7 +67,7 @@ class Net:
             np.maximum.at(pooled, owners, np.maximum.reduceat(self.responses(data, start), first))
 
         for k, text in enumerate(texts):
-            for at in range(0, max(1, len(text)), AT_ONCE):
+            for at in range(0, max(1, len(text) - WIDTH + STRIDE), AT_ONCE):
                 group.append(text[at:at + AT_ONCE + WIDTH - STRIDE])
                 owners.append(k)
                 size += len(group[-1])
@@ -79,6 +79,37 @@ class Net:
         z = np.maximum(pooled + self.shift, 0).astype(np.float64) @ self.weights + self.bias[0]
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
+    def peaks(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Of every text and filter the largest response, and the WIDTH bytes that give it (the first of equal ones)."""
+        top = np.full((len(texts), FILTERS), -np.inf, np.float32)
+        window = np.zeros((len(texts), FILTERS, WIDTH), np.uint8)
+        offsets = np.arange(WIDTH)
+        for k, text in enumerate(texts):
+            for at in range(0, max(1, len(text) - WIDTH + STRIDE), AT_ONCE):
+                data, start, _ = self.chunks([text[at:at + AT_ONCE + WIDTH - STRIDE]])
+                response = self.responses(data, start)
+                best = response.argmax(0)
+                value = response[best, np.arange(FILTERS)]
+                new = value > top[k]
+                top[k, new] = value[new]
+                window[k, new] = data[start[best][new, None] + offsets]
+        return top, window
+
+    def gradients(self, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
+        """Of the weighted log loss, in the order of ``parameters``; it runs back through the largest responses only."""
+        top, window = self.fold().peaks(texts)
+        pooled = top + self.shift
+        active = np.maximum(pooled, 0)
+        p = 1 / (1 + np.exp(-np.clip(active @ self.weights + self.bias[0], -50, 50)))
+        slope = ((p - labels) * weight).astype(np.float32)
+        back = slope[:, None] * self.weights * (pooled > 0)
+        d_embedding, d_filters = np.zeros_like(self.embedding), np.zeros_like(self.filters)
+        for w in range(WIDTH):
+            byte = window[:, :, w]
+            d_filters[w] = np.einsum("nf,nfe->ef", back, self.embedding[byte])
+            np.add.at(d_embedding, byte, back[:, :, None] * self.filters[w].T[None])
+        return [d_embedding, d_filters, back.sum(0), slope @ active, slope.sum(keepdims=True)]
+
     def fit(self, texts: list[bytes], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> "Net":
         r = np.random.default_rng(seed)
         first_moment = [np.zeros_like(p) for p in self.parameters]
@@ -89,22 +120,8 @@ class Net:
             order = r.permutation(len(texts))
             for at in range(0, len(order), BATCH):
                 rows = order[at:at + BATCH]
-                data, start, first = self.fold().chunks([texts[i] for i in rows])
-                response = self.responses(data, start)
-                ends = np.append(first[1:], len(start))
-                best = np.stack([a + response[a:b].argmax(0) for a, b in zip(first, ends)])
-                pooled = np.take_along_axis(response, best, 0) + self.shift
-                active = np.maximum(pooled, 0)
-                p = 1 / (1 + np.exp(-np.clip(active @ self.weights + self.bias[0], -50, 50)))
                 y = labels[rows]
-                slope = ((p - y) * np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / len(rows)).astype(np.float32)
-                back = slope[:, None] * self.weights * (pooled > 0)
-                d_embedding, d_filters = np.zeros_like(self.embedding), np.zeros_like(self.filters)
-                for w in range(WIDTH):
-                    byte = data[start[best] + w]
-                    d_filters[w] = np.einsum("nf,nfe->ef", back, self.embedding[byte])
-                    np.add.at(d_embedding, byte, back[:, :, None] * self.filters[w].T[None])
-                gradients = [d_embedding, d_filters, back.sum(0), slope @ active, slope.sum(keepdims=True)]
+                gradients = self.gradients([texts[i] for i in rows], y, np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / len(rows))
                 step += 1
                 for k, (p_, g) in enumerate(zip(self.parameters, gradients)):
                     g = g + SHRINK * p_
@@ -114,8 +131,12 @@ class Net:
         return self.fold()
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, modulus: int, remainder: int, per_class: int, id_col: str, text_col: str):
-    """(text, label) of about ``per_class`` rows of either class; only ids of that bounded sample are broadcast."""
+def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, modulus: int, remainder: int, per_class: int, class_bytes: int, id_col: str, text_col: str):
+    """(text, label) of about ``per_class`` rows of either class with whole texts; only ids of that bounded sample are broadcast.
+
+    Rows are taken by the hash of their id as long as their texts are ``class_bytes`` together: the texts of
+    one class that reach the driver stay below that. A row that does not fit is passed over, not cut.
+    """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(F.col(id_col), modulus, remainder))
     known = known.groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.min(F.col(label_col).cast("int")).alias("__label"))
     sizes = {r["__label"]: r["count"] for r in known.groupBy("__label").count().collect()}
@@ -124,13 +145,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, label_col: str, modulus: i
     share = F.create_map(*[F.lit(x) for k, v in sizes.items() for x in (k, int(min(1.0, per_class / v) * (1 << 30)))])
     chosen = known.where(F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) < share[F.col("__label")])
     text = F.col(text_col).cast("string")
-    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.substring(text, (i * (F.char_length(text) - PIECE) / (PIECES - 1)).cast("int") + 1, F.lit(PIECE))), "")
-    rows = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("__id")).select(
-        "__id", "__label", F.when(F.char_length(text) > PIECES * PIECE, spread).otherwise(text).alias("__text"))
+    drawn = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), F.col(id_col).cast("long") == F.col("__id")).select(
+        "__id", "__label", text.alias("__text"), F.octet_length(text).alias("__bytes"), F.xxhash64(text).alias("__tag"))
+    fitting = drawn.where(F.col("__bytes") <= class_bytes)
+    room, taken = {0: class_bytes, 1: class_bytes}, []
+    for r in fitting.select("__id", "__label", "__tag", "__bytes").distinct().orderBy(F.xxhash64("__id"), "__id", "__tag").collect():
+        if r["__bytes"] <= room[r["__label"]]:
+            room[r["__label"]] -= r["__bytes"]
+            taken.append((r["__id"], r["__tag"]))
+    if not taken:
+        return []
+    picked = docs.sparkSession.createDataFrame(taken, "__id long, __tag long")
+    rows = fitting.join(F.broadcast(picked), ["__id", "__tag"]).select("__id", "__text", "__label").distinct()
     return sorted((r["__id"], r["__text"].encode(), r["__label"]) for r in rows.collect())
 
 
-def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", modulus: int = 5, remainder: int = 0, per_class: int = ROWS_PER_CLASS,
+def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", modulus: int = 5, remainder: int = 0, per_class: int = ROWS_PER_CLASS, class_bytes: int = CLASS_BYTES,
           threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, tag, held_out, score (probability of label 1), predicted.
 
@@ -140,7 +170,7 @@ def score(docs: DataFrame, labels: DataFrame, label_col: str = "quality", modulu
     only, the network learns that class.
     """
     spark = docs.sparkSession
-    sample = training_rows(docs, labels, label_col, modulus, remainder, per_class, id_col, text_col)
+    sample = training_rows(docs, labels, label_col, modulus, remainder, per_class, class_bytes, id_col, text_col)
     net = Net().fit([t for _, t, _ in sample], np.array([y for _, _, y in sample], np.float32)) if sample else None
     shared = spark.sparkContext.broadcast(net)
 

@@ -182,9 +182,61 @@ def test_network_covers_the_whole_text(monkeypatch):
     for n in (0, 1, 7, 8, 9, 4400):
         alone = net.probability([text[:n]])[0]
         assert np.isclose(alone, net.probability([b"x" * 99, text[:n], b""])[1])
-    whole = net.probability([text])[0]
+    sizes = (1, 63, 64, 65, 66, 68, 69, 72, 132, 133, 4400)
+    whole = net.probability([text[:n] for n in sizes])
     monkeypatch.setattr(quality_net, "AT_ONCE", 64)
-    assert np.isclose(net.probability([text])[0], whole)
+    assert np.allclose(net.probability([text[:n] for n in sizes]), whole)
+
+
+def plain_forward(net, text):
+    """Probability of a text, chunk by chunk and filter by filter."""
+    width, stride = quality_net.WIDTH, quality_net.STRIDE
+    count = max(1, -(-(len(text) - width) // stride) + 1)
+    padded = text.ljust((count - 1) * stride + width, b"\0")
+    z = float(net.bias[0])
+    for f in range(quality_net.FILTERS):
+        best = max(sum(float(net.embedding[padded[c * stride + w]] @ net.filters[w, :, f]) for w in range(width)) for c in range(count))
+        z += float(net.weights[f]) * max(0.0, best + float(net.shift[f]))
+    return 1 / (1 + math.exp(-z))
+
+
+def test_network_against_plain_loops(monkeypatch):
+    net = quality_net.Net()
+    texts = [b"", b"a", b"plain text of a few chunks, and more", bytes(range(256)), "é漢😀".encode() * 9]
+    assert np.allclose(net.fold().probability(texts), [plain_forward(net, t) for t in texts], atol=1e-5)
+    for name in ("embedding", "filters", "shift", "weights", "bias"):
+        setattr(net, name, getattr(net, name).astype(np.float64))  # so that small steps can be told apart
+    labels, weight = np.array([1, 0, 1, 0, 1.0]), np.array([0.1, 0.3, 0.2, 0.2, 0.2])
+
+    def loss():
+        p = np.array([plain_forward(net, t) for t in texts])
+        return float(-(weight * (labels * np.log(p) + (1 - labels) * np.log(1 - p))).sum())
+
+    found = net.gradients(texts, labels, weight)
+    monkeypatch.setattr(quality_net, "AT_ONCE", 32)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(found, net.gradients(texts, labels, weight)))
+    r = np.random.default_rng(3)
+    for p, g in zip(net.parameters, found):
+        for at in [tuple(r.integers(0, n) for n in p.shape) for _ in range(12)] + [np.unravel_index(np.abs(g).argmax(), g.shape)]:
+            was, step = p[at], 1e-5
+            p[at] = was + step
+            more = loss()
+            p[at] = was - step
+            less = loss()
+            p[at] = was
+            assert math.isclose((more - less) / (2 * step), float(g[at]), abs_tol=2e-4)
+
+
+def test_training_texts_are_whole_and_bounded(spark):
+    docs = spark.createDataFrame([(i, "x" * (100 * i)) for i in range(1, 41)] + [(99, "long" * 50_000)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality")
+    take = lambda n: quality_net.training_rows(docs, labels, "quality", 5, 0, 1000, n, "doc_id", "text")
+    every = take(1 << 20)
+    texts = {r.doc_id: r.text.encode() for r in docs.collect()}
+    assert {i for i, _, _ in every} == {i for i in texts if zlib.crc32(str(i).encode()) % 5} and all(t == texts[i] for i, t, _ in every)
+    few = take(5000)
+    assert few and all(t == texts[i] for i, t, _ in few)
+    assert all(sum(len(t) for _, t, y in few if y == label) <= 5000 for label in (0, 1)) and take(0) == []
 
 
 def lattice(pieces, weights, word):
