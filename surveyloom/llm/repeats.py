@@ -7,34 +7,42 @@ at equal offsets, and the strings of a document fall into runs of one anchor eac
 1. Passages meet by anchor hash. Anchors that occur once hold no repeated string and are done. Copies of
    one passage are a class of which the earliest stands for all; the others go whole. A task sends each
    distinct passage once, so a passage that a third of the documents share costs one row per task.
-2. Where an anchor has different passages, their bytes are fetched and laid side by side, some megabytes
-   to a shard; the shard's suffix array groups the equal strings and all but the earliest go. Anchors with
-   more passages than a shard takes go by the strings themselves, a row each, grouped by content.
+2. Where an anchor has different passages, their bytes are fetched and laid side by side, a megabyte or
+   two to a shard; the shard's suffix array groups the equal strings and all but the earliest go. An anchor
+   with more passages than a shard takes is widened: a string holds half of what it lacks of the anchor's
+   surroundings either before or after it, so its strings fall to wider anchors, with shards of their own.
 3. The runs are united per document and cut.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ranges
-from .common import pieces, settle, sha256_hex
-from .suffixes import permuted_equal, suffix_array
+from .common import pieces, settle, sha256_hex, texts_of
+from .suffixes import permuted_prefixes, suffix_array
 
 LENGTH = 100
 GRAM = 37
 #: Bytes that are scanned in one piece, of texts that a task turns into rows at once, and of passages that make a shard.
-SCAN_BYTES, CUT_BYTES, SHARD_BYTES = 1 << 20, 8 << 20, 4 << 20
-#: Passages of one anchor that still go into one shard.
-HOT_PASSAGES = 50_000
+SCAN_BYTES, CUT_BYTES, SHARD_BYTES = 1 << 19, 4 << 20, 1 << 20
+#: Passages of one anchor that still go into one shard, and passages that a task fetches at once.
+HOT_PASSAGES, FETCHED = 8_000, 8_192
 
 _LOW = np.int64(-(1 << 63))
 
 
+def _gram_table() -> np.ndarray:
+    return np.random.default_rng(1).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _grams(data: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes at every position but the last ones."""
     with np.errstate(over="ignore"):
@@ -58,8 +66,7 @@ def _grams(data: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
 
 def passages(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
     """(owner, start, strings, anchor hash, passage hash) of every passage; long texts in overlapping pieces."""
-    table = np.random.default_rng(1).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-    window = length - gram + 1
+    table, window = _gram_table(), length - gram + 1
     found = []
 
     def scan(group):
@@ -134,100 +141,192 @@ def marked(base: DataFrame, length: int) -> DataFrame:
         run, "anchor long, content long, gone boolean, row long, tag long, doc long, at long")
     ordered = "partition by anchor, gone order by content, doc, at"
     found = found.select(
-        "*", F.expr(f"lag(content) over ({ordered})").alias("before"),
-        F.expr("min(content) over (partition by anchor, gone)").alias("low"), F.expr("max(content) over (partition by anchor, gone)").alias("high"),
+        "*", F.expr(f"coalesce(lag(content) over ({ordered}) <> content, true)").alias("lone"),
         F.expr("first(doc) over (partition by anchor, gone, content order by doc, at)").alias("first_doc"),
-        F.expr("first(at) over (partition by anchor, gone, content order by doc, at)").alias("first_at"),
-        F.expr("count(1) over (partition by anchor, gone)").alias("n"))
+        F.expr("first(at) over (partition by anchor, gone, content order by doc, at)").alias("first_at"))
+    classes = F.expr("sum(int(lone)) over (partition by anchor, gone)")
     later = F.col("gone") | (F.col("doc") > F.col("first_doc")) | (F.col("at") > F.col("first_at"))
-    lone = F.col("before").isNull() | (F.col("before") != F.col("content"))
-    kind = F.when(later, "gone").when(lone & (F.col("low") != F.col("high")), F.when(F.col("n") > HOT_PASSAGES, "hot").otherwise("compare"))
+    kind = F.when(later, "gone").when(F.col("lone") & (classes > HOT_PASSAGES), "hot").when(F.col("lone") & (classes > 1), "compare")
     return settle(found.select("anchor", "row", "tag", "doc", "at", kind.alias("kind")).where("kind is not null"))
 
 
-def shard_runs(data: list[bytes], doc: np.ndarray, start: np.ndarray, length: int):
+def bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary or string column side by side, and where each value begins in them, the end of the last included."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.binary())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    every = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data else np.zeros(0, np.uint8)
+    return every, offsets - offsets[0]
+
+
+def cut_out(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The slices of ``data`` as a binary column."""
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[ranges(begin, size)])])
+
+
+def shard_runs(data: np.ndarray, begin: np.ndarray, doc: np.ndarray, start: np.ndarray, length: int):
     """For passages side by side: (passage, first string, strings) of runs of strings that occur earlier in the shard."""
-    size = np.array([len(b) for b in data], np.int64)
-    begin = np.cumsum(size + 1) - size - 1
-    # A zero byte ends each passage; the bytes of UTF-8 are all below 255.
-    text = np.frombuffer(b"\xff".join(data) + b"\xff", np.uint8) + np.uint8(1)
-    sa = suffix_array(text, length).astype(np.int64)
-    group = np.cumsum(~permuted_equal(text, sa, length))
-    piece = np.searchsorted(begin, sa, side="right") - 1
-    offset = sa - begin[piece]
-    valid = np.flatnonzero(offset + length <= size[piece])
-    sa, group, piece, offset = sa[valid], group[valid], piece[valid], offset[valid]
-    by, later = _earliest(group, doc[piece], start[piece] + offset)
+    size = np.diff(begin)
+    begin = (begin[:-1] + np.arange(len(size))).astype(np.int32)
+    # A zero ends each passage; the bytes of UTF-8 are all below 255.
+    text = np.zeros(len(data) + len(size), np.uint8)
+    text[ranges(begin.astype(np.int64), size)] = data + np.uint8(1)
+    sa = suffix_array(text, length)
+    group = np.cumsum(permuted_prefixes(text, sa, length) < length, dtype=np.int32)
+    piece = np.searchsorted(begin, sa, side="right").astype(np.int32) - np.int32(1)
+    inside = sa - begin[piece] + length <= size[piece]
+    sa, group, piece = sa[inside], group[inside], piece[inside]
+    # Strings that are alone need no order.
+    several = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
+    sa, group, piece = sa[several], group[several], piece[several]
+    by, later = _earliest(group, doc[piece], start[piece] + (sa - begin[piece]))
     at = np.sort(sa[by][later])
     if not len(at):
         return np.zeros((3, 0), np.int64)
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1))
     which = np.searchsorted(begin, at[first], side="right") - 1
-    return np.array([which, at[first] - begin[which], np.diff(np.append(first, len(at)))])
+    return np.array([which, at[first] - begin[which], np.diff(np.append(first, len(at)))], np.int64)
 
 
-def compared(base: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """Runs (row, tag, start, size) that the suffix arrays (and, for hot anchors, the strings themselves) find repeated."""
-    lists = found.where("kind <> 'gone'").groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
-        F.collect_list(F.struct("anchor", "at", (F.col("kind") == "hot").alias("hot"))).alias("__asked"))
-    joined = base.join(lists, ["__row", "__tag"], "left")
+_PASSAGES = "anchor long, row long, tag long, doc long, start long, bytes binary"
+_RUNS = "row long, tag long, start long, size long"
 
-    def fetch(hot: bool):
-        def run(batches):
-            names = ["anchor", "row", "tag", "doc", "start", "bytes"]
-            for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
-                batch = batch.filter(batch.column("__asked").is_valid())
-                out = [[], [], [], [], [], []]
-                for text, row, tag, doc, wanted in zip(*(batch.column(c).to_pylist() for c in ("__text", "__row", "__tag", "__doc", "__asked"))):
-                    raw = text.encode()
-                    for w in wanted:
-                        if w["hot"] == hot:
-                            start, n = w["at"] >> 6, (w["at"] & 63) + 1
-                            for a, b in [(start + i, start + i + length) for i in range(n)] if hot else [(start, start + n + length - 1)]:
-                                for column, value in zip(out, (w["anchor"], row, tag, doc, a, raw[a:b])):
-                                    column.append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary() if k == 5 else pa.int64()) for k, x in enumerate(out)], names)
-        return joined.mapInArrow(run, "anchor long, row long, tag long, doc long, start long, bytes binary")
-
-    def shards(batches):
-        def verdict(rows):
-            doc = np.array([_LOW if r[2] is None else r[2] for r in rows], np.int64)
-            which, first, count = shard_runs([r[4] for r in rows], doc, np.array([r[3] for r in rows], np.int64), length)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([rows[i][0] for i in which.tolist()], pa.int64()), pa.array([rows[i][1] for i in which.tolist()], pa.int64()),
-                 pa.array([rows[i][3] + f for i, f in zip(which.tolist(), first.tolist())], pa.int64()), pa.array(count + length - 1, pa.int64())],
-                ["row", "tag", "start", "size"])
-
-        rows, size, last = [], 0, None
+
+def in_shards(rows: DataFrame, length: int) -> DataFrame:
+    """Runs (row, tag, start, size) that occur earlier among the passages of their anchor; whole anchors share a suffix array."""
+    def verdict(held):
+        shard = pa.Table.from_batches(held)
+        row, tag, doc, start = (shard.column(c).to_numpy() for c in ("row", "tag", "doc", "start"))
+        which, first, count = shard_runs(*bytes_of(shard.column("bytes")), doc, start, length)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (row[which], tag[which], start[which] + first, count + length - 1)], ["row", "tag", "start", "size"])
+
+    def run(batches):
+        held, size, last = [], 0, None
         for batch in batches:
-            for anchor, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if anchor != last and size >= SHARD_BYTES:
-                    yield verdict(rows)
-                    rows, size = [], 0
-                last = anchor
-                rows.append(row)
-                size += len(row[4])
-        if rows:
-            yield verdict(rows)
-
-    runs = fetch(False).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(shards, "row long, tag long, start long, size long")
-    if found.where("kind = 'hot'").limit(1).count():
-        strings = fetch(True).withColumn("doc", F.coalesce("doc", F.lit(int(_LOW))))
-        first = strings.groupBy("bytes").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        hot = strings.join(first, "bytes").where("struct(doc, start) > first").select("row", "tag", "start", F.lit(length).cast("long").alias("size"))
-        runs = runs.unionByName(hot)
+            if not batch.num_rows:
+                continue
+            anchor = batch.column(0).to_numpy()
+            width = pc.binary_length(batch.column("bytes")).to_numpy(zero_copy_only=False).astype(np.int64)
+            new = np.flatnonzero(np.append(last is not None and anchor[0] != last, anchor[1:] != anchor[:-1]))
+            begin, last = 0, anchor[-1]
+            while begin < len(anchor):
+                full = begin + np.searchsorted(np.cumsum(width[begin:]), SHARD_BYTES - size)
+                k = np.searchsorted(new, begin if size >= SHARD_BYTES else full + 1)
+                end = new[k] if k < len(new) else len(anchor)
+                held.append(batch.slice(begin, end - begin))
+                size += int(width[begin:end].sum())
+                if k < len(new):
+                    yield verdict(held)
+                    held, size = [], 0
+                begin = end
+        if held:
+            yield verdict(held)
+
+    return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, _RUNS)
+
+
+def placed(rows: DataFrame, length: int) -> DataFrame:
+    """``rows`` with place, where the anchor begins in the passage: the first gram of its hash."""
+    def run(batches):
+        table = _gram_table()
+        for batch in (cut for whole in batches for cut in pieces(whole, SHARD_BYTES, "bytes")):
+            data, begin = bytes_of(batch.column("bytes"))
+            grams = _grams(data, table, GRAM).view(np.int64)
+            window = length - GRAM + 1
+            same = grams[begin[:-1, None] + np.arange(window)] == batch.column("anchor").to_numpy()[:, None]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same.argmax(axis=1))], [*batch.schema.names, "place"])
+
+    return rows.mapInArrow(run, _PASSAGES + ", place long")
+
+
+def widened(rows: DataFrame, length: int, width: int, more: int) -> DataFrame:
+    """Passages by anchors of ``more`` further bytes: strings with that many bytes before the old anchor, and the others with as many behind it."""
+    def run(batches):
+        digest = xxhash.xxh3_64_intdigest
+        for batch in (cut for whole in batches for cut in pieces(whole, SHARD_BYTES, "bytes")):
+            data, begin = bytes_of(batch.column("bytes"))
+            place, start = batch.column("place").to_numpy(), batch.column("start").to_numpy()
+            strings = np.diff(begin) - length + 1
+            # String s has place - s bytes before the anchor.
+            split = np.clip(place - more + 1, 0, strings)
+            for low, high, front in ((np.zeros_like(split), split, more), (split, strings, 0)):
+                some = np.flatnonzero(low < high)
+                at, low, high = begin[some] + place[some] - front, low[some], high[some]
+                key = np.fromiter((digest(data[a:a + width + more].tobytes(), seed=front + 1) for a in at.tolist()), np.uint64, len(some))
+                same = [batch.column(c).take(pa.array(some)) for c in ("row", "tag", "doc")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), *same, pa.array(start[some] + low), cut_out(data, begin[some] + low, high - low + length - 1),
+                     pa.array(place[some] - front - low)], ["anchor", "row", "tag", "doc", "start", "bytes", "place"])
+
+    return rows.mapInArrow(run, _PASSAGES + ", place long")
+
+
+def in_wider_shards(rows: DataFrame, length: int) -> DataFrame:
+    """Runs (row, tag, start, size) of hot anchors, whose anchors grow until their passages fit into shards.
+
+    On the way, of equal passages of an anchor the earliest stands for all. An anchor as wide as a string has one passage.
+    """
+    width, rows, runs = GRAM, placed(rows, length), None
+    while width < length:
+        more = (length - width + 1) // 2
+        wide = settle(widened(rows, length, width, more))
+        width += more
+        place = F.struct("doc", "start")
+        known = wide.join(wide.groupBy("anchor", "bytes").agg(F.min(place).alias("first")), ["anchor", "bytes"])
+        gone = known.where(place > F.col("first")).select("row", "tag", "start", F.length("bytes").cast("long").alias("size"))
+        left = known.where(place <= F.col("first")).select("anchor", "row", "tag", "doc", "start", "bytes", "place")
+        left = settle(left.join(left.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchor").where("n > 1"))
+        rows = left.where(F.col("n") > HOT_PASSAGES).select(*wide.columns)
+        fit = left.where(F.col("n") <= HOT_PASSAGES).select(*wide.columns[:-1])
+        runs = [*(runs or ()), gone, in_shards(fit, length)]
+        if rows.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, runs)
+
+
+def compared(base: DataFrame, found: DataFrame, text_col: str, length: int) -> DataFrame:
+    """Runs (row, tag, start, size) that the suffix arrays find repeated."""
+    def fetched(kind: str) -> DataFrame:
+        lists = found.where(F.col("kind") == kind).groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
+            F.collect_set(F.struct("anchor", "at")).alias("__asked"))
+
+        def run(batches):
+            for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text_col)):
+                data, begin = bytes_of(batch.column(text_col))
+                asked = batch.column("__asked")
+                owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+                asked = asked.flatten()
+                anchor, at = asked.field("anchor").to_numpy(), asked.field("at").to_numpy()
+                row, tag, doc = (batch.column(c).fill_null(int(_LOW)).to_numpy(zero_copy_only=False) for c in ("__row", "__tag", "__doc"))
+                for some in np.split(np.arange(len(at)), range(FETCHED, len(at), FETCHED)):
+                    who, start = owner[some], at[some] >> 6
+                    columns = [pa.array(x) for x in (anchor[some], row[who], tag[who], doc[who], start)]
+                    yield pa.RecordBatch.from_arrays([*columns, cut_out(data, begin[who] + start, (at[some] & 63) + length)],
+                                                     ["anchor", "row", "tag", "doc", "start", "bytes"])
+
+        # Repeated rows share their lists and verdicts, so one of them is read.
+        return base.join(lists, ["__row", "__tag"]).dropDuplicates(["__row", "__tag"]).mapInArrow(run, _PASSAGES)
+
+    runs = in_shards(fetched("compare"), length)
+    if not found.where("kind = 'hot'").isEmpty():
+        runs = runs.unionByName(in_wider_shards(fetched("hot"), length))
     return runs
 
 
 def with_runs(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataFrame:
-    """``docs`` with __runs, the (start, size) of the repeated runs, not united, null where there are none; and what it is joined by."""
-    text = F.col(text_col).cast("string")
-    base = docs.select("*", F.xxhash64(F.col(id_col).cast("long")).alias("__row"), F.xxhash64(text).alias("__tag"),
-                       F.col(id_col).cast("long").alias("__doc"), text.alias("__text"))
-    found = marked(base, length)
+    """``docs``, its text a string, with __runs, the (start, size) of the repeated runs, not united, null where there are none; and what it is joined by."""
+    text = F.col(f"`{text_col}`").cast("string")
+    base = docs.withColumn(text_col, text).select(
+        "*", F.xxhash64(F.col(f"`{id_col}`").cast("long")).alias("__row"), F.xxhash64(F.col(f"`{text_col}`")).alias("__tag"),
+        F.col(f"`{id_col}`").cast("long").alias("__doc"))
+    found = marked(base.select("__row", "__tag", "__doc", F.col(f"`{text_col}`").alias("__text")), length)
     gone = found.where("kind = 'gone'").select("row", "tag", F.shiftright("at", 6).alias("start"), ((F.col("at").bitwiseAND(63)) + length).alias("size"))
-    runs = gone.unionByName(compared(base, found, length)).groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
-        F.collect_list(F.struct("start", "size")).alias("__runs"))
+    runs = gone.unionByName(compared(base, found, text_col, length)).groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
+        F.collect_set(F.struct("start", "size")).alias("__runs"))
     return base.join(runs, ["__row", "__tag"], "left")
 
 
@@ -258,8 +357,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     others. Null texts are empty; repeated rows share their id and start, so neither is earlier.
     """
     def run(batches):
-        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
-            raws = [(t or "").encode() for t in batch.column("__text").to_pylist()]
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES)):
+            raws = texts_of(batch.column("text"))
             spans = [united(r) for r in batch.column("__runs").to_pylist()]
             kept = [without(raw, s) for raw, s in zip(raws, spans)]
             yield pa.RecordBatch.from_arrays(
@@ -289,10 +388,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and untouched texts stay as they are.
     """
     place, names = docs.columns.index(text_col), docs.columns
+    schema = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string")).schema
 
     def run(batches):
-        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
-            texts, keep = batch.column("__text").to_pylist(), []
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text_col)):
+            texts, keep = batch.column(place).to_pylist(), []
             for i, runs in enumerate(batch.column("__runs").to_pylist()):
                 if runs:
                     raw = texts[i].encode()
@@ -302,8 +402,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
     joined = with_runs(docs, id_col, text_col, length)
-    back = joined.select(*[F.col(f"`{c}`") for c in names], "__text", "__runs")
-    return back.mapInArrow(run, docs.schema)
+    return joined.select(*[F.col(f"`{c}`") for c in names], "__runs").mapInArrow(run, schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

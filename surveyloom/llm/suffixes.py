@@ -150,15 +150,30 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     return induce(text, small, lms[order])
 
 
-def permuted_equal(text: np.ndarray, sa: np.ndarray, length: int) -> np.ndarray:
-    """In suffix order: whether the common prefix with the suffix before has ``length`` bytes or more.
-
-    Computed in text order (the permuted common-prefix array), capped at ``length``.
+def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, limit: int) -> np.ndarray:
+    """Equal bytes at the front of a[i] and b[i], at most ``limit``; zeros follow the text."""
+    out = np.full(len(a), limit, np.int32)
+    left, offset = np.arange(len(a), dtype=np.int32), 0
+    while len(left) and offset < limit:
+        differ = words[np.minimum(a[left] + offset, len(words) - 1)] ^ words[np.minimum(b[left] + offset, len(words) - 1)]
+        low = differ & (~differ + np.uint64(1))
+        ends = differ != 0
+        # The lowest set bit lies in the first byte that differs.
+        out[left[ends]] = np.minimum(offset + np.log2(low[ends].astype(np.float64)).astype(np.int32) // 8, limit)
+        left, offset = left[~ends], offset + 8
+    return out
+
+
+def permuted_prefixes(text: np.ndarray, sa: np.ndarray, limit: int) -> np.ndarray:
+    """In suffix order: bytes in common with the suffix before, at most ``limit``.
+
+    Compared in text order (the permuted common-prefix array), so that reads of one side run through the text.
     """
-    before = np.full(len(sa), -1, np.int64)
+    n = len(sa)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    at = np.flatnonzero(before >= 0)
-    at = at[(at + length <= len(sa)) & (before[at] + length <= len(sa))]
-    long = np.zeros(len(sa), bool)
-    long[at] = same_bytes(words_of(text), at, before[at], np.full(len(at), length))
+    at = np.flatnonzero(before >= 0).astype(np.int32)
+    long = np.zeros(n, np.int32)
+    found = common_prefix(words_of(text), at, before[at], limit)
+    long[at] = np.minimum(found, n - np.maximum(at, before[at]))
     return long[sa]

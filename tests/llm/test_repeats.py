@@ -1,4 +1,5 @@
 import hashlib
+import os
 
 import numpy as np
 import pytest
@@ -16,8 +17,9 @@ def test_suffix_arrays(values, times):
     want = sorted(range(len(raw)), key=lambda i: raw[i:])
     sa = suffixes.suffix_array(text)
     assert sa.tolist() == want
-    flags = suffixes.permuted_equal(text, sa, 5)
-    assert flags.tolist() == [False] + [len(raw[a:a + 5]) == 5 and raw[a:a + 5] == raw[b:b + 5] for a, b in zip(want, want[1:])]
+    common = [0] + [len(os.path.commonprefix([raw[a:], raw[b:]])) for a, b in zip(want, want[1:])]
+    for limit in (5, 8, 100):
+        assert suffixes.permuted_prefixes(text, sa, limit).tolist() == [min(c, limit) for c in common]
 
 
 def brute(rows, length=100):
