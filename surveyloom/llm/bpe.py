@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import keyed, texts_of
+from .common import give_back, keyed, texts_of
 
 #: Text bytes of a block; a longer document makes a block of its own.
 BLOCK_BYTES = 16 << 20
@@ -159,6 +159,8 @@ def blocks(batches, splitter: Splitter, block_bytes: int):
                 ids, tags, docs, chunks, size = [], [], [], _Chunks(), 0
     if ids:
         yield flush()
+    del ids, tags, docs, chunks
+    give_back()
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -246,6 +248,8 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]], pa.int64()), pa.array([row["check"]], pa.int64()), pa.array([0], pa.int32()), pa.array([packed(places, counts, ids)], pa.binary())],
                     ["block", "check", "kind", "blob"])
+        known.clear()
+        give_back()
 
     def position_rows(batches):
         for number, check, (ids, tags, per_doc, positions, words) in numbered(batches):
@@ -282,6 +286,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
                 ids = np.concatenate([r[2] for _, r in replies]) if replies else np.zeros(0, "<u4")
                 head = pa.ipc.open_stream(row["blob"][8 + size:]).read_next_batch()
                 yield from assembled(head, per_doc.astype(np.int64), positions, start, count, ids, table, with_ids, names)
+        give_back()
 
     words = rows.mapInArrow(word_rows, "bucket long, block long, check long, places binary, words binary")
     replies = words.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(merged, "block long, check long, kind int, blob binary")

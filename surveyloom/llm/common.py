@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..plans.holding import settle, shared_folder
 
-__all__ = ["settle", "shared_folder", "table", "keyed", "held_out", "same_row", "texts_of", "sha256_hex", "word_bytes", "pieces", "parts_for"]
+__all__ = ["settle", "shared_folder", "table", "keyed", "held_out", "same_row", "texts_of", "sha256_hex", "word_bytes", "give_back", "pieces", "parts_for"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,8 +52,16 @@ def word_bytes(keep) -> bytes:
     return bytes(lower[b] if keep(lower[b]) else 32 for b in range(256))
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system; a worker that is used again would keep the peak of every earlier stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def pieces(batch: pa.RecordBatch, limit: int, column: str | int = "text"):
-    """A batch in runs of rows with about ``limit`` bytes of text, at least one row each."""
+    """A batch in runs of rows with about ``limit`` bytes of text, at least one row each; what they left is given back at the end."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, size in enumerate(sizes.tolist()):
@@ -60,6 +69,7 @@ def pieces(batch: pa.RecordBatch, limit: int, column: str | int = "text"):
         if total >= limit or i == len(sizes) - 1:
             yield batch.slice(start, i + 1 - start)
             start, total = i + 1, 0
+    give_back()
 
 
 def parts_for(amount: int | None, per_part: int, spark: SparkSession) -> int:

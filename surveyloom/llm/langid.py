@@ -17,7 +17,7 @@ PIECE = 2000
 LEAST = 3
 SEGMENT = 512
 #: Bytes of text that a task reads at once.
-CUT_BYTES = 8 << 20
+CUT_BYTES = 2 << 20
 UNDETERMINED = "und"
 
 
@@ -90,7 +90,7 @@ class ContextTrees:
         size = np.array([len(t) for t in texts], np.int64)
         if not size.sum():
             return out
-        data = self.symbol.astype(np.int32)[np.frombuffer(b"".join(texts), np.uint8)]
+        data = self.symbol.astype(np.uint16)[np.frombuffer(b"".join(texts), np.uint8)]
         begin = np.cumsum(size) - size
         parts = -(-size // segment)
         owner = np.repeat(np.arange(len(texts)), parts)

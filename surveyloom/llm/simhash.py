@@ -18,13 +18,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, settle, texts_of
+from .common import keyed, pieces, settle, texts_of
 from .components import components
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 SEGMENTS = ((42, 22), (21, 21), (0, 21))
 #: Fingerprints of one key that are compared in one piece; larger groups are compared piece by piece in other tasks.
 PIECE = 1024
+#: Bytes of text that a task reads at once.
+CUT_BYTES = 2 << 20
 
 # Fixed value: generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
@@ -52,7 +54,7 @@ def fingerprint(text: bytes, size: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, tag, fp): the fingerprint as a signed long; null and wordless texts have 0."""
     def run(batches):
-        for batch in batches:
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES)):
             fps = np.array([fingerprint(t, size, seed) for t in texts_of(batch.column("text"))], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tag"), pa.array(fps, pa.int64())], ["doc_id", "tag", "fp"])
     return keyed(docs, id_col, text_col).mapInArrow(run, "doc_id long, tag long, fp long")
