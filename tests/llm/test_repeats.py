@@ -72,3 +72,10 @@ def test_long_texts_are_scanned_in_overlapping_pieces(spark, monkeypatch):
     text = "".join(map(chr, r.integers(97, 123, 3000)))
     docs = spark.createDataFrame([(2, text[700:1600] + "A" + text[:300]), (1, text), (3, text[900:1050] * 2)], "doc_id long, text string")
     assert found(docs) == brute([(x.doc_id, x.text) for x in docs.collect()])
+
+
+def test_very_long_row_and_a_hundred_equal_rows(spark, awkward):
+    """Equal rows share id and start, so none is earlier than the other; a later document of the same text loses all of it."""
+    text = "".join(map(chr, np.random.default_rng(8).integers(97, 123, 400)))
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect()] + [(20, text)] * 100 + [(21, "A" + text + "B")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
