@@ -140,10 +140,13 @@ def slug_names(spark, names: list[str]) -> dict[str, str]:
 def resolve_table(names: DataFrame, name: str, variable_map: DataFrame) -> DataFrame:
     """``names`` with ``resolved``: the variable name where ``name`` is a question of the map, else the name itself.
 
-    Of several rows of one question the smallest variable name holds; a missing name stays missing.
+    Of several rows of one question the smallest variable name holds; a missing name stays missing. Questions meet by
+    their SHA-256: the map's texts stay where they are, and names that are missing go after the grouping, where they are
+    values. Before it the optimizer would move their filter to the scan and work out every name there twice, its steps anew at each use.
     """
-    known = variable_map.where("original_question is not null").groupBy("original_question").agg(F.min("variable_name").alias("_variable"))
-    return names.join(known, F.col(name) == F.col("original_question"), "left").select(
+    known = variable_map.where("original_question is not null").groupBy(F.sha2("original_question", 256).alias("_question")).agg(
+        F.min("variable_name").alias("_variable")).where("_variable is not null")
+    return names.join(known, F.sha2(F.col(name), 256) == F.col("_question"), "left").select(
         *names.columns, F.coalesce("_variable", F.col(name)).alias("resolved"))
 
 

@@ -86,7 +86,7 @@ select doc_id, coalesce(v, name) as resolved from asked left join m on name = te
 def name_resolution(spark, d):
     """Configured names, questions and others, to variable names."""
     docs = table(spark, d, "documents")
-    known = headers.with_semantic_names(docs, "text", "variable_name").where("variable_name is not null").select(
+    known = headers.with_semantic_names(docs, "text", "variable_name").select(
         F.col("text").alias("original_question"), "variable_name")
     asked = docs.select("doc_id", F.expr("case when doc_id % 3 = 0 then source else text end").alias("name"))
     return headers.resolve_table(asked, "name", known).select("doc_id", "resolved")

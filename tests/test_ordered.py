@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from surveyloom.operators import describe, headers, ordered, pricing
 
 
@@ -140,3 +141,20 @@ def test_resolved_names(spark):
     known = spark.createDataFrame([("What?", "what"), ("twice", "b"), ("twice", "a"), (None, "lost")], "original_question string, variable_name string")
     got = {r["variable_name"]: r["resolved"] for r in headers.resolve_table(names, "asked", known).collect()}
     assert got == {1: "what", 2: "kept", 3: None, 4: "a"}
+
+
+def test_missing_variable_names_are_dropped_after_the_scan(spark, tmp_path):
+    rows = [(1, "Purchase frequency of the household", "s", "en"), (2, "nothing of note", "s", "en"), (3, "Purchase frequency of the household", "s", "de"),
+            (4, None, "s", "en"), (5, "Purchase frequency of the household", None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    resolved = contract.queries()["name_resolution"](spark, str(tmp_path))
+    assert {r["doc_id"]: r["resolved"] for r in resolved.collect()} == {
+        1: "purchase_frequency", 2: "nothing of note", 3: "s", 4: None, 5: "purchase_frequency"}
+    plan = resolved._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "Contains(" in line]
+
+
+def test_map_rows_without_a_variable_name_leave_the_name_as_it_is(spark):
+    known = spark.createDataFrame([("a", None), ("b", None), ("b", "v"), (None, "w")], "original_question string, variable_name string")
+    names = spark.createDataFrame([("a",), ("b",), (None,)], "name string")
+    assert sorted((tuple(r) for r in headers.resolve_table(names, "name", known).collect()), key=str) == [("a", "a"), ("b", "v"), (None, None)]
