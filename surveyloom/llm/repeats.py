@@ -11,6 +11,7 @@ at equal offsets, and the strings of a document fall into runs of one anchor eac
    two to a shard; the shard's suffix array groups the equal strings and all but the earliest go. An anchor
    with more passages than a shard takes is widened: a string holds half of what it lacks of the anchor's
    surroundings either before or after it, so its strings fall to wider anchors, with shards of their own.
+   Passages of such anchors come from a second scan, so the texts are shuffled once, with or without them.
 3. The runs are united per document and cut.
 """
 
@@ -64,8 +65,8 @@ def _grams(data: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
         return out
 
 
-def passages(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
-    """(owner, start, strings, anchor hash, passage hash) of every passage; long texts in overlapping pieces."""
+def passages(texts: list[bytes], length: int = LENGTH, gram: int = GRAM, wanted: np.ndarray | None = None):
+    """(owner, start, strings, anchor hash, passage hash) of every passage, or of those whose anchor is ``wanted`` (sorted); long texts in overlapping pieces."""
     table, window = _gram_table(), length - gram + 1
     found = []
 
@@ -86,13 +87,16 @@ def passages(texts: list[bytes], length: int = LENGTH, gram: int = GRAM):
         anchor = (low[starts] & np.uint64(0xFFFFFF)).astype(np.int64)
         first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         count = np.diff(np.append(first, len(starts)))
-        at = starts[first]
+        at, mark = starts[first], hashes[anchor[first]].view(np.int64)
+        if wanted is not None:
+            some = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, mark), len(wanted) - 1)] == mark)
+            at, count, mark = at[some], count[some], mark[some]
         piece = np.searchsorted(begin, at, side="right") - 1
         owner = np.array([o for o, _, _ in group], np.int64)[piece]
         offset = np.array([o for _, o, _ in group], np.int64)[piece]
         view, digest = memoryview(data), xxhash.xxh3_64_intdigest
         content = np.fromiter((digest(view[a:b]) for a, b in zip(at.tolist(), (at + count + length - 1).tolist())), np.uint64, len(at))
-        found.append((owner, at - begin[piece] + offset, count, hashes[anchor[first]].view(np.int64), content.view(np.int64)))
+        found.append((owner, at - begin[piece] + offset, count, mark, content.view(np.int64)))
 
     group, size = [], 0
     for k, text in enumerate(texts):
@@ -120,34 +124,39 @@ def _earliest(group: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np
     return by, (d > d[first]) | (s > s[first])
 
 
+def _later(anchor: np.ndarray, content: np.ndarray, row: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether the passage has an earlier copy among these."""
+    with np.errstate(over="ignore"):
+        by, later = _earliest(anchor ^ (content * np.int64(-7046029254386353131)), row, start)
+    gone = np.zeros(len(by), bool)
+    gone[by] = later
+    return gone
+
+
 def marked(base: DataFrame, length: int) -> DataFrame:
-    """The passages that need a decision or have one: anchor, row, doc, at (start << 6 | strings - 1), kind (``gone``, ``compare``, ``hot``)."""
+    """The passages that need a decision or have one: anchor (null if gone), row, tag, at (start << 6 | strings - 1), kind (``gone``, ``compare``, ``hot``)."""
     def run(batches):
-        names = ["anchor", "content", "gone", "row", "tag", "doc", "at"]
+        names = ["anchor", "content", "gone", "row", "tag", "at"]
         for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, "__text")):
             texts = [t or b"" for t in batch.column("__text").cast(pa.binary()).to_pylist()]
             owner, start, count, anchor, content = passages(texts, length)
             row, tag = np.asarray(batch.column("__row"))[owner], np.asarray(batch.column("__tag"))[owner]
-            doc = np.asarray(batch.column("__doc").fill_null(int(_LOW)))[owner]
-            with np.errstate(over="ignore"):
-                by, later = _earliest(anchor ^ (content * np.int64(-7046029254386353131)), doc, start)
-            gone = np.zeros(len(by), bool)
-            gone[by] = later
+            gone = _later(anchor, content, row, start)
             # Decided rows only travel along: a key of their own spreads them.
-            key = np.where(gone, content ^ np.arange(len(by)) ^ row ^ start, anchor)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, content, gone, row, tag, doc, start << 6 | count - 1)], names)
+            key = np.where(gone, content ^ np.arange(len(gone)) ^ row ^ start, anchor)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, np.where(gone, 0, content), gone, row, tag, start << 6 | count - 1)], names)
 
-    found = base.select("__row", "__tag", "__doc", "__text").mapInArrow(
-        run, "anchor long, content long, gone boolean, row long, tag long, doc long, at long")
-    ordered = "partition by anchor, gone order by content, doc, at"
+    found = base.select("__row", "__tag", "__text").mapInArrow(run, "anchor long, content long, gone boolean, row long, tag long, at long")
+    ordered = "partition by anchor, gone order by content, row, at"
     found = found.select(
         "*", F.expr(f"coalesce(lag(content) over ({ordered}) <> content, true)").alias("lone"),
-        F.expr("first(doc) over (partition by anchor, gone, content order by doc, at)").alias("first_doc"),
-        F.expr("first(at) over (partition by anchor, gone, content order by doc, at)").alias("first_at"))
+        F.expr("first(row) over (partition by anchor, gone, content order by row, at)").alias("first_row"),
+        F.expr("first(at) over (partition by anchor, gone, content order by row, at)").alias("first_at"))
     classes = F.expr("sum(int(lone)) over (partition by anchor, gone)")
-    later = F.col("gone") | (F.col("doc") > F.col("first_doc")) | (F.col("at") > F.col("first_at"))
+    later = F.col("gone") | (F.col("row") > F.col("first_row")) | (F.col("at") > F.col("first_at"))
     kind = F.when(later, "gone").when(F.col("lone") & (classes > HOT_PASSAGES), "hot").when(F.col("lone") & (classes > 1), "compare")
-    return settle(found.select("anchor", "row", "tag", "doc", "at", kind.alias("kind")).where("kind is not null"))
+    found = found.select("anchor", "row", "tag", "at", kind.alias("kind")).where("kind is not null")
+    return settle(found.withColumn("anchor", F.expr("if(kind = 'gone', null, anchor)")))
 
 
 def bytes_of(column) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +201,7 @@ def shard_runs(data: np.ndarray, begin: np.ndarray, doc: np.ndarray, start: np.n
     return np.array([which, at[first] - begin[which], np.diff(np.append(first, len(at)))], np.int64)
 
 
-_PASSAGES = "anchor long, row long, tag long, doc long, start long, bytes binary"
+_PASSAGES = "anchor long, row long, tag long, start long, bytes binary"
 _RUNS = "row long, tag long, start long, size long"
 
 
@@ -200,8 +209,8 @@ def in_shards(rows: DataFrame, length: int) -> DataFrame:
     """Runs (row, tag, start, size) that occur earlier among the passages of their anchor; whole anchors share a suffix array."""
     def verdict(held):
         shard = pa.Table.from_batches(held)
-        row, tag, doc, start = (shard.column(c).to_numpy() for c in ("row", "tag", "doc", "start"))
-        which, first, count = shard_runs(*bytes_of(shard.column("bytes")), doc, start, length)
+        row, tag, start = (shard.column(c).to_numpy() for c in ("row", "tag", "start"))
+        which, first, count = shard_runs(*bytes_of(shard.column("bytes")), row, start, length)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (row[which], tag[which], start[which] + first, count + length - 1)], ["row", "tag", "start", "size"])
 
     def run(batches):
@@ -257,10 +266,10 @@ def widened(rows: DataFrame, length: int, width: int, more: int) -> DataFrame:
                 some = np.flatnonzero(low < high)
                 at, low, high = begin[some] + place[some] - front, low[some], high[some]
                 key = np.fromiter((digest(data[a:a + width + more].tobytes(), seed=front + 1) for a in at.tolist()), np.uint64, len(some))
-                same = [batch.column(c).take(pa.array(some)) for c in ("row", "tag", "doc")]
+                same = [batch.column(c).take(pa.array(some)) for c in ("row", "tag")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), *same, pa.array(start[some] + low), cut_out(data, begin[some] + low, high - low + length - 1),
-                     pa.array(place[some] - front - low)], ["anchor", "row", "tag", "doc", "start", "bytes", "place"])
+                     pa.array(place[some] - front - low)], ["anchor", "row", "tag", "start", "bytes", "place"])
 
     return rows.mapInArrow(run, _PASSAGES + ", place long")
 
@@ -275,10 +284,10 @@ def in_wider_shards(rows: DataFrame, length: int) -> DataFrame:
         more = (length - width + 1) // 2
         wide = settle(widened(rows, length, width, more))
         width += more
-        place = F.struct("doc", "start")
+        place = F.struct("row", "start")
         known = wide.join(wide.groupBy("anchor", "bytes").agg(F.min(place).alias("first")), ["anchor", "bytes"])
         gone = known.where(place > F.col("first")).select("row", "tag", "start", F.length("bytes").cast("long").alias("size"))
-        left = known.where(place <= F.col("first")).select("anchor", "row", "tag", "doc", "start", "bytes", "place")
+        left = known.where(place <= F.col("first")).select("anchor", "row", "tag", "start", "bytes", "place")
         left = settle(left.join(left.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")), "anchor").where("n > 1"))
         rows = left.where(F.col("n") > HOT_PASSAGES).select(*wide.columns)
         fit = left.where(F.col("n") <= HOT_PASSAGES).select(*wide.columns[:-1])
@@ -288,32 +297,55 @@ def in_wider_shards(rows: DataFrame, length: int) -> DataFrame:
     return reduce(DataFrame.unionByName, runs)
 
 
+def fetched(base: DataFrame, asked: DataFrame, text_col: str, length: int) -> DataFrame:
+    """The ``asked`` passages (row, tag, anchor, at) with their bytes."""
+    lists = asked.groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(F.collect_set(F.struct("anchor", "at")).alias("__asked"))
+
+    def run(batches):
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text_col)):
+            asked = batch.column("__asked")
+            owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
+            asked = asked.flatten()
+            at = asked.field("at").to_numpy()
+            yield from _with_bytes(batch, text_col, owner, asked.field("anchor").to_numpy(), at >> 6, (at & 63) + length)
+
+    # Repeated rows share their lists and verdicts, so one of them is read.
+    return base.join(lists, ["__row", "__tag"]).dropDuplicates(["__row", "__tag"]).mapInArrow(run, _PASSAGES)
+
+
+def _with_bytes(batch: pa.RecordBatch, text_col: str, owner: np.ndarray, anchor: np.ndarray, start: np.ndarray, size: np.ndarray):
+    data, begin = bytes_of(batch.column(text_col))
+    row, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("__row", "__tag"))
+    for some in np.split(np.arange(len(owner)), range(FETCHED, len(owner), FETCHED)):
+        who = owner[some]
+        columns = [pa.array(x) for x in (anchor[some], row[who], tag[who], start[some])]
+        yield pa.RecordBatch.from_arrays([*columns, cut_out(data, begin[who] + start[some], size[some])], ["anchor", "row", "tag", "start", "bytes"])
+
+
+def of_anchors(base: DataFrame, wanted: np.ndarray, text_col: str, length: int) -> DataFrame:
+    """The passages of the ``wanted`` anchors (sorted) with their bytes, but those with an earlier copy in the same piece: these are gone already."""
+    def run(batches):
+        for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text_col)):
+            owner, start, count, anchor, content = passages(texts_of(batch.column(text_col)), length, wanted=wanted)
+            row, tag = np.asarray(batch.column("__row")), np.asarray(batch.column("__tag"))
+            # Repeated rows share their verdicts, so one of them is read.
+            first = np.unique(np.stack([row, tag], axis=1), axis=0, return_index=True)[1]
+            some = np.flatnonzero(np.isin(owner, first) & ~_later(anchor, content, row[owner], start))
+            yield from _with_bytes(batch, text_col, owner[some], anchor[some], start[some], count[some] + length - 1)
+
+    return base.mapInArrow(run, _PASSAGES)
+
+
 def compared(base: DataFrame, found: DataFrame, text_col: str, length: int) -> DataFrame:
-    """Runs (row, tag, start, size) that the suffix arrays find repeated."""
-    def fetched(kind: str) -> DataFrame:
-        lists = found.where(F.col("kind") == kind).groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
-            F.collect_set(F.struct("anchor", "at")).alias("__asked"))
-
-        def run(batches):
-            for batch in (cut for whole in batches for cut in pieces(whole, CUT_BYTES, text_col)):
-                data, begin = bytes_of(batch.column(text_col))
-                asked = batch.column("__asked")
-                owner = np.repeat(np.arange(batch.num_rows), pc.list_value_length(asked).to_numpy(zero_copy_only=False))
-                asked = asked.flatten()
-                anchor, at = asked.field("anchor").to_numpy(), asked.field("at").to_numpy()
-                row, tag, doc = (batch.column(c).fill_null(int(_LOW)).to_numpy(zero_copy_only=False) for c in ("__row", "__tag", "__doc"))
-                for some in np.split(np.arange(len(at)), range(FETCHED, len(at), FETCHED)):
-                    who, start = owner[some], at[some] >> 6
-                    columns = [pa.array(x) for x in (anchor[some], row[who], tag[who], doc[who], start)]
-                    yield pa.RecordBatch.from_arrays([*columns, cut_out(data, begin[who] + start, (at[some] & 63) + length)],
-                                                     ["anchor", "row", "tag", "doc", "start", "bytes"])
-
-        # Repeated rows share their lists and verdicts, so one of them is read.
-        return base.join(lists, ["__row", "__tag"]).dropDuplicates(["__row", "__tag"]).mapInArrow(run, _PASSAGES)
-
-    runs = in_shards(fetched("compare"), length)
-    if not found.where("kind = 'hot'").isEmpty():
-        runs = runs.unionByName(in_wider_shards(fetched("hot"), length))
+    """Runs (row, tag, start, size) that the suffix arrays find repeated.
+
+    The driver hands the hot anchors on, eight bytes for every HOT_PASSAGES different passages.
+    """
+    runs = in_shards(fetched(base, found.where("kind = 'compare'"), text_col, length), length)
+    hot = np.sort(np.array([r["anchor"] for r in found.where("kind = 'hot'").select("anchor").distinct().collect()], np.int64))
+    if len(hot):
+        texts = base.select("__row", "__tag", F.col(f"`{text_col}`").alias("__text"))
+        runs = runs.unionByName(in_wider_shards(of_anchors(texts, hot, "__text", length), length))
     return runs
 
 
@@ -321,9 +353,9 @@ def with_runs(docs: DataFrame, id_col: str, text_col: str, length: int) -> DataF
     """``docs``, its text a string, with __runs, the (start, size) of the repeated runs, not united, null where there are none; and what it is joined by."""
     text = F.col(f"`{text_col}`").cast("string")
     base = docs.withColumn(text_col, text).select(
-        "*", F.xxhash64(F.col(f"`{id_col}`").cast("long")).alias("__row"), F.xxhash64(F.col(f"`{text_col}`")).alias("__tag"),
+        "*", F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(int(_LOW))).alias("__row"), F.xxhash64(F.col(f"`{text_col}`")).alias("__tag"),
         F.col(f"`{id_col}`").cast("long").alias("__doc"))
-    found = marked(base.select("__row", "__tag", "__doc", F.col(f"`{text_col}`").alias("__text")), length)
+    found = marked(base.select("__row", "__tag", F.col(f"`{text_col}`").alias("__text")), length)
     gone = found.where("kind = 'gone'").select("row", "tag", F.shiftright("at", 6).alias("start"), ((F.col("at").bitwiseAND(63)) + length).alias("size"))
     runs = gone.unionByName(compared(base, found, text_col, length)).groupBy(F.col("row").alias("__row"), F.col("tag").alias("__tag")).agg(
         F.collect_set(F.struct("start", "size")).alias("__runs"))

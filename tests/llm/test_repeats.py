@@ -79,3 +79,19 @@ def test_very_long_row_and_a_hundred_equal_rows(spark, awkward):
     text = "".join(map(chr, np.random.default_rng(8).integers(97, 123, 400)))
     rows = [(r["doc_id"], r["text"]) for r in awkward.collect()] + [(20, text)] * 100 + [(21, "A" + text + "B")]
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_hot_anchors_need_no_further_shuffle_of_the_texts(spark, monkeypatch):
+    """What is written on the way comes from scans and earlier tables, not from a join of the texts with lists of passages."""
+    plans = []
+
+    def settle(df, write=repeats.settle):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(repeats, "settle", settle)
+    monkeypatch.setattr(repeats, "HOT_PASSAGES", 1)
+    text = "".join(map(chr, np.random.default_rng(9).integers(97, 123, 400)))
+    rows = [(1, text), (2, "A" + text[100:300]), (3, text[150:390] + "B"), (None, text[20:160]), (None, text[20:160])]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert len(plans) > 1 and not any("collect_set" in plan for plan in plans)
